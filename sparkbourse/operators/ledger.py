@@ -20,6 +20,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkbourse.operators.running import has_hot_key, max_group_rows, running_before
 from sparkbourse.schemas import BLOCK, CREDIT, DEBIT, LEDGER, RELEASE, RELEASE_AND_DEBIT
@@ -89,7 +90,13 @@ _EXACT = decimal.Context(prec=76)
 
 def _read_through(rows: DataFrame, columns: list[str]) -> DataFrame:
     """Decide every command of each key in one pass over the sorted partition; memory does not grow with the key."""
-    schema = rows.select(*columns, F.lit(True).alias("accepted"), F.col("_funds").alias("availableFunds")).schema
+    schema = T.StructType(
+        [
+            *rows.select(*columns).schema.fields,
+            T.StructField("accepted", T.BooleanType()),
+            T.StructField("availableFunds", LEDGER),
+        ]
+    )
 
     def decide_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, funds = None, None

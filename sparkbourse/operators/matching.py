@@ -18,9 +18,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkbourse.functions.orders import counter_side
+from sparkbourse.functions.orders import counter_side, stable_id
 from sparkbourse.operators.running import has_hot_key, running_before
-from sparkbourse.schemas import CONFIRMED, LIMIT_SELL, MONEY, PROCESSED
+from sparkbourse.schemas import CONFIRMED, FILL, LIMIT_SELL, MATCH, MONEY, ORDER, PROCESSED
 from sparkbourse.session import stage
 
 LADDER = ["baseAssetId", "quoteAssetId", "side"]
@@ -261,3 +261,54 @@ def _fill(segments: DataFrame, makers: DataFrame) -> DataFrame:
         .withColumn("qtyFilled", F.least(F.col("makerQty"), F.col("takerQty") - F.col("qtyBefore")).cast(MONEY))
         .select(*MATCH_COLUMNS)
     )
+
+
+def _order_of(role: str, order_type: Column, price: Column) -> Column:
+    """Order record of one side of a match, with the open quantity it had when it was matched."""
+    return F.struct(
+        F.col(f"{role}Id").alias("id"),
+        F.col("baseAssetId"),
+        F.col("quoteAssetId"),
+        F.col(f"{role}WalletId").alias("walletId"),
+        order_type.alias("orderType"),
+        price.alias("price"),
+        F.col(f"{role}Qty").alias("qty"),
+        F.lit(0).cast(MONEY).alias("qtyFilled"),
+        F.lit(PROCESSED).alias("status"),
+        F.lit("").alias("message"),
+    ).cast(ORDER)
+
+
+def to_match_commands(matches: DataFrame) -> DataFrame:
+    """Matches as records: the taker on the left, the maker on the right, at the maker's price."""
+    return matches.withColumn("matchId", stable_id(F.col("takerId"), F.col("makerId"))).withColumn(
+        "ordersMatchCommand",
+        F.struct(
+            F.col("matchId"),
+            _order_of("taker", F.col("takerType"), F.col("takerPrice")).alias("leftOrder"),
+            _order_of("maker", counter_side(F.col("takerType")), F.col("price")).alias("rightOrder"),
+            F.col("qtyFilled"),
+            F.col("price"),
+        ).cast(MATCH),
+    )
+
+
+def to_fills(matches: DataFrame) -> DataFrame:
+    """Two FILL commands per match, one for either order."""
+    carried = [c for c in ("seq", "eventId") if c in matches.columns]
+
+    def fill(role: str, order_field: str) -> Column:
+        order = F.col(f"ordersMatchCommand.{order_field}")
+        return F.struct(
+            stable_id(F.col("matchId"), F.lit(role)).alias("commandId"),
+            order["id"].alias("orderId"),
+            F.col("matchId").alias("causeId"),
+            F.lit(FILL).alias("command"),
+            F.col("qtyFilled").cast(MONEY).alias("fillQty"),
+            F.col("price").cast(MONEY).alias("fillPrice"),
+            order.alias("commandOrder"),
+            order.alias("order"),
+        )
+
+    commands = to_match_commands(matches)
+    return commands.select(*carried, F.inline(F.array(fill("left", "leftOrder"), fill("right", "rightOrder"))))

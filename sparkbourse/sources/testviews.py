@@ -57,3 +57,110 @@ def wallet_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
         amount.alias("amount"),
         amount.alias("amountRelease"),
     )
+
+
+def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change feed of the orders: confirmed, resting, then filled; every eleventh resting order is cancelled."""
+    o = orders(spark, sf_dir)
+    base = [c for c in o.columns if c not in ("status", "seq")]
+    key, end = F.col("seq"), F.col("status")
+
+    def change(step: int, status: str, deleted: bool = False):
+        return F.struct(
+            (key * 3 + step).alias("seq"), F.lit(status).alias("status"), F.lit(deleted).alias("is_delete")
+        )
+
+    steps = F.array_compact(
+        F.array(
+            change(0, "CONFIRMED"),
+            F.when(end != "CONFIRMED", change(1, "PROCESSED")),
+            F.when(end == "FILLED", change(2, "FILLED")),
+            F.when((end == "PROCESSED") & (key % 11 == 0), change(2, "CANCELLED", True)),
+        )
+    )
+    return o.select(*base, F.inline(steps))
+
+
+def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event log as JSON text, some of it unreadable: order commands on even positions, wallet commands on odd ones."""
+    o = orders(spark, sf_dir)
+    key = F.col("seq")
+    order = [
+        "id",
+        "baseAssetId",
+        "quoteAssetId",
+        "walletId",
+        F.when(key % 97 == 1, "MARKET").otherwise(F.col("orderType")).alias("orderType"),
+        F.when(key % 97 == 4, 1e20).otherwise(F.col("price").cast("double")).alias("price"),
+        F.col("qty").cast("double").alias("qty"),
+    ]
+    fresh = F.struct(*order)
+    resting = F.struct(*order, F.lit("PROCESSED").alias("status"))
+    end, to_match = F.col("status"), key % 5 == 4
+    target = (key - key % 3).cast("string")
+
+    def command(name: str, order_id, *more):
+        return F.struct(
+            F.concat(F.lit("cmd-"), F.col("id")).alias("id"),
+            order_id.alias("orderId"),
+            order_id.alias("causeId"),
+            F.lit(name).alias("command"),
+            *more,
+        )
+
+    submit = F.when(end == "CONFIRMED", command("SUBMIT", F.col("id"), fresh.alias("order")))
+    cancel = F.when(end == "FILLED", command("CANCEL", target))
+    fill = F.when(
+        (end == "PROCESSED") & ~to_match,
+        command(
+            "FILL",
+            F.col("id"),
+            (1 + key % 15).cast("double").alias("fillQty"),
+            F.col("price").cast("double").alias("fillPrice"),
+        ),
+    )
+    match = F.when(
+        (end == "PROCESSED") & to_match,
+        F.struct(
+            F.concat(F.lit("match-"), F.col("id")).alias("matchId"),
+            resting.alias("leftOrder"),
+            resting.alias("rightOrder"),
+            F.col("qty").cast("double").alias("qtyFilled"),
+            F.col("price").cast("double").alias("price"),
+        ),
+    )
+    event_id = F.concat(F.lit("o-"), F.col("id"))
+    parts = [
+        event_id.alias("id"),
+        match.alias("ordersMatchCommand"),
+        F.when(fill.isNotNull(), resting).alias("order"),
+    ]
+    text = (
+        F.when(submit.isNotNull(), F.to_json(F.struct(*parts, submit.alias("orderCommand"))))
+        .when(cancel.isNotNull(), F.to_json(F.struct(*parts, cancel.alias("orderCommand"))))
+        .otherwise(F.to_json(F.struct(*parts, fill.alias("orderCommand"))))
+    )
+    value = (
+        F.when(key % 97 == 0, F.substring(text, 1, 20))
+        .when(key % 97 == 2, F.to_json(F.struct(event_id.alias("id"))))
+        .otherwise(text)
+    )
+    order_log = o.select((key * 2).alias("seq"), event_id.alias("key"), value.alias("value"))
+
+    w = wallet_commands(spark, sf_dir)
+    wallet_command = F.struct(
+        "id",
+        "causeId",
+        "walletId",
+        "assetId",
+        F.when(F.col("seq") % 53 == 0, "MINT").otherwise(F.col("operation")).alias("operation"),
+        F.col("amount").cast("double").alias("amount"),
+        F.when(F.col("operation").startswith("RELEASE"), F.col("amountRelease").cast("double")).alias("amountRelease"),
+    )
+    wallet_event_id = F.concat(F.lit("w-"), F.col("id"))
+    wallet_log = w.select(
+        (F.col("seq") * 2 + 1).alias("seq"),
+        wallet_event_id.alias("key"),
+        F.to_json(F.struct(wallet_event_id.alias("id"), wallet_command.alias("walletCommand"))).alias("value"),
+    )
+    return order_log.unionByName(wallet_log)
