@@ -88,13 +88,10 @@ LOG = ORDERS + """, placed AS (
     CASE WHEN status = 'FILLED' THEN CAST(seq - seq % 3 AS VARCHAR) ELSE id END AS target,
     CAST(1 + seq % 15 AS BIGINT) AS fill_qty FROM o),
 order_log AS (
-  SELECT *, CASE WHEN h = 0 THEN 'malformed JSON'
+  SELECT *, CASE WHEN h = 0 OR (h = 4 AND kind <> 'CANCEL') THEN 'unreadable JSON or number'
     WHEN h = 1 AND kind = 'SUBMIT' THEN 'unknown orderType in orderCommand.order'
     WHEN h = 1 AND kind = 'FILL' THEN 'unknown orderType in order'
     WHEN h = 1 AND kind = 'MATCH' THEN 'unknown orderType in ordersMatchCommand.leftOrder'
-    WHEN h = 4 AND kind = 'SUBMIT' THEN 'number out of range in orderCommand.order'
-    WHEN h = 4 AND kind = 'FILL' THEN 'number out of range in order'
-    WHEN h = 4 AND kind = 'MATCH' THEN 'number out of range in ordersMatchCommand.leftOrder'
     END AS reason FROM placed),
 """ + COMMANDS + """, wallet_log AS (
   SELECT *, CASE WHEN seq % 53 = 0 THEN 'unknown operation in walletCommand' END AS reason FROM c),
@@ -133,7 +130,7 @@ def _with(ctes: str, select: str) -> str:
 
 ASOF_SEQ = 20000
 ORDER_ID = "1234"
-BASE, QUOTE = "GERMANY", "1-URGENT"
+BASE, QUOTE = "NATION_7", "1-URGENT"
 MIN_BALANCE = 9000
 
 ORACLES: dict[str, str] = {

@@ -12,7 +12,7 @@ from sparkbourse import schemas as S
 from sparkbourse.functions.orders import stable_id
 
 CORRUPT = "_corrupt"
-_PARSED = T.StructType([*S.WIRE_EVENT.fields, T.StructField(CORRUPT, T.StringType())])
+_PARSED = T.StructType([*S.EVENT.fields, T.StructField(CORRUPT, T.StringType())])
 
 # Record type by the path that leads to it: required fields, defaults and fields with allowed values.
 _ORDER = (
@@ -36,55 +36,53 @@ _RULES = {
 }
 
 
-def _typed(record: Column, dtype: T.StructType, path: str = "") -> Column:
-    """Copy of a record with defaults filled in and numbers as decimals."""
-    defaults = _RULES[path][1] if path else {}
+def _completed(record: Column, dtype: T.StructType, path: str) -> Column:
+    """Copy of a record with the defaults of absent fields filled in."""
+    defaults = _RULES[path][1]
     fields = []
     for f in dtype.fields:
         value = record[f.name]
         if isinstance(f.dataType, T.StructType):
-            value = _typed(value, f.dataType, f"{path}.{f.name}" if path else f.name)
-        else:
-            if f.name in defaults:
-                value = F.coalesce(value, F.lit(defaults[f.name]))
-            if not isinstance(f.dataType, T.StringType):
-                value = value.try_cast(f.dataType)
+            value = _completed(value, f.dataType, f"{path}.{f.name}")
+        elif f.name in defaults:
+            value = F.coalesce(value, F.lit(defaults[f.name]).cast(f.dataType))
         fields.append(value.alias(f.name))
-    return F.when(record.isNotNull(), F.struct(*fields)) if path else F.struct(*fields)
+    return F.when(record.isNotNull(), F.struct(*fields))
 
 
 def _at(record: Column, path: str) -> Column:
     return reduce(lambda column, name: column[name], path.split("."), record)
 
 
-def _first_fault(wire: Column, typed: Column) -> Column:
-    faults = [F.when(wire.isNull() | wire[CORRUPT].isNotNull(), "malformed JSON")]
+def _first_fault(record: Column) -> Column:
+    faults = [F.when(record.isNull() | record[CORRUPT].isNotNull(), "unreadable JSON or number")]
     for path, (required, _, allowed) in _RULES.items():
-        there = _at(wire, path).isNotNull()
-        missing = [_at(wire, path)[name].isNull() for name in required]
-        faults.append(F.when(there & reduce(Column.__or__, missing), f"missing field in {path}"))
+        part = _at(record, path)
+        missing = [part[name].isNull() for name in required]
+        faults.append(F.when(part.isNotNull() & reduce(Column.__or__, missing), f"missing field in {path}"))
         for name, values in allowed.items():
-            value = _at(wire, path)[name]
-            faults.append(F.when(value.isNotNull() & ~value.isin(*values), f"unknown {name} in {path}"))
-        dtype = reduce(lambda t, name: t[name].dataType, path.split("."), S.EVENT)
-        numbers = [f.name for f in dtype.fields if isinstance(f.dataType, T.DecimalType)]
-        if numbers:
-            lost = [_at(wire, path)[n].isNotNull() & _at(typed, path)[n].isNull() for n in numbers]
-            faults.append(F.when(there & reduce(Column.__or__, lost), f"number out of range in {path}"))
+            unknown = part[name].isNotNull() & ~part[name].isin(*values)
+            faults.append(F.when(unknown, f"unknown {name} in {path}"))
     return F.coalesce(*faults)
 
 
 def decode_events(raw: DataFrame) -> DataFrame:
-    """``(seq, value, ...)`` to ``(seq, value, event, reason)``; ``reason`` tells why a record cannot be used."""
+    """``(seq, value, ...)`` to ``(seq, value, ..., event, reason)``; ``reason`` tells why a record cannot be used.
+
+    Numbers are read as decimals straight from the text; one that does not fit makes the record unreadable.
+    """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = raw.withColumn("_wire", F.from_json("value", _PARSED, options))
-    typed = parsed.withColumn("event", _typed(F.col("_wire"), S.EVENT))
-    own_id = F.coalesce(F.col("event.id"), stable_id(F.col("value"), F.col("seq")))
-    return (
-        typed.withColumn("reason", _first_fault(F.col("_wire"), F.col("event")))
-        .withColumn("event", F.col("event").withField("id", own_id))
-        .drop("_wire")
-    )
+    parsed = raw.withColumn("_record", F.from_json("value", _PARSED, options))
+    record = F.col("_record")
+    parts = [
+        _completed(record[f.name], f.dataType, f.name).alias(f.name)
+        for f in S.EVENT.fields
+        if isinstance(f.dataType, T.StructType)
+    ]
+    own_id = F.coalesce(record["id"], stable_id(F.col("value"), F.col("seq"))).alias("id")
+    decoded = F.struct(F.struct(own_id, *parts).alias("event"), _first_fault(record).alias("reason"))
+    # A generator is not merged into later projections, so the large expression is evaluated once per record.
+    return parsed.select(*raw.columns, F.inline(F.array(decoded)))
 
 
 def split_corrupt(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
