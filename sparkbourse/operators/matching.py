@@ -52,18 +52,24 @@ def enter_book(orders: DataFrame) -> DataFrame:
     return orders.withColumn("status", F.lit(PROCESSED))
 
 
-def _ladder_rows(takers: DataFrame, book: DataFrame) -> DataFrame:
-    """Makers and takers on one axis per (market, maker side), best price first; ties by maker id.
+def favour(side: Column, price: Column) -> Column:
+    """Grows from the best price of a ladder to the worst: sellers' prices from below, buyers' from above."""
+    return F.when(side == LIMIT_SELL, price).otherwise(-price).cast(MONEY)
 
-    ``fav`` grows from the best price to the worst, and a taker sorts behind every maker its limit reaches.
-    """
+
+def tie_break(time_priority: bool) -> list[str]:
+    return ["seq", "id"] if time_priority else ["id"]
+
+
+def _ladder_rows(takers: DataFrame, book: DataFrame, tie: list[str]) -> DataFrame:
+    """Makers and takers on one axis per (market, maker side); a taker sorts behind every maker its limit reaches."""
     columns = [
         "baseAssetId",
         "quoteAssetId",
         F.col("side"),
-        F.when(F.col("side") == LIMIT_SELL, F.col("price")).otherwise(-F.col("price")).cast(MONEY).alias("fav"),
+        favour(F.col("side"), F.col("price")).alias("fav"),
         F.col("is_taker"),
-        "id",
+        *tie,
         "walletId",
         F.col("qty").cast(MONEY).alias("qty"),
         F.col("price").cast(MONEY).alias("price"),
@@ -80,17 +86,21 @@ def _ladder_rows(takers: DataFrame, book: DataFrame) -> DataFrame:
     )
 
 
-def match_snapshot(takers: DataFrame, book: DataFrame) -> DataFrame:
-    """One row per match; ``qtyBefore`` is what the taker bought from better makers."""
+def match_snapshot(takers: DataFrame, book: DataFrame, time_priority: bool = False) -> DataFrame:
+    """One row per match; ``qtyBefore`` is what the taker bought from better makers.
+
+    Makers at the same price are taken by id, or by age with ``time_priority``.
+    """
     is_maker = ~F.col("is_taker")
-    rows = _ladder_rows(takers, book)
+    tie = tie_break(time_priority)
+    rows = _ladder_rows(takers, book, tie)
     # Every later grouping is a part of a ladder, so one check of the ladders' sizes covers them all.
     hot = has_hot_key(rows, LADDER)
     placed = stage(
         running_before(
             rows,
             LADDER,
-            ["fav", "is_taker", "id"],
+            ["fav", "is_taker", *tie],
             sums={
                 "start": F.when(is_maker, F.col("qty")).otherwise(F.lit(0).cast(MONEY)),
                 "rank": is_maker.cast("long"),
