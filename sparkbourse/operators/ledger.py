@@ -15,7 +15,7 @@ slices, each starting from the ``u`` the previous one ended with.
 from __future__ import annotations
 
 import decimal
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -216,15 +216,20 @@ def rejections(decided: DataFrame) -> DataFrame:
     )
 
 
-def running_balances(decided: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
-    """One row per accepted command with the balance after it."""
+def running_balances(
+    decided: DataFrame,
+    ledger: DataFrame | None = None,
+    order: Sequence[str] = ("seq",),
+    carry: Sequence[str] = (),
+) -> DataFrame:
+    """One row per accepted command with the balance after it; ``order`` must be unique within a key."""
     accepted = decided.filter("accepted").withColumns(
         {"_amount": amount_effect(), "_blocked": blocked_effect()}
     )
     running = running_before(
         accepted,
         KEY,
-        ["seq"],
+        order,
         sums={"_amount_before": F.col("_amount"), "_blocked_before": F.col("_blocked"), "_tx": F.lit(1).cast("long")},
         label="balances",
     )
@@ -239,6 +244,7 @@ def running_balances(decided: DataFrame, ledger: DataFrame | None = None) -> Dat
         *KEY,
         "seq",
         "operation",
+        *carry,
         (F.col("_amount_before").cast(LEDGER) + F.col("_amount") + amount).cast(LEDGER).alias("balance"),
         (F.col("_blocked_before").cast(LEDGER) + F.col("_blocked") + blocked).cast(LEDGER).alias("blockedBalance"),
         (F.col("_tx") + 1 + tx).cast("long").alias("txCount"),

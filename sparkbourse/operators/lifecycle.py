@@ -207,7 +207,7 @@ def to_wallet_commands(commands: DataFrame) -> DataFrame:
 
 def apply_submit(commands: DataFrame) -> DataFrame:
     """Confirmed orders of submits whose funds were blocked."""
-    return commands.select("seq", "order.*").withColumn("status", F.lit(CONFIRMED))
+    return commands.select("seq", "eventId", "order.*").withColumn("status", F.lit(CONFIRMED))
 
 
 def apply_cancel(orders: DataFrame, cancels: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -114,7 +114,7 @@ ORDER_COMMAND_DEFAULTS = {"fillQty": 0.0, "fillPrice": 0.0, "message": ""}
 WALLET_COMMAND_DEFAULTS = {"amount": 0.0, "amountRelease": 0.0, "status": NEW, "message": ""}
 WALLET_DEFAULTS = {"txCount": 0}
 
-# Keyed state. `seq` is the log position of the last change and the time priority of a resting order.
+# Keyed state. An order's `seq` is the log position it arrived at, its time priority in the book.
 ORDER_STATE = T.StructType([*ORDER.fields, T.StructField("seq", T.LongType())])
 WALLET_STATE = _struct(
     walletId=T.StringType(),

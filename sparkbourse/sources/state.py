@@ -68,9 +68,10 @@ class StateStore:
             rows = latest_by_key(rows.unionByName(deltas), keys, [VERSION]).withColumn("is_delete", F.lit(False))
         return rows.select(*schema.fieldNames())
 
-    def feed(self, name: str, schema: T.StructType, after: int = -1) -> DataFrame:
-        """Committed rows of a feed, with the version that wrote them."""
-        return self._read(name, [v for v in self.committed() if v > after], schema)
+    def feed(self, name: str, after: int = 0) -> DataFrame:
+        """Committed rows of a feed written by versions later than ``after``, with the version."""
+        paths = [self._path(name, v) for v in self.committed() if v > after]
+        return self.spark.read.option("basePath", f"{self.root}/{name}").parquet(*paths)
 
     def seed(self, orders: DataFrame | None = None, wallets: DataFrame | None = None) -> None:
         """State to start from, as version 0."""
