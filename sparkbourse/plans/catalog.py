@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +12,13 @@ from pyspark.sql import types as T
 
 from sparkbourse.functions import orders as fn
 from sparkbourse.functions import wallets
-from sparkbourse.operators import ledger, lifecycle, matching, route
-from sparkbourse.plans import oracles, queries
-from sparkbourse.sources import codec, tables, testviews
+from sparkbourse.operators import ledger, lifecycle, matching, route, sequential
+from sparkbourse.plans import oracles, queries, settle
+from sparkbourse.schemas import MONEY
+from sparkbourse.session import scratch_dir, stage
+from sparkbourse.sources import codec, events, tables, testviews
+from sparkbourse.sources.state import StateStore, seed_wallets, upsert
+from sparkbourse.streaming import feeds, run
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,7 +47,8 @@ def _matches(spark: SparkSession, d: str) -> DataFrame:
 
 def _fills(spark: SparkSession, d: str) -> DataFrame:
     # Each match yields fills on both sides under one position, taken from the taker.
-    return matching.to_fills(_matches(spark, d).withColumn("seq", F.col("takerId").cast("long")).withColumn("eventId", F.col("takerId")))
+    matches = _matches(spark, d)
+    return matching.to_fills(matches.withColumns({"seq": F.col("takerId").cast("long"), "eventId": F.col("takerId")}))
 
 
 def match_snapshot(spark: SparkSession, d: str) -> DataFrame:
@@ -104,12 +110,15 @@ def snapshot_asof(spark: SparkSession, d: str) -> DataFrame:
 
 
 def subscription_updates(spark: SparkSession, d: str) -> DataFrame:
+    updates = queries.order_updates(testviews.order_changes(spark, d), _subscriptions(spark, d))
+    return out(updates, "id", "seq", "status", "feedId")
+
+
+def _subscriptions(spark: SparkSession, d: str) -> DataFrame:
     """Subscribers are the wallets of wealthy customers; each follows all of its orders."""
-    changes = testviews.order_changes(spark, d)
     rich = testviews.table(spark, d, "customer").filter(F.col("c_acctbal") > oracles.MIN_BALANCE)
     own = testviews.orders(spark, d).join(rich, F.col("walletId") == F.col("c_custkey").cast("string"), "left_semi")
-    subscriptions = queries.subscribe(own.select(F.col("id").alias("orderId"), F.col("seq").alias("requestId")))
-    return out(queries.order_updates(changes, subscriptions), "id", "seq", "status", "feedId")
+    return queries.subscribe(own.select(F.col("id").alias("orderId"), F.col("seq").alias("requestId")))
 
 
 def snapshot_plus_updates(spark: SparkSession, d: str) -> DataFrame:
@@ -228,8 +237,8 @@ def decode_events(spark: SparkSession, d: str) -> DataFrame:
 
 def encode_events(spark: SparkSession, d: str) -> DataFrame:
     """Events written as JSON and read back."""
-    events = _events(spark, d)
-    again = codec.split_corrupt(codec.decode_events(codec.encode_events(events.select("seq", "event"))))[0]
+    text = codec.encode_events(_events(spark, d).select("seq", "event"))
+    again = codec.split_corrupt(codec.decode_events(text))[0]
     return out(
         again.select(
             "seq",
@@ -323,6 +332,148 @@ def apply_cancel(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def apply_submit(spark: SparkSession, d: str) -> DataFrame:
+    confirmed = lifecycle.apply_submit(lifecycle.validate_submit(_commands(spark, d)))
+    return out(confirmed, "seq", "id", "walletId", "price", "qty", "status")
+
+
+def api_commands(spark: SparkSession, d: str) -> DataFrame:
+    """Requests stamped with ids: submits of the confirmed orders, cancels of the filled ones."""
+    return out(_api_commands(spark, d), "commandId", "orderId", "causeId", "command")
+
+
+def _api_commands(spark: SparkSession, d: str) -> DataFrame:
+    orders = testviews.orders(spark, d).withColumn("requestId", F.concat(F.lit("r-"), F.col("id")))
+    requests = orders.filter("status = 'CONFIRMED'").select(
+        "requestId",
+        "seq",
+        F.lit("SUBMIT").alias("command"),
+        F.lit(0).cast(MONEY).alias("fillQty"),
+        F.lit(0).cast(MONEY).alias("fillPrice"),
+        codec.order_struct().alias("commandOrder"),
+    )
+    cancelling = orders.filter("status = 'FILLED'")
+    cancels = lifecycle.build_cancel(cancelling.withColumnRenamed("id", "orderId")).join(
+        cancelling.select(F.col("id").alias("orderId"), "seq"), "orderId"
+    )
+    return lifecycle.stamp_submit(requests).drop("requestId").unionByName(cancels)
+
+
+def command_log(spark: SparkSession, d: str) -> DataFrame:
+    """The stamped commands appended to a log and read back."""
+    path = _scratch(spark, "command-log")
+    events.append_commands(_api_commands(spark, d), path)
+    good = codec.split_corrupt(codec.decode_events(events.read_events(spark, path)))[0]
+    return out(
+        good.select("seq", "key", F.col("event.orderCommand.id").alias("commandId"), "event.orderCommand.command")
+    )
+
+
+def print_log(spark: SparkSession, d: str) -> DataFrame:
+    return out(events.print_log(testviews.raw_log(spark, d)), "seq", "key")
+
+
+def merged_logs(spark: SparkSession, d: str) -> DataFrame:
+    """Two logs read as one source."""
+    first, second = _scratch(spark, "log-a"), _scratch(spark, "log-b")
+    testviews.raw_log(spark, d).select(*events.LOG.fieldNames()).write.parquet(first)
+    testviews.wallet_log(spark, d).select(*events.LOG.fieldNames()).write.parquet(second)
+    return out(events.read_events(spark, [first, second]), "seq", "key")
+
+
+def materialized_orders(spark: SparkSession, d: str) -> DataFrame:
+    """The ORDERS table written out and queried by name."""
+    current = tables.orders(testviews.order_changes(spark, d))
+    tables.materialize(current, _scratch(spark, "orders"), "QUERYABLE_ORDERS")
+    return out(spark.sql("SELECT * FROM QUERYABLE_ORDERS WHERE baseAssetId = :base", args={"base": oracles.BASE}))
+
+
+def state_upsert(spark: SparkSession, d: str) -> DataFrame:
+    """The book after the changes that followed it."""
+    book = testviews.orders(spark, d).filter("status = 'PROCESSED'").select("id", "status")
+    changes = testviews.order_changes(spark, d).filter("status in ('FILLED', 'CANCELLED')")
+    return out(upsert(book, changes.select("id", "status", "is_delete"), ["id"]))
+
+
+def touch_wallets(spark: SparkSession, d: str) -> DataFrame:
+    return out(ledger.touch_wallets(testviews.wallet_commands(spark, d)))
+
+
+def seeded_wallets(spark: SparkSession, d: str) -> DataFrame:
+    """Wallets funded in bulk, as records."""
+    records = wallets.as_map(seed_wallets(testviews.wallet_seeds(spark, d)))
+    return out(
+        records.select(
+            "walletId",
+            F.size("assets").cast("long").alias("assets"),
+            wallets.asset_or_zero(F.col("assets"), F.lit("2-HIGH"))["amount"].alias("high"),
+            "txCount",
+        )
+    )
+
+
+def match_sequential(spark: SparkSession, d: str) -> DataFrame:
+    orders = testviews.orders(spark, d)
+    matches = sequential.match_sequential(matching.takers(orders), orders)
+    return out(matches, "seq", "takerId", "makerId", "makerQty", "qtyFilled", "price", "qtyBefore")
+
+
+def settle_batch(spark: SparkSession, d: str) -> DataFrame:
+    """The whole log as one batch against the open orders; the changed orders."""
+    book = testviews.orders(spark, d).filter("status = 'PROCESSED'")
+    log = codec.split_corrupt(stage(_decoded(spark, d), "decoded"))[0]
+    settled = settle.settle_batch(log, book, seed_wallets(testviews.wallet_seeds(spark, d)))
+    return out(settled.order_delta, "id", "walletId", "orderType", "price", "qty", "qtyFilled", "status", "is_delete")
+
+
+def _scratch(spark: SparkSession, label: str) -> str:
+    return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _write_parts(log: DataFrame, path: str, parts: int) -> None:
+    """Write a log as ``parts`` files that follow each other in ``seq`` and in age."""
+    log = stage(log, "log")
+    low, high = log.agg(F.min("seq"), F.max("seq")).first()
+    step = (high - low) // parts + 1
+    for start in range(low, high + 1, step):
+        log.filter(F.col("seq").between(start, start + step - 1)).coalesce(1).write.mode("append").parquet(path)
+
+
+def stream_ledger(spark: SparkSession, d: str) -> DataFrame:
+    """Wallet commands streamed in three micro-batches."""
+    log, root = _scratch(spark, "wallet-log"), _scratch(spark, "ledger")
+    _write_parts(testviews.wallet_log(spark, d), log, 3)
+    store = run.fresh_start(spark, f"{root}/state")
+    records = events.read_events(spark, log, streaming=True, max_files=1)
+    run.run_ledger(records, store, f"{root}/checkpoint").awaitTermination()
+    return out(store.load("wallets"), "walletId", "assetId", "amount", "blocked", "txCount")
+
+
+def stream_settle(spark: SparkSession, d: str) -> DataFrame:
+    """The whole log streamed through order processing in two micro-batches; all orders after it."""
+    log, root = _scratch(spark, "order-log"), _scratch(spark, "orders")
+    _write_parts(testviews.raw_log(spark, d).select(*events.LOG.fieldNames()), log, 2)
+    store = StateStore(spark, f"{root}/state")
+    book = testviews.orders(spark, d).filter("status = 'PROCESSED'")
+    store.seed(book, seed_wallets(testviews.wallet_seeds(spark, d)))
+    records = events.read_events(spark, log, streaming=True, max_files=1)
+    run.run_orders(records, store, f"{root}/checkpoint").awaitTermination()
+    return out(store.load("orders"), "id", "walletId", "orderType", "price", "qty", "qtyFilled", "status")
+
+
+def stream_order_changes(spark: SparkSession, d: str) -> DataFrame:
+    """Updates of subscribed orders from a stream of changes."""
+    log, root = _scratch(spark, "changes"), _scratch(spark, "feed")
+    changes = testviews.order_changes(spark, d).select("id", "seq", "status")
+    _write_parts(changes, log, 2)
+    subscriptions = stage(_subscriptions(spark, d), "subscriptions")
+    arriving = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 1).parquet(log)
+    feeds.subscribed_changes(
+        arriving, lambda _: subscriptions, f"{root}/out", f"{root}/checkpoint"
+    ).awaitTermination()
+    return out(spark.read.parquet(f"{root}/out"), "id", "seq", "status", "feedId")
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -363,5 +514,19 @@ QUERIES: dict[str, Query] = {
         validate_fill,
         command_wallet_commands,
         apply_cancel,
+        apply_submit,
+        api_commands,
+        command_log,
+        print_log,
+        merged_logs,
+        materialized_orders,
+        state_upsert,
+        touch_wallets,
+        seeded_wallets,
+        match_sequential,
+        settle_batch,
+        stream_ledger,
+        stream_settle,
+        stream_order_changes,
     )
 }

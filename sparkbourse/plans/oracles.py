@@ -124,6 +124,12 @@ fill_checks AS (
   WHERE kind = 'FILL')"""
 
 
+API = ORDERS + """, api AS (
+  SELECT seq, 'SUBMIT' AS command, sha256('command|r-' || id) AS command_id, sha256('order|r-' || id) AS order_id
+  FROM o WHERE status = 'CONFIRMED'
+  UNION ALL SELECT seq, 'CANCEL', sha256('command|r-' || id), id FROM o WHERE status = 'FILLED')"""
+
+
 def _with(ctes: str, select: str) -> str:
     return (ctes if ctes.startswith("WITH ") else "WITH " + ctes) + "\n" + select
 
@@ -332,4 +338,41 @@ FROM fill_checks WHERE refused IS NULL""",
         """SELECT target AS id, seq, 'CANCELLED' AS status, TRUE AS is_delete FROM cancels WHERE reason IS NULL
 UNION ALL SELECT id, seq, status, FALSE FROM o WHERE id NOT IN (SELECT target FROM cancels WHERE reason IS NULL)""",
     ),
+    "apply_submit": _with(
+        LOG,
+        """SELECT log_seq AS seq, sha256(event_id || '|' || command_id || '|' || target) AS id, wallet AS wallet_id,
+  CAST(price AS DOUBLE) AS price, CAST(qty AS DOUBLE) AS qty, 'CONFIRMED' AS status FROM commands WHERE kind = 'SUBMIT'""",
+    ),
+    "api_commands": _with(
+        API,
+        "SELECT command_id, order_id, order_id AS cause_id, command FROM api",
+    ),
+    "command_log": _with(API, "SELECT seq, order_id AS key, command_id, command FROM api"),
+    "print_log": _with(
+        ORDERS,
+        """SELECT seq * 2 AS seq, 'o-' || id AS key FROM o
+UNION ALL SELECT event_id * 2 + 1, 'w-' || event_id FROM events ORDER BY 1""",
+    ),
+    "merged_logs": _with(
+        ORDERS,
+        """SELECT seq * 2 AS seq, 'o-' || id AS key FROM o
+UNION ALL SELECT event_id * 2 + 1, 'w-' || event_id FROM events
+UNION ALL SELECT event_id, 'w-' || event_id FROM events""",
+    ),
+    "materialized_orders": _with(
+        CHANGES,
+        f"""SELECT {ORDER_OUT} FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY id ORDER BY seq DESC) AS back
+  FROM changes) WHERE back = 1 AND NOT is_delete AND base = '{BASE}'""",
+    ),
+    "state_upsert": _with(
+        CHANGES,
+        """SELECT id, status FROM o WHERE status = 'PROCESSED'
+  AND id NOT IN (SELECT id FROM changes WHERE status IN ('FILLED', 'CANCELLED'))
+UNION ALL SELECT id, status FROM changes WHERE status = 'FILLED'""",
+    ),
+    "touch_wallets": "SELECT DISTINCT CAST(user_id AS VARCHAR) AS wallet_id FROM events",
+    "seeded_wallets": """SELECT CAST(c_custkey AS VARCHAR) AS wallet_id, CAST(6 AS BIGINT) AS assets,
+  25.0::DOUBLE AS high, CAST(0 AS BIGINT) AS tx_count FROM customer JOIN nation ON c_nationkey = n_nationkey""",
 }
+ORACLES["stream_ledger"] = ORACLES["wallet_ledger"]
+ORACLES["stream_order_changes"] = ORACLES["subscription_updates"]

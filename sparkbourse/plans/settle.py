@@ -60,7 +60,7 @@ def settle_batch(
     submits, cancels = valid.filter(F.col("command") == SUBMIT), valid.filter(F.col("command") == CANCEL)
 
     # Funds: releases of cancels, deposits and withdrawals, and the blocking of new orders, in log order.
-    moves = _moves(lifecycle.to_wallet_commands(submits.unionByName(cancels))).unionByName(_moves(_deposits(events)))
+    moves = _moves(lifecycle.to_wallet_commands(submits.unionByName(cancels))).unionByName(_moves(deposits(events)))
     decided = stage(ledger.decide(moves, wallets), "decided")
     funded = decided.filter("accepted").select("seq").join(submits, "seq")
 
@@ -91,7 +91,7 @@ def settle_batch(
         order_delta=latest_rows(order_changes),
         wallet_delta=wallet_delta.withColumn("is_delete", F.lit(False)),
         order_changes=order_changes,
-        wallet_changes=_wallet_changes(all_moves, wallets),
+        wallet_changes=wallet_changes(all_moves, wallets),
         matches=matches.drop("eventId"),
         rejections=_rejections(checked, decided, events),
     )
@@ -117,7 +117,7 @@ def _moves(wallet_commands: DataFrame, phase: int = FUNDING) -> DataFrame:
     )
 
 
-def _deposits(events: DataFrame) -> DataFrame:
+def deposits(events: DataFrame) -> DataFrame:
     """Wallet commands that arrive on their own."""
     own = events.filter("event.walletCommand is not null and event.orderCommand is null")
     return own.select(
@@ -208,7 +208,7 @@ def latest_rows(order_changes: DataFrame) -> DataFrame:
     return last.select("id", *[f"last.{c}" for c in kept], F.col("last.entrySeq").alias("seq"), "last.is_delete")
 
 
-def _wallet_changes(moves: DataFrame, wallets: DataFrame) -> DataFrame:
+def wallet_changes(moves: DataFrame, wallets: DataFrame) -> DataFrame:
     """Balance after every accepted wallet command, and whether its order still had to be changed."""
     running = ledger.running_balances(
         moves, wallets, order=["phase", "seq", "id"], carry=["id", "eventId", "phase", "command"]

@@ -164,3 +164,36 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_json(F.struct(wallet_event_id.alias("id"), wallet_command.alias("walletCommand"))).alias("value"),
     )
     return order_log.unionByName(wallet_log)
+
+
+def wallet_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wallet commands as JSON events."""
+    w = wallet_commands(spark, sf_dir)
+    command = F.struct(
+        "id",
+        "causeId",
+        "walletId",
+        "assetId",
+        "operation",
+        F.col("amount").cast("double").alias("amount"),
+        F.col("amountRelease").cast("double").alias("amountRelease"),
+    )
+    event_id = F.concat(F.lit("w-"), F.col("id"))
+    return w.select(
+        event_id.alias("key"),
+        F.to_json(F.struct(event_id.alias("id"), command.alias("walletCommand"))).alias("value"),
+        "seq",
+    )
+
+
+def wallet_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Funds to trade with: a hundred times the account balance in the base asset, some of every quote asset."""
+    c, n = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    quotes = [F.lit(q) for q in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")]
+    base = F.struct(F.col("n_name").alias("assetId"), (F.col("c_acctbal") * 100).cast(LEDGER).alias("amount"))
+    rest = [F.struct(q.alias("assetId"), F.lit(25).cast(LEDGER).alias("amount")) for q in quotes]
+    return c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("c_custkey").cast("string").alias("walletId"),
+        F.inline(F.array(base, *rest)),
+        F.lit(0).cast(LEDGER).alias("blocked"),
+    )
