@@ -275,7 +275,8 @@ def unkeyed_events(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _commands(spark: SparkSession, d: str) -> DataFrame:
-    return lifecycle.commands_of(_events(spark, d))
+    """Order commands of the log, written out because checking reads them several times."""
+    return stage(lifecycle.commands_of(_events(spark, d)), "commands")
 
 
 def validate_submit(spark: SparkSession, d: str) -> DataFrame:

@@ -81,7 +81,7 @@ def decode_events(raw: DataFrame) -> DataFrame:
     ]
     own_id = F.coalesce(record["id"], stable_id(F.col("value"), F.col("seq"))).alias("id")
     decoded = F.struct(F.struct(own_id, *parts).alias("event"), _first_fault(record).alias("reason"))
-    # A generator is not merged into later projections, so the large expression is evaluated once per record.
+    # A generator is not merged into later projections: every record is decoded once, however many fields are read.
     return parsed.select(*raw.columns, F.inline(F.array(decoded)))
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkbourse.schemas import LEDGER, ORDER_STATE, WALLET_STATE
-from sparkbourse.sources.tables import latest_by_key
+from sparkbourse.sources.tables import last_changes
 
 VERSION = "version"
 _DELETED = T.StructField("is_delete", T.BooleanType())
@@ -62,11 +62,13 @@ class StateStore:
         bases = [v for v in self._versions(f"{table}/snapshot") if v in committed]
         base = bases[-1:]
         newer = [v for v in committed if not base or v > base[0]]
-        rows = self._read(f"{table}/snapshot", base, schema).withColumn("is_delete", F.lit(False))
-        if newer:
-            deltas = self._read(f"{table}/delta", newer, T.StructType([*schema.fields, _DELETED]))
-            rows = latest_by_key(rows.unionByName(deltas), keys, [VERSION]).withColumn("is_delete", F.lit(False))
-        return rows.select(*schema.fieldNames())
+        rows = self._read(f"{table}/snapshot", base, schema).select(*schema.fieldNames())
+        if not newer:
+            return rows
+        # Only the changed rows are grouped; the snapshot, which is far larger, is just filtered by their keys.
+        deltas = self._read(f"{table}/delta", newer, T.StructType([*schema.fields, _DELETED]))
+        changed = last_changes(deltas, keys, [VERSION])
+        return upsert(rows, changed, keys)
 
     def feed(self, name: str, after: int = 0) -> DataFrame:
         """Committed rows of a feed written by versions later than ``after``, with the version."""

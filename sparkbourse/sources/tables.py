@@ -23,14 +23,19 @@ ORDER_COLUMNS = (
 )
 
 
-def latest_by_key(changes: DataFrame, keys: Sequence[str], order: Sequence[str] = ("seq",)) -> DataFrame:
-    """Last change of each key; keys whose last change is a deletion are gone.
+def last_changes(changes: DataFrame, keys: Sequence[str], order: Sequence[str] = ("seq",)) -> DataFrame:
+    """Last change of each key, deletions included.
 
     ``max_by`` keeps one row per key on the map side already, so a key with very many changes costs little.
     """
     rest = [c for c in changes.columns if c not in keys]
     last = changes.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("last"))
-    return last.select(*keys, "last.*").filter("not is_delete").drop("is_delete")
+    return last.select(*keys, "last.*")
+
+
+def latest_by_key(changes: DataFrame, keys: Sequence[str], order: Sequence[str] = ("seq",)) -> DataFrame:
+    """The table behind a change feed: the last row of each key, unless that is a deletion."""
+    return last_changes(changes, keys, order).filter("not is_delete").drop("is_delete")
 
 
 def snapshot_asof(changes: DataFrame, keys: Sequence[str], seq: int, order: Sequence[str] = ("seq",)) -> DataFrame:
