@@ -40,7 +40,7 @@ def read_events(
 
 def read_json_files(spark: SparkSession, path: str) -> DataFrame:
     """Events from files that hold one JSON document each, ordered by file name."""
-    files = spark.read.option("wholetext", True).text(path).select("value", F.input_file_name().alias("key"))
+    files = spark.read.text(path, wholetext=True).select("value", F.input_file_name().alias("key"))
     numbered = running_before(
         files.withColumn("all", F.lit(0)), ["all"], ["key"], sums={"seq": F.lit(1).cast("long")}, label="files"
     )
