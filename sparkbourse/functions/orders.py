@@ -13,6 +13,9 @@ from sparkbourse.schemas import LEDGER, LIMIT_BUY, LIMIT_SELL, MONEY, RELEASE_AN
 
 Order = Column | str | None
 
+# The id made by `stable_id`, for use in SQL text.
+STABLE_ID_SQL = "sha2(concat_ws('|', {}), 256)"
+
 
 def field(order: Order, name: str) -> Column:
     """Field of an order held in a struct column, a named struct column, or flat columns (``None``)."""

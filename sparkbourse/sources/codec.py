@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkbourse import schemas as S
-from sparkbourse.functions.orders import stable_id
+from sparkbourse.functions.orders import STABLE_ID_SQL
 
 CORRUPT = "_corrupt"
 _PARSED = T.StructType([*S.EVENT.fields, T.StructField(CORRUPT, T.StringType())])
@@ -36,34 +34,53 @@ _RULES = {
 }
 
 
-def _completed(record: Column, dtype: T.StructType, path: str) -> Column:
-    """Copy of a record with the defaults of absent fields filled in."""
+def _sql(*names: str) -> str:
+    return ".".join(f"`{part}`" for name in names for part in name.split("."))
+
+
+def _literal(value: object, dtype: T.DataType) -> str:
+    return f"CAST('{value}' AS {dtype.simpleString()})"
+
+
+def _completed(path: str, dtype: T.StructType) -> str:
+    """SQL for a copy of a record with the defaults of absent fields filled in."""
     defaults = _RULES[path][1]
     fields = []
     for f in dtype.fields:
-        value = record[f.name]
+        value = _sql("_record", path, f.name)
         if isinstance(f.dataType, T.StructType):
-            value = _completed(value, f.dataType, f"{path}.{f.name}")
+            value = _completed(f"{path}.{f.name}", f.dataType)
         elif f.name in defaults:
-            value = F.coalesce(value, F.lit(defaults[f.name]).cast(f.dataType))
-        fields.append(value.alias(f.name))
-    return F.when(record.isNotNull(), F.struct(*fields))
-
+            value = f"coalesce({value}, {_literal(defaults[f.name], f.dataType)})"
+        fields.append(f"'{f.name}', {value}")
+    return f"CASE WHEN {_sql('_record', path)} IS NOT NULL THEN named_struct({', '.join(fields)}) END"
 
-def _at(record: Column, path: str) -> Column:
-    return reduce(lambda column, name: column[name], path.split("."), record)
 
-
-def _first_fault(record: Column) -> Column:
-    faults = [F.when(record.isNull() | record[CORRUPT].isNotNull(), "unreadable JSON or number")]
+def _first_fault() -> str:
+    """SQL for what is wrong with a record, NULL if nothing is."""
+    corrupt = f"_record IS NULL OR {_sql('_record', CORRUPT)} IS NOT NULL"
+    faults = [f"CASE WHEN {corrupt} THEN 'unreadable JSON or number' END"]
     for path, (required, _, allowed) in _RULES.items():
-        part = _at(record, path)
-        missing = [part[name].isNull() for name in required]
-        faults.append(F.when(part.isNotNull() & reduce(Column.__or__, missing), f"missing field in {path}"))
+        missing = " OR ".join(f"{_sql('_record', path, name)} IS NULL" for name in required)
+        faults.append(
+            f"CASE WHEN {_sql('_record', path)} IS NOT NULL AND ({missing}) THEN 'missing field in {path}' END"
+        )
         for name, values in allowed.items():
-            unknown = part[name].isNotNull() & ~part[name].isin(*values)
-            faults.append(F.when(unknown, f"unknown {name} in {path}"))
-    return F.coalesce(*faults)
+            listed = ", ".join(f"'{v}'" for v in values)
+            faults.append(
+                f"CASE WHEN {_sql('_record', path, name)} NOT IN ({listed}) THEN 'unknown {name} in {path}' END"
+            )
+    return f"coalesce({', '.join(faults)})"
+
+
+# As SQL text because building the same from Column objects takes a call into the JVM per field.
+_PARTS = ", ".join(
+    f"'{f.name}', {_completed(f.name, f.dataType)}" for f in S.EVENT.fields if isinstance(f.dataType, T.StructType)
+)
+_EVENT_ID = f"coalesce(_record.id, {STABLE_ID_SQL.format('value, CAST(seq AS STRING)')})"
+_DECODED = (
+    f"inline(array(named_struct('event', named_struct('id', {_EVENT_ID}, {_PARTS}), 'reason', {_first_fault()})))"
+)
 
 
 def decode_events(raw: DataFrame) -> DataFrame:
@@ -73,16 +90,8 @@ def decode_events(raw: DataFrame) -> DataFrame:
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parsed = raw.withColumn("_record", F.from_json("value", _PARSED, options))
-    record = F.col("_record")
-    parts = [
-        _completed(record[f.name], f.dataType, f.name).alias(f.name)
-        for f in S.EVENT.fields
-        if isinstance(f.dataType, T.StructType)
-    ]
-    own_id = F.coalesce(record["id"], stable_id(F.col("value"), F.col("seq"))).alias("id")
-    decoded = F.struct(F.struct(own_id, *parts).alias("event"), _first_fault(record).alias("reason"))
     # A generator is not merged into later projections: every record is decoded once, however many fields are read.
-    return parsed.select(*raw.columns, F.inline(F.array(decoded)))
+    return parsed.selectExpr(*raw.columns, _DECODED)
 
 
 def split_corrupt(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
