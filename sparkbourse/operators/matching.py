@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkbourse.functions.orders import counter_side, stable_id
-from sparkbourse.operators.running import has_hot_key, running_before
+from sparkbourse.operators.running import has_hot_key, running_before, spread_join
 from sparkbourse.schemas import CONFIRMED, FILL, LIMIT_SELL, MATCH, MONEY, ORDER, PROCESSED
 from sparkbourse.session import stage
 
@@ -113,7 +113,7 @@ def match_snapshot(takers: DataFrame, book: DataFrame, time_priority: bool = Fal
     makers = placed.filter(is_maker).drop("is_taker", "fav")
     # For a taker, `rank` counts the makers its limit price reaches.
     reaching = placed.filter("is_taker and rank > 0").drop("is_taker", "fav", "start")
-    return _fill(_with_last_block(_segments(reaching, makers, hot), makers, hot), makers)
+    return _fill(_with_last_block(_segments(reaching, makers, hot), makers, hot), makers, hot)
 
 
 def _block(rank: str) -> Column:
@@ -134,7 +134,12 @@ def _segments(reaching: DataFrame, makers: DataFrame, hot: bool) -> DataFrame:
     base = [*LADDER, "walletId", "id", "price", "qty"]
     axis = makers.schema["start"].dataType
     first_own = makers.groupBy(*own_key).agg(F.min("start").alias("own_start"), F.min("rank").alias("own_rank"))
-    checked = reaching.join(first_own, own_key, "left").withColumn(
+    beside_own = (
+        spread_join(reaching, first_own, own_key, "id", "left", "reaching")
+        if hot
+        else reaching.join(first_own, own_key, "left")
+    )
+    checked = beside_own.withColumn(
         "meets_own", F.expr("coalesce(own_start < qty and own_rank < rank, false)")
     )
     clear = checked.filter("not meets_own").select(
@@ -149,12 +154,13 @@ def _segments(reaching: DataFrame, makers: DataFrame, hot: bool) -> DataFrame:
         return clear
 
     cuts = _cuts(makers.join(meeting.select(*own_key).distinct(), own_key, "left_semi"), own_key, hot)
-    taker_cuts = (
-        meeting.join(_reached_cuts(meeting, cuts, own_key, hot), [*own_key, "id"])
-        .withColumn("block", _blocks(F.lit(0).cast("long"), _block("(reached - 1)")))
-        .join(cuts.withColumn("block", _block("cut_no")), [*own_key, "block"])
-        .filter("cut_no < reached")
+    reached = meeting.join(_reached_cuts(meeting, cuts, own_key, hot), [*own_key, "id"]).withColumn(
+        "block", _blocks(F.lit(0).cast("long"), _block("(reached - 1)"))
     )
+    cut_blocks, cut_key = cuts.withColumn("block", _block("cut_no")), [*own_key, "block"]
+    taker_cuts = (
+        spread_join(reached, cut_blocks, cut_key, "id", label="reached") if hot else reached.join(cut_blocks, cut_key)
+    ).filter("cut_no < reached")
     ends_before_cut = F.struct(
         F.coalesce(F.col("previous_end"), F.lit(0).cast("long")).alias("lo"),
         F.col("cut_rank").alias("hi"),
@@ -251,7 +257,7 @@ def _with_last_block(segments: DataFrame, makers: DataFrame, hot: bool) -> DataF
     return located.filter("head is null").withColumn("last_block", F.least(_block("(hi - 1)"), F.col("last_head")))
 
 
-def _fill(segments: DataFrame, makers: DataFrame) -> DataFrame:
+def _fill(segments: DataFrame, makers: DataFrame, hot: bool) -> DataFrame:
     """Join segments to the makers in their blocks and give each maker its share."""
     spans = segments.withColumnsRenamed(
         {"id": "takerId", "walletId": "takerWalletId", "price": "takerPrice", "qty": "takerQty"}
@@ -259,9 +265,11 @@ def _fill(segments: DataFrame, makers: DataFrame) -> DataFrame:
     blocks = makers.withColumnsRenamed({"id": "makerId", "walletId": "makerWalletId", "qty": "makerQty"}).withColumn(
         "block", _block("rank")
     )
+    key = [*LADDER, "block"]
+    # Every taker of a market starts at the first block of a ladder: the likeliest hot key of all.
+    met = spread_join(spans, blocks, key, "takerId", label="spans") if hot else spans.join(blocks, key)
     return (
-        spans.join(blocks, [*LADDER, "block"])
-        .filter("rank >= lo and rank < hi and start - skipped < takerQty")
+        met.filter("rank >= lo and rank < hi and start - skipped < takerQty")
         .withColumns(
             {
                 "takerType": counter_side(F.col("side")),

@@ -103,3 +103,25 @@ def running_before(
         .join(F.broadcast(carried), group, "left")
         .select(*df.columns, *[value.alias(name) for name, value in combined.items()])
     )
+
+
+def spread_join(
+    many: DataFrame, few: DataFrame, keys: Sequence[str], spread_by: str, how: str = "inner", label: str = "spread"
+) -> DataFrame:
+    """Equi-join in which a key may have very many rows in ``many`` but only a bounded number in ``few``.
+
+    Rows of a hot key are dealt to several tasks by a hash of ``spread_by``; the few rows of the other side go to each
+    of them. There are at most (all rows / limit) hot keys, and in total that many copies of a key's few rows.
+    """
+    limit = max_group_rows(many)
+    many = stage(many, label)
+    hot = (
+        many.groupBy(*keys)
+        .count()
+        .filter(F.col("count") > limit)
+        .select(*keys, F.ceil(F.col("count") / limit).cast("int").alias("_tasks"))
+    )
+    tasks = F.coalesce(F.col("_tasks"), F.lit(1))
+    dealt = many.join(F.broadcast(hot), [*keys], "left").withColumn("_task", F.pmod(F.xxhash64(spread_by), tasks).cast("int"))
+    copied = few.join(F.broadcast(hot), [*keys], "left").withColumn("_task", F.explode(F.sequence(F.lit(0), tasks - 1)))
+    return dealt.drop("_tasks").join(copied.drop("_tasks"), [*keys, "_task"], how).drop("_task")

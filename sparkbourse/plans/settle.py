@@ -281,7 +281,7 @@ def commit_batch(store: StateStore, raw: DataFrame, version: int, time_priority:
             "matches": settled.matches,
             "rejections": settled.rejections,
             "dead_letters": dead,
-            "output": output_events(settled),
+            "output": output_events(settled).withColumn("processedAt", fn.processed_at()),
         },
     )
 

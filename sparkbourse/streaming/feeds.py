@@ -37,6 +37,21 @@ def committed_changes(
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def followed_orders(
+    store: StateStore,
+    subscriptions: Callable[[SparkSession], DataFrame],
+    handler: Handler,
+    checkpoint: str,
+    available_now: bool = True,
+) -> StreamingQuery:
+    """Committed changes of subscribed orders; ``queries.snapshot_then_updates`` gives what was there before."""
+
+    def follow(changes: DataFrame, batch_id: int) -> None:
+        handler(order_updates(changes, subscriptions(changes.sparkSession)), batch_id)
+
+    return committed_changes(store, "order_changes", follow, checkpoint, available_now)
+
+
 def subscribed_changes(
     changes: DataFrame, subscriptions: Callable[[SparkSession], DataFrame], path: str, checkpoint: str
 ) -> StreamingQuery:

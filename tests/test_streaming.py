@@ -6,6 +6,7 @@ import json
 
 from builders import D
 
+from sparkbourse.plans.queries import subscribe, unsubscribe
 from sparkbourse.plans.settle import replay
 from sparkbourse.sources.events import LOG, read_events
 from sparkbourse.sources.state import StateStore, seed_wallets
@@ -46,6 +47,19 @@ def test_stream_equals_replay_and_restarts(spark, tmp_path):
     assert sorted(map(str, seen)) == rows(streamed.feed("order_changes").select("version", "id", "status"))
     assert {r.version for r in seen} == {1, 2}
 
+    # Two clients follow an order each; one of them leaves again.
+    wanted = streamed.load("orders").filter("seq in (0, 1)").selectExpr("id as orderId", "seq as requestId")
+    subscriptions = subscribe(wanted)
+    left = unsubscribe(subscriptions, spark.createDataFrame([("1",)], "handle string"))
+    followed = []
+    query = feeds.followed_orders(
+        streamed, lambda _: left, lambda df, _: followed.extend(df.select("id", "feedId").collect()), str(tmp_path / "follow")
+    )
+    query.awaitTermination()
+    (only,) = {r.id for r in followed}
+    assert only == wanted.filter("requestId = 0").first().orderId
+    assert all(r.feedId.startswith(f"order/{only}/") for r in followed)
+
 
 def test_ledger_stream_skips_committed_batches(spark, tmp_path):
     source = str(tmp_path / "source")
