@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+SCRATCH_CONF = "spark.sparkbourse.scratchDir"
 
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -28,24 +28,36 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkS
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temporary one only on a local master."""
-    sc = spark.sparkContext
-    configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF)
-    if configured:
-        return configured.rstrip("/")
-    if not sc.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="sparkbourse-")
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+    """The shared folder for tables that several steps read.
+
+    It is the one named by ``spark.checkpoint.dir`` or, where that is unset, by ``spark.sparkbourse.scratchDir``;
+    with neither it lies in the warehouse, which every executor reaches too. Never a machine's own temporary folder.
+    """
+    for name in (CHECKPOINT_CONF, SCRATCH_CONF):
+        folder = spark.conf.get(name, None) or spark.sparkContext.getConf().get(name)
+        if folder:
+            return folder.rstrip("/")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
-    Cuts lineage so that several readers see the same rows, also after executors are lost.
+    Cuts lineage so that several readers see the same rows, also after executors are lost. ``release`` removes it.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/staged/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/staged/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged._staged_at = path
+    return staged
+
+
+def release(*staged: DataFrame) -> None:
+    """Remove tables written by ``stage`` that nothing reads any more."""
+    for df in staged:
+        path = getattr(df, "_staged_at", None)
+        if path:
+            spark = df.sparkSession
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
