@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkbourse.llm import packing
+from sparkbourse.llm import line_dedup, packing, toxicity
 from sparkbourse.llm.common import table
 
 
@@ -14,7 +14,21 @@ def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
+def line_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    cut = line_dedup.remove_repeats(table(spark, folder, "documents"))
+    return cut.select("doc_id", "text", "chunks_removed", "lines_removed", "chars_removed")
+
+
+def toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.learn(docs, table(spark, folder, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": best_fit_packing,
+    "op9_line_dedup": line_chunks,
+    "op10_toxicity": toxicity_scores,
+}
+ORACLES: dict[str, str] = {
+    "op9_line_dedup": line_dedup.SQL,
 }
-ORACLES: dict[str, str] = {}
