@@ -13,7 +13,7 @@ import duckdb  # noqa: E402
 from __spark_entry__ import oracle_sql, queries  # noqa: E402
 from sparkbourse.session import local_session  # noqa: E402
 
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
