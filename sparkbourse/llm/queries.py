@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkbourse.llm import line_dedup, packing, toxicity
+from sparkbourse.llm import line_dedup, near_dedup, packing, secrets, toxicity
 from sparkbourse.llm.common import table
 
 
@@ -14,6 +14,14 @@ def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
+def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.classes(table(spark, folder, "documents")).select("doc_id", "class_id", "class_size")
+
+
+def secret_spans(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.find(table(spark, folder, "documents"), secrets.new_ledger(spark))
+
+
 def line_chunks(spark: SparkSession, folder: str) -> DataFrame:
     cut = line_dedup.remove_repeats(table(spark, folder, "documents"))
     return cut.select("doc_id", "text", "chunks_removed", "lines_removed", "chars_removed")
@@ -26,9 +34,12 @@ def toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": best_fit_packing,
+    "op4_near_duplicates": near_duplicates,
+    "op7_secret_scans": secret_spans,
     "op9_line_dedup": line_chunks,
     "op10_toxicity": toxicity_scores,
 }
 ORACLES: dict[str, str] = {
+    "op7_secret_scans": secrets.SQL,
     "op9_line_dedup": line_dedup.SQL,
 }
