@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkbourse.llm import line_dedup, near_dedup, packing, secrets, toxicity
+from sparkbourse.llm import byte_bpe, line_dedup, near_dedup, packing, secrets, toxicity
 from sparkbourse.llm.common import table
 
 
@@ -14,6 +14,10 @@ def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
+def byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return byte_bpe.round_trip(table(spark, folder, "documents"))
+
+
 def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.classes(table(spark, folder, "documents")).select("doc_id", "class_id", "class_size")
 
@@ -34,6 +38,7 @@ def toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": best_fit_packing,
+    "op2_byte_bpe": byte_level_bpe,
     "op4_near_duplicates": near_duplicates,
     "op7_secret_scans": secret_spans,
     "op9_line_dedup": line_chunks,
