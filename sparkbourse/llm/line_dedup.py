@@ -51,9 +51,11 @@ def remove_repeats(docs: DataFrame, mean_lines: int = MEAN_LINES, least_lines: i
     countable = (F.col("c.n_lines") >= least_lines) & F.col("c.body").rlike("\\S")
 
     # Groups of equal hashes, reduced before the shuffle; only those with several places go on.
+    # Both are written: a join of two tables that only then are dealt by hash can split a hash that very many places have.
     found = docs.select(*keys, F.explode(chunks).alias("c")).filter(countable).select(place.alias("place"), hashed.alias("hash"))
+    found = stage(found, "places")
     groups = found.groupBy("hash").agg(F.min("place").alias("first"), F.max("place").alias("last"))
-    repeated = groups.filter(~F.col("first").eqNullSafe(F.col("last"))).select(F.col("hash").alias("h"), "first")
+    repeated = stage(groups.filter(~F.col("first").eqNullSafe(F.col("last"))).select(F.col("hash").alias("h"), "first"), "repeated")
     mark = F.struct(F.col("place.idx").alias("idx"), "hash", (~F.col("place").eqNullSafe(F.col("first"))).alias("later"))
     marked = found.join(repeated, F.col("hash") == F.col("h")).select("place.k", "place.t", mark.alias("m"))
     per_doc = marked.groupBy(F.col("k").alias("k2"), F.col("t").alias("t2")).agg(F.collect_set("m").alias("marks"))
@@ -63,6 +65,7 @@ def remove_repeats(docs: DataFrame, mean_lines: int = MEAN_LINES, least_lines: i
     rows = docs.select(*keys, rest, chunks)
     rows = rows.join(per_doc, F.col("k").eqNullSafe(F.col("k2")) & F.col("t").eqNullSafe(F.col("t2")), "left").drop("k2", "t2")
     rows = stage(rows, "chunked")
+    release(found, repeated)
 
     # Byte comparison: group the bodies themselves. Only hashes that several different bodies share need a second look.
     marked = rows.filter("marks is not null").select("k", "t", "marks", F.explode("chunks").alias("c"))
