@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkbourse.llm import byte_bpe, chat, kd_search, line_dedup, near_dedup, packing, polytope, secrets, toxicity
+from sparkbourse.llm import byte_bpe, chat, kd_search, licenses, line_dedup, near_dedup, packing, polytope, secrets, toxicity
 from sparkbourse.llm.common import table
 
 
@@ -46,6 +46,13 @@ def secret_spans(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.find(table(spark, folder, "documents"), secrets.new_ledger(spark))
 
 
+def license_notices(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan(table(spark, folder, "documents"))
+    names = F.array_sort(F.array_distinct(F.transform("licenses", lambda m: m["license"])))
+    spans = F.transform("licenses", lambda m: F.concat_ws(":", m["license"], m["start_word"], m["end_word"]))
+    return found.select("doc_id", F.size("licenses").alias("n_matches"), F.array_join(names, ",").alias("licenses"), F.array_join(spans, ",").alias("spans"))
+
+
 def line_chunks(spark: SparkSession, folder: str) -> DataFrame:
     cut = line_dedup.remove_repeats(table(spark, folder, "documents"))
     return cut.select("doc_id", "text", "chunks_removed", "lines_removed", "chars_removed")
@@ -64,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_exact_top_k": exact_top_k,
     "op6_nearest_neighbours": nearest_neighbours,
     "op7_secret_scans": secret_spans,
+    "op8_license_scans": license_notices,
     "op9_line_dedup": line_chunks,
     "op10_toxicity": toxicity_scores,
 }
