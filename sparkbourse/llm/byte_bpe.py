@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -57,6 +58,8 @@ SELECT w, t FROM step WHERE done ORDER BY w, p
 """
 #: Bytes as the Latin-1 letters of the same numbers, since strings can be put together in order.
 DECODE = "SELECT w, string_agg(letters, '' ORDER BY p) AS letters FROM runs JOIN vocabulary USING (t) GROUP BY w"
+#: Stands for an unassigned character while the pattern is matched: a sign that is no letter.
+UNASSIGNED = "\ufffc"
 _codecs: dict = {}
 
 
@@ -116,7 +119,7 @@ class Codec:
         self._load("merges", l=left, r=right, z=rank, safe=safe)
         self._load("vocabulary", t=np.array(list(tokens), np.int32), letters=[t.decode("latin-1") for t in tokens.values()])
         self._byte = np.array([self._ranks.get(bytes([b]), -1) for b in range(256)], np.int32)
-        self._match = regex.compile(pattern).findall
+        self._matches = regex.compile(pattern).finditer
         self._odd_space, self._cut = re.compile(r"(?<!\S) | (?!\S)").search, re.compile(r"(?<=\S) (?=\S)").split
         self._words, self._chunks = _Remembered(self._encode_words, keep), _Remembered(self._encode_chunks, keep)
 
@@ -148,6 +151,13 @@ class Codec:
                 found.update(zip(some, self._contract(some, query), strict=True))
         return [found[w] for w in raw]
 
+    def _match(self, text: str) -> list[str]:
+        """Matches of the pattern; characters that Unicode has not assigned are neither letters nor numbers."""
+        known = text
+        if not text.isascii():
+            known = "".join([UNASSIGNED if unicodedata.category(c) == "Cn" else c for c in text])
+        return [text[m.start() : m.end()] for m in self._matches(known)]
+
     def _encode_chunks(self, keys: list[str]) -> list[bytes]:
         """A key is what stands behind the space that begins a chunk, or a newline and the head of a text."""
         parts = []

@@ -115,7 +115,7 @@ numbered AS (
 chunks AS (
   SELECT doc_id, idx, count(*) AS n_lines, string_agg(line, chr(10) ORDER BY i) AS body FROM numbered GROUP BY doc_id, idx),
 ranked AS (
-  SELECT *, n_lines >= {LEAST_LINES} AND regexp_matches(body, '\S')
+  SELECT *, n_lines >= {LEAST_LINES} AND regexp_matches(body, '\\S')
             AND row_number() OVER (PARTITION BY body ORDER BY doc_id, idx) > 1 AS later FROM chunks),
 cut AS (
   SELECT doc_id, coalesce(string_agg(body, chr(10) ORDER BY idx) FILTER (NOT later), '') AS text,

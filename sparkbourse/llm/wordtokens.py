@@ -35,7 +35,7 @@ class WordTokens:
 
         self._whole = Tokenizer.from_file(path)
         self._whole.encode_special_tokens = True
-        self._tokenize, self._normalise = self._whole.model.tokenize, self._whole.normalizer.normalize_str
+        self._tokenize = self._whole.model.tokenize
         self._split, self._letters = regex.compile(PRETOKENS).findall, byte_letters()
         self._words, self._chunks = Kept(self._word, keep), Kept(self._chunk, keep)
 
@@ -45,19 +45,23 @@ class WordTokens:
 
     def _chunk(self, chunk: str) -> bytes:
         if chunk.isascii() or "Σ" not in chunk and unicodedata.is_normalized("NFC", chunk):
+            if not chunk.isascii() and any(unicodedata.category(c) == "Cn" for c in chunk):
+                return self._plain(chunk)  # characters that not every Unicode version has
             chunk = chunk.lower()  # a capital sigma would turn out otherwise at the end of a word
             if chunk.isalpha():
                 return self._words[chunk]
             if chunk[:-1].isalpha() and chunk[-1] in ".,":
                 return self._words[chunk[:-1]] + self._words[chunk[-1]]
         else:
-            chunk = self._normalise(chunk)
+            return self._plain(chunk)
         return b"".join([self._words[word] for word in self._split(chunk)])
 
+    def _plain(self, text: str) -> bytes:
+        return b"".join([i.to_bytes(4, "little") for i in self._whole.encode(text, add_special_tokens=False).ids])
+
     def encode(self, text: str) -> bytes:
         if any(c in text for c in NO_SPACE):
-            ids = self._whole.encode(text, add_special_tokens=False).ids
-            return b"".join([i.to_bytes(4, "little") for i in ids])
+            return self._plain(text)
         ids = b"".join(map(self._chunks.__getitem__, text.split()))
         self._words.turn()
         self._chunks.turn()
