@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkbourse.operators.matching import LADDER, MATCH_COLUMNS, favour, match_snapshot
+from sparkbourse.operators.matching import LADDER, MATCH_COLUMNS, favour, match_snapshot, tie_break
 from sparkbourse.operators.running import has_hot_key, max_group_rows, running_before
 from sparkbourse.schemas import LIMIT_BUY, LIMIT_SELL, MONEY, PROCESSED
 from sparkbourse.session import stage
@@ -34,7 +34,8 @@ _UNIT_COLUMNS = ("takerPrice", "takerQty", "makerQty", "qtyFilled", "price", "qt
 def match_sequential(takers: DataFrame, book: DataFrame, time_priority: bool = False) -> DataFrame:
     """One row per match with the taker's ``seq``; ``makerQty`` is what the maker still had open."""
     resting = book.filter(F.col("status") == PROCESSED).select(*RESTING)
-    active = stage(_active(_able_takers(takers.filter("qty > 0").select(*RESTING), resting), resting), "active")
+    able = _able_takers(takers.filter("qty > 0").select(*RESTING), resting)
+    active = stage(_active(able, resting, time_priority), "active")
     if not has_hot_key(active, MARKET):
         return _in_order(active, time_priority)
     # There are at most (all rows / limit) hot markets.
@@ -62,8 +63,8 @@ def _able_takers(takers: DataFrame, resting: DataFrame) -> DataFrame:
     return takers.join(best, MARKET).filter(overlaps).select(*RESTING)
 
 
-def _active(takers: DataFrame, resting: DataFrame) -> DataFrame:
-    """The takers and the resting orders they can reach by price and by quantity."""
+def _active(takers: DataFrame, resting: DataFrame, time_priority: bool) -> DataFrame:
+    """The takers and the resting orders they can reach by price and, in the order in which makers trade, by quantity."""
     wanted = takers.groupBy(
         *MARKET, F.when(_side(LIMIT_BUY), LIMIT_SELL).otherwise(LIMIT_BUY).alias("side")
     ).agg(
@@ -79,7 +80,7 @@ def _active(takers: DataFrame, resting: DataFrame) -> DataFrame:
     passed_over = (
         ladder.groupBy(*LADDER, "walletId").agg(F.sum("qty").alias("own")).groupBy(*LADDER).agg(F.max("own").alias("own"))
     )
-    placed = running_before(ladder, LADDER, ["fav", "id"], sums={"before": F.col("qty")}, label="reach")
+    placed = running_before(ladder, LADDER, ["fav", *tie_break(time_priority)], sums={"before": F.col("qty")}, label="reach")
     reached = placed.join(passed_over, LADDER).filter("before - own < demand")
     return takers.withColumn("is_taker", F.lit(True)).unionByName(
         reached.select(*RESTING).withColumn("is_taker", F.lit(False))
@@ -165,7 +166,7 @@ def _in_slices(active: DataFrame, time_priority: bool) -> DataFrame:
     while todo:
         start, end = todo.pop(0)
         acting = numbered.filter(F.col("no").between(start, end - 1)).select(*RESTING)
-        part = stage(_active(acting, resting), "slice")
+        part = stage(_active(acting, resting, time_priority), "slice")
         too_large = has_hot_key(part, MARKET)
         if too_large and end - start > 1:
             middle = (start + end) // 2

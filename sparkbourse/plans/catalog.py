@@ -205,8 +205,10 @@ def fill_effects(spark: SparkSession, d: str) -> DataFrame:
 
 
 def apply_fills(spark: SparkSession, d: str) -> DataFrame:
-    orders = matching.enter_book(testviews.orders(spark, d))
-    return out(lifecycle.apply_fills(orders, _fills(spark, d)), "id", "qty", "qtyFilled", "status")
+    """Orders after the fills of matching in turn."""
+    orders = testviews.orders(spark, d)
+    matches = sequential.match_sequential(matching.takers(orders), orders).withColumn("eventId", F.col("takerId"))
+    return out(lifecycle.apply_fills(matching.enter_book(orders), matching.to_fills(matches)), "id", "qty", "qtyFilled", "status")
 
 
 def _decoded(spark: SparkSession, d: str) -> DataFrame:
@@ -413,10 +415,18 @@ def seeded_wallets(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+_IN_TURN = ["seq", "takerId", "makerId", "makerQty", "qtyFilled", "price", "qtyBefore"]
+
+
 def match_sequential(spark: SparkSession, d: str) -> DataFrame:
     orders = testviews.orders(spark, d)
-    matches = sequential.match_sequential(matching.takers(orders), orders)
-    return out(matches, "seq", "takerId", "makerId", "makerQty", "qtyFilled", "price", "qtyBefore")
+    return out(sequential.match_sequential(matching.takers(orders), orders), *_IN_TURN)
+
+
+def match_sequential_by_age(spark: SparkSession, d: str) -> DataFrame:
+    """Makers at one price by age instead of id."""
+    orders = testviews.orders(spark, d)
+    return out(sequential.match_sequential(matching.takers(orders), orders, time_priority=True), *_IN_TURN)
 
 
 def settle_batch(spark: SparkSession, d: str) -> DataFrame:
@@ -525,6 +535,7 @@ QUERIES: dict[str, Query] = {
         touch_wallets,
         seeded_wallets,
         match_sequential,
+        match_sequential_by_age,
         settle_batch,
         stream_ledger,
         stream_settle,

@@ -24,6 +24,49 @@ matches AS (
   SELECT *, LEAST(maker_qty, taker_qty - before) AS filled, sha256(taker || '|' || maker) AS match_id
   FROM pairs WHERE before < taker_qty)"""
 
+
+
+def in_turn(tie: str) -> str:
+    """Matching in which each taker meets the book the one before left: one step per taker of every market at once.
+
+    ``tie`` orders makers at one price. Each market has a dummy row, so that a taker also acts on an empty book.
+    """
+    return "WITH RECURSIVE " + ORDERS + f""", t AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY base, quote ORDER BY seq) AS n FROM o WHERE status = 'CONFIRMED'),
+run AS (
+  SELECT CAST(0 AS BIGINT) AS n, FALSE AS is_match, base, quote, id, wallet, side, price, qty, seq,
+    NULL::VARCHAR AS taker, NULL::VARCHAR AS taker_wallet, NULL::VARCHAR AS taker_side, NULL::BIGINT AS taker_price,
+    NULL::BIGINT AS taker_qty, NULL::BIGINT AS taker_seq, CAST(0 AS BIGINT) AS filled, CAST(0 AS BIGINT) AS before
+  FROM o WHERE status = 'PROCESSED'
+  UNION ALL
+  SELECT DISTINCT 0, FALSE, base, quote, '', '', 'NONE', 0, 1, 0, NULL, NULL, NULL, NULL, NULL, NULL, 0, 0 FROM t
+  UNION ALL
+  (WITH met AS (
+     SELECT t.n AS tn, r.base, r.quote, r.id, r.wallet, r.side, r.price, r.qty, r.seq, t.id AS tid, t.wallet AS tw, t.side AS ts,
+       t.price AS tp, t.qty AS tq, t.seq AS tseq,
+       r.side <> 'NONE' AND r.side <> t.side AND r.wallet <> t.wallet
+         AND CASE WHEN t.side = 'LIMIT_SELL' THEN t.price <= r.price ELSE t.price >= r.price END AS can
+     FROM run r JOIN t ON t.base = r.base AND t.quote = r.quote AND t.n = r.n + 1 WHERE NOT r.is_match),
+   placed AS (
+     SELECT *, CAST(COALESCE(SUM(qty) OVER (PARTITION BY base, quote, can
+       ORDER BY CASE WHEN ts = 'LIMIT_SELL' THEN -price ELSE price END, {tie}
+       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS ahead FROM met),
+   traded AS (SELECT *, CASE WHEN can THEN GREATEST(0, LEAST(qty, tq - ahead)) ELSE 0 END AS f FROM placed)
+   SELECT tn, FALSE, base, quote, id, wallet, side, price, qty - f, seq, NULL, NULL, NULL, NULL, NULL, NULL, 0, 0
+   FROM traded WHERE qty > f
+   UNION ALL
+   SELECT tn, TRUE, base, quote, id, wallet, side, price, qty, seq, tid, tw, ts, tp, tq, tseq, f, ahead FROM traded WHERE f > 0
+   UNION ALL
+   SELECT tn, FALSE, base, quote, tid, tw, ts, tp, CAST(tq - SUM(f) AS BIGINT), tseq, NULL, NULL, NULL, NULL, NULL, NULL, 0, 0
+   FROM traded GROUP BY tn, base, quote, tid, tw, ts, tp, tq, tseq HAVING tq > SUM(f))),
+matches AS (
+  SELECT taker, id AS maker, taker_seq AS tseq, base, quote, taker_side AS side, taker_wallet, wallet AS maker_wallet,
+    taker_price, taker_qty, qty AS maker_qty, price, before, filled FROM run WHERE is_match)"""
+
+
+IN_TURN_OUT = """SELECT tseq AS seq, taker AS taker_id, maker AS maker_id, CAST(maker_qty AS DOUBLE) AS maker_qty,
+  CAST(filled AS DOUBLE) AS qty_filled, CAST(price AS DOUBLE) AS price, CAST(before AS DOUBLE) AS qty_before FROM matches"""
+
 FILLS = MATCHES + """, fills AS (
   SELECT sha256(match_id || '|left') AS command_id, taker AS order_id, match_id AS cause_id, filled, price AS fill_price,
     taker_wallet AS wallet, side, taker_price AS limit_price, base, quote FROM matches
@@ -260,12 +303,13 @@ HAVING COUNT(DISTINCT op) = 2""",
   CAST(SUM(CASE op WHEN 'CREDIT' THEN 0 ELSE -release END) AS DOUBLE) AS blocked, COUNT(*) AS tx_count
 FROM caused GROUP BY wallet, asset""",
     ),
-    "apply_fills": _with(
-        FILLS,
-        """SELECT o.id, CAST(o.qty - f.filled AS DOUBLE) AS qty, CAST(f.filled AS DOUBLE) AS qty_filled,
+    "apply_fills": in_turn("id")
+    + """ SELECT o.id, CAST(o.qty - f.filled AS DOUBLE) AS qty, CAST(f.filled AS DOUBLE) AS qty_filled,
   CASE WHEN o.qty = f.filled THEN 'FILLED' ELSE 'PROCESSED' END AS status
-FROM o JOIN (SELECT order_id, SUM(filled) AS filled FROM fills GROUP BY order_id) f ON o.id = f.order_id""",
-    ),
+FROM o JOIN (SELECT id, SUM(filled) AS filled FROM (SELECT taker AS id, filled FROM matches
+  UNION ALL SELECT maker, filled FROM matches) GROUP BY id) f ON o.id = f.id""",
+    "match_sequential": in_turn("id") + " " + IN_TURN_OUT,
+    "match_sequential_by_age": in_turn("seq, id") + " " + IN_TURN_OUT,
     "decode_events": _with(
         LOG,
         """SELECT seq, event_id, content, command, order_id, CAST(price AS DOUBLE) AS price,

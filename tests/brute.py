@@ -7,7 +7,7 @@ from decimal import Decimal
 COUNTER = {"LIMIT_BUY": "LIMIT_SELL", "LIMIT_SELL": "LIMIT_BUY"}
 
 
-def candidates(taker: dict, book: list[dict]) -> list[dict]:
+def candidates(taker: dict, book: list[dict], by_age: bool = False) -> list[dict]:
     buys = taker["orderType"] == "LIMIT_BUY"
     fitting = [
         m
@@ -18,12 +18,12 @@ def candidates(taker: dict, book: list[dict]) -> list[dict]:
         and m["walletId"] != taker["walletId"]
         and (m["price"] <= taker["price"] if buys else m["price"] >= taker["price"])
     ]
-    return sorted(fitting, key=lambda m: (m["price"] if buys else -m["price"], m["id"]))
+    return sorted(fitting, key=lambda m: (m["price"] if buys else -m["price"], m["seq"] if by_age else 0, m["id"]))
 
 
-def match_one(taker: dict, book: list[dict]) -> list[tuple]:
+def match_one(taker: dict, book: list[dict], by_age: bool = False) -> list[tuple]:
     done, matches = Decimal(0), []
-    for maker in candidates(taker, book):
+    for maker in candidates(taker, book, by_age):
         if done >= taker["qty"]:
             break
         filled = min(maker["qty"], taker["qty"] - done)
@@ -36,11 +36,11 @@ def match_each(takers: list[dict], book: list[dict]) -> list[tuple]:
     return [match for taker in takers for match in match_one(taker, book)]
 
 
-def match_in_turn(takers: list[dict], book: list[dict]) -> list[tuple]:
+def match_in_turn(takers: list[dict], book: list[dict], by_age: bool = False) -> list[tuple]:
     book = [dict(order) for order in book]
     all_matches = []
     for taker in sorted(takers, key=lambda t: t["seq"]):
-        matches = match_one(taker, book)
+        matches = match_one(taker, book, by_age)
         by_id = {order["id"]: order for order in book}
         left = taker["qty"]
         for _, maker, filled, _ in matches:

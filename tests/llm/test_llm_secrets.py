@@ -87,7 +87,9 @@ def test_redaction(spark, docs):
         assert want + text[at:] in by_text
 
 
-def test_plan_has_no_python(spark, docs, capsys):
+def test_plan_has_no_python(spark, docs, capsys, tmp_path):
+    docs.write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
     secrets.find(docs, secrets.new_ledger(spark)).explain("formatted")
     plan = capsys.readouterr().out
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

@@ -95,6 +95,25 @@ def test_time_priority(spark):
         assert [m[1] for m in found(operator(*frames, time_priority=True))] == ["b"]
 
 
+@pytest.mark.parametrize("limit", [3, 1_000_000])
+def test_oldest_of_three_makers_trades_first(spark, small_groups, limit):
+    small_groups(limit)
+    taker = order("t", BUY, "1", 5, status="CONFIRMED", seq=9)
+    book = [order(name, SELL, "1", 10, wallet=f"w-{name}", seq=age) for name, age in (("a", 3), ("b", 2), ("c", 1))]
+    frames = orders_frame(spark, [taker]), orders_frame(spark, book)
+    for operator in OPERATORS:
+        assert [m[1] for m in found(operator(*frames, time_priority=True))] == ["c"]
+
+
+@pytest.mark.parametrize("limit", [20, 1_000_000])
+@pytest.mark.parametrize("seed", [3, 4])
+def test_sequential_by_age_equals_loop(spark, small_groups, limit, seed):
+    small_groups(limit)
+    takers, book = random_orders(seed, 40, 160, wallets=4, markets=2)
+    got = found(match_sequential(orders_frame(spark, takers), orders_frame(spark, book), time_priority=True))
+    assert got == sorted(brute.match_in_turn(takers, book, by_age=True))
+
+
 def test_no_crossed_book_after_sequential_match(spark):
     takers, book = random_orders(11, 60, 0, wallets=50, markets=1)
     matches = found(match_sequential(orders_frame(spark, takers), orders_frame(spark, book)))
