@@ -13,9 +13,6 @@ from sparkbourse.schemas import LEDGER, LIMIT_BUY, LIMIT_SELL, MONEY, RELEASE_AN
 
 Order = Column | str | None
 
-# The id made by `stable_id`, for use in SQL text.
-STABLE_ID_SQL = "sha2(concat_ws('|', {}), 256)"
-
 
 def field(order: Order, name: str) -> Column:
     """Field of an order held in a struct column, a named struct column, or flat columns (``None``)."""
@@ -89,8 +86,19 @@ def wallet_command_id(command_id: Column, operation: Column) -> Column:
 
 
 def stable_id(*parents: Column) -> Column:
-    """Id derived from the ids it stems from, so that a retried batch produces the same one."""
-    return F.sha2(F.concat_ws("|", *parents), 256)
+    """Id derived from what it stems from, so that a retried batch produces the same one.
+
+    Each part goes in with its length, so that no two lists of parts look alike; a missing one has no length.
+    """
+    text = [F.coalesce(p.cast("string"), F.lit("")) for p in parents]
+    size = [F.coalesce(F.length(p.cast("string")).cast("string"), F.lit("-")) for p in parents]
+    return F.sha2(F.concat(*[F.concat(n, F.lit(":"), t) for n, t in zip(size, text, strict=True)]), 256)
+
+
+def stable_id_sql(*parents: str) -> str:
+    """``stable_id`` of text columns, as SQL text."""
+    parts = [f"coalesce(cast(length({p}) as string), '-'), ':', coalesce({p}, '')" for p in parents]
+    return f"sha2(concat({', '.join(parts)}), 256)"
 
 
 def processed_at() -> Column:

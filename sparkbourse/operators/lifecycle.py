@@ -88,9 +88,12 @@ def command_struct() -> Column:
 
 
 def check_submits(commands: DataFrame) -> DataFrame:
-    """A submit is valid if it carries an order; the order gets an id of its own whatever the sender put in."""
+    """A submit is valid if it carries an order; the order gets an id of its own whatever the sender put in.
+
+    The id stems from the position too: a command that was sent twice makes two orders.
+    """
     submits = commands.filter(F.col("command") == SUBMIT)
-    order_id = fn.stable_id(F.col("eventId"), F.col("commandId"), F.col("orderId"))
+    order_id = fn.stable_id(F.col("seq"), F.col("eventId"), F.col("commandId"), F.col("orderId"))
     reason = F.when(F.col("commandOrder").isNull(), "submit without order")
     return (
         submits.withColumn("reason", reason)

@@ -281,8 +281,12 @@ def _fill(segments: DataFrame, makers: DataFrame, hot: bool) -> DataFrame:
     )
 
 
-def _order_of(role: str, order_type: Column, price: Column) -> Column:
-    """Order record of one side of a match, with the open quantity it had when it was matched."""
+def _order_of(role: str, order_type: Column, price: Column, columns: list[str]) -> Column:
+    """Order record of one side of a match as it was when it was matched: open quantity, filled quantity, message.
+
+    The last two are in columns that settlement adds; a snapshot's orders had nothing filled.
+    """
+    filled, message = f"{role}Filled", f"{role}Message"
     return F.struct(
         F.col(f"{role}Id").alias("id"),
         F.col("baseAssetId"),
@@ -291,9 +295,9 @@ def _order_of(role: str, order_type: Column, price: Column) -> Column:
         order_type.alias("orderType"),
         price.alias("price"),
         F.col(f"{role}Qty").alias("qty"),
-        F.lit(0).cast(MONEY).alias("qtyFilled"),
+        (F.col(filled) if filled in columns else F.lit(0)).cast(MONEY).alias("qtyFilled"),
         F.lit(PROCESSED).alias("status"),
-        F.lit("").alias("message"),
+        (F.col(message) if message in columns else F.lit("")).alias("message"),
     ).cast(ORDER)
 
 
@@ -303,8 +307,8 @@ def to_match_commands(matches: DataFrame) -> DataFrame:
         "ordersMatchCommand",
         F.struct(
             F.col("matchId"),
-            _order_of("taker", F.col("takerType"), F.col("takerPrice")).alias("leftOrder"),
-            _order_of("maker", counter_side(F.col("takerType")), F.col("price")).alias("rightOrder"),
+            _order_of("taker", F.col("takerType"), F.col("takerPrice"), matches.columns).alias("leftOrder"),
+            _order_of("maker", counter_side(F.col("takerType")), F.col("price"), matches.columns).alias("rightOrder"),
             F.col("qtyFilled"),
             F.col("price"),
         ).cast(MATCH),
@@ -313,7 +317,7 @@ def to_match_commands(matches: DataFrame) -> DataFrame:
 
 def to_fills(matches: DataFrame) -> DataFrame:
     """Two FILL commands per match, one for either order."""
-    carried = [c for c in ("seq", "eventId") if c in matches.columns]
+    carried = [c for c in ("seq", "eventId", "qtyBefore") if c in matches.columns]
 
     def fill(role: str, order_field: str) -> Column:
         order = F.col(f"ordersMatchCommand.{order_field}")

@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+
+
+def made_id(*parts: str) -> str:
+    """SQL of an id made from parts, each with its length before it."""
+    return "sha256(" + " || ".join(f"length({p}) || ':' || {p}" for p in parts) + ")"
+
+
 ORDERS = """o AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderkey AS seq, n_name AS base, o_orderpriority AS quote,
     CAST(o_custkey AS VARCHAR) AS wallet,
@@ -21,7 +28,7 @@ MATCHES = ORDERS + """, pairs AS (
     AND CASE WHEN t.side = 'LIMIT_SELL' THEN t.price <= m.price ELSE t.price >= m.price END
   WHERE t.status = 'CONFIRMED' AND m.status = 'PROCESSED'),
 matches AS (
-  SELECT *, LEAST(maker_qty, taker_qty - before) AS filled, sha256(taker || '|' || maker) AS match_id
+  SELECT *, LEAST(maker_qty, taker_qty - before) AS filled, """ + made_id("taker", "maker") + """ AS match_id
   FROM pairs WHERE before < taker_qty)"""
 
 
@@ -68,10 +75,10 @@ IN_TURN_OUT = """SELECT tseq AS seq, taker AS taker_id, maker AS maker_id, CAST(
   CAST(filled AS DOUBLE) AS qty_filled, CAST(price AS DOUBLE) AS price, CAST(before AS DOUBLE) AS qty_before FROM matches"""
 
 FILLS = MATCHES + """, fills AS (
-  SELECT sha256(match_id || '|left') AS command_id, taker AS order_id, match_id AS cause_id, filled, price AS fill_price,
+  SELECT """ + made_id("match_id", "'left'") + """ AS command_id, taker AS order_id, match_id AS cause_id, filled, price AS fill_price,
     taker_wallet AS wallet, side, taker_price AS limit_price, base, quote FROM matches
   UNION ALL
-  SELECT sha256(match_id || '|right'), maker, match_id, filled, price, maker_wallet,
+  SELECT """ + made_id("match_id", "'right'") + """, maker, match_id, filled, price, maker_wallet,
     CASE side WHEN 'LIMIT_SELL' THEN 'LIMIT_BUY' ELSE 'LIMIT_SELL' END, price, base, quote FROM matches)"""
 
 FILL_COMMANDS = FILLS + """, caused AS (
@@ -168,9 +175,9 @@ fill_checks AS (
 
 
 API = ORDERS + """, api AS (
-  SELECT seq, 'SUBMIT' AS command, sha256('command|r-' || id) AS command_id, sha256('order|r-' || id) AS order_id
+  SELECT seq, 'SUBMIT' AS command, """ + made_id("'command'", "('r-' || id)") + """ AS command_id, """ + made_id("'order'", "('r-' || id)") + """ AS order_id
   FROM o WHERE status = 'CONFIRMED'
-  UNION ALL SELECT seq, 'CANCEL', sha256('command|r-' || id), id FROM o WHERE status = 'FILLED')"""
+  UNION ALL SELECT seq, 'CANCEL', """ + made_id("'command'", "('r-' || id)") + """, id FROM o WHERE status = 'FILLED')"""
 
 
 def _with(ctes: str, select: str) -> str:
@@ -342,7 +349,7 @@ WHERE order_key IS NULL AND wallet_key IS NULL AND command IS NULL""",
     ),
     "validate_submit": _with(
         LOG,
-        """SELECT log_seq AS seq, command_id, sha256(event_id || '|' || command_id || '|' || target) AS order_id,
+        """SELECT log_seq AS seq, command_id, """ + made_id("CAST(log_seq AS VARCHAR)", "event_id", "command_id", "target") + """ AS order_id,
   base || '-' || quote AS market, wallet AS wallet_id, CAST(price AS DOUBLE) AS price, CAST(qty AS DOUBLE) AS qty
 FROM commands WHERE kind = 'SUBMIT'""",
     ),
@@ -360,7 +367,7 @@ FROM commands WHERE kind = 'SUBMIT'""",
     ),
     "command_wallet_commands": _with(
         LOG,
-        """SELECT command_id || '-BLOCK' AS id, sha256(event_id || '|' || command_id || '|' || target) AS cause_id,
+        """SELECT command_id || '-BLOCK' AS id, """ + made_id("CAST(log_seq AS VARCHAR)", "event_id", "command_id", "target") + """ AS cause_id,
   wallet AS wallet_id, CASE side WHEN 'LIMIT_BUY' THEN base ELSE quote END AS asset_id, 'BLOCK' AS operation,
   CAST(CASE side WHEN 'LIMIT_BUY' THEN qty * price ELSE qty END AS DOUBLE) AS amount, 0.0::DOUBLE AS amount_release
 FROM commands WHERE kind = 'SUBMIT'
@@ -384,7 +391,7 @@ UNION ALL SELECT id, seq, status, FALSE FROM o WHERE id NOT IN (SELECT target FR
     ),
     "apply_submit": _with(
         LOG,
-        """SELECT log_seq AS seq, sha256(event_id || '|' || command_id || '|' || target) AS id, wallet AS wallet_id,
+        """SELECT log_seq AS seq, """ + made_id("CAST(log_seq AS VARCHAR)", "event_id", "command_id", "target") + """ AS id, wallet AS wallet_id,
   CAST(price AS DOUBLE) AS price, CAST(qty AS DOUBLE) AS qty, 'CONFIRMED' AS status FROM commands WHERE kind = 'SUBMIT'""",
     ),
     "api_commands": _with(

@@ -14,8 +14,8 @@ MARKET = ["baseAssetId", "quoteAssetId"]
 
 
 def order_status(orders: DataFrame, order_id: str) -> DataFrame:
-    """The one row of an order."""
-    return orders.filter(F.col("id") == order_id).select(*ORDER_COLUMNS).limit(1)
+    """The row of an order; the table has one for each id."""
+    return orders.filter(F.col("id") == order_id).select(*ORDER_COLUMNS)
 
 
 def orders_for_market(orders: DataFrame, base: str, quote: str) -> DataFrame:

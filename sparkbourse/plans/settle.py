@@ -21,6 +21,7 @@ from sparkbourse.operators.running import running_before
 from sparkbourse.operators.sequential import match_sequential
 from sparkbourse.schemas import (
     CANCEL,
+    FILL,
     FILLED,
     LEDGER,
     MONEY,
@@ -48,6 +49,7 @@ class Settled:
     wallet_changes: DataFrame
     matches: DataFrame
     rejections: DataFrame
+    passed: DataFrame
 
 
 def settle_batch(
@@ -75,14 +77,15 @@ def settle_batch(
         "matches",
     )
 
-    # Settlement: fills of the matches, and fills that came in as commands for orders that exist.
-    arrived = valid.filter(F.col("command") == "FILL").join(
-        book.select(F.col("id").alias("orderId")), "orderId", "left_semi"
-    )
-    fills = matching.to_fills(matches).unionByName(arrived.select("seq", "eventId", *_FILL_COLUMNS))
-    fill_moves = stage(_moves(lifecycle.to_wallet_commands(fills), TRADING), "fill-moves")
-
-    order_changes = stage(_order_changes(confirmed, cancelled, cancels, book, matches, arrived), "order-changes")
+    # Settlement: fills of the matches, and fills that came in as commands, as far as their orders are still open.
+    changes = stage(_order_changes(confirmed, cancelled, cancels, book, matches), "changes")
+    arrived = _decide_fills(valid.filter(F.col("command") == FILL), book, changes)
+    taken = arrived.filter("reason is null")
+    fills = matching.to_fills(matches).unionByName(taken.select("seq", "eventId", *_FILL_COLUMNS, F.col("before").alias("qtyBefore")))
+    nth = fills.select(F.col("commandId"), F.col("qtyBefore").alias("nth"))
+    caused = lifecycle.to_wallet_commands(fills).join(nth, "commandId")
+    fill_moves = stage(_moves(caused, TRADING, F.col("nth")), "fill-moves")
+    order_changes = changes.unionByName(_fill_changes(taken))
     wallet_effects = [ledger.effects(decided), ledger.fill_effects(fill_moves)]
     touched = wallet_effects[0].select(*ledger.KEY).unionByName(wallet_effects[1].select(*ledger.KEY)).distinct()
     wallet_delta = ledger.apply_effects(wallets.join(touched, ledger.KEY, "left_semi"), *wallet_effects)
@@ -92,8 +95,9 @@ def settle_batch(
         wallet_delta=wallet_delta.withColumn("is_delete", F.lit(False)),
         order_changes=order_changes,
         wallet_changes=wallet_changes(all_moves, wallets),
-        matches=matches.drop("eventId"),
-        rejections=_rejections(checked, decided, events),
+        matches=_with_makers_filled(matches.drop("eventId"), confirmed, book),
+        rejections=_rejections(checked, decided, events).unionByName(_command_rejections(arrived)),
+        passed=passing(events),
     )
 
 
@@ -101,8 +105,16 @@ _FILL_COLUMNS = ["commandId", "orderId", "causeId", "command", "fillQty", "fillP
 _POSITION = ["phase", "seq", "nth"]
 
 
-def _moves(wallet_commands: DataFrame, phase: int = FUNDING) -> DataFrame:
-    """Wallet commands in ledger form."""
+def passing(events: DataFrame) -> DataFrame:
+    """Events with a partition key that no processor acts on, as they came."""
+    keyed = route.split_unkeyed(events)[0]
+    _, rest = route.split(keyed, "orderCommand")
+    _, rest = route.split(rest, "walletCommand")
+    return rest.select(F.coalesce("orderKey", "walletKey").alias("key"), "seq", "event")
+
+
+def _moves(wallet_commands: DataFrame, phase: int = FUNDING, nth: Column | None = None) -> DataFrame:
+    """Wallet commands in ledger form; ``nth`` orders those of one event and phase."""
     return wallet_commands.select(
         "walletId",
         "assetId",
@@ -114,6 +126,7 @@ def _moves(wallet_commands: DataFrame, phase: int = FUNDING) -> DataFrame:
         "eventId",
         F.col("command"),
         F.lit(phase).alias("phase"),
+        (F.lit(0) if nth is None else nth).cast(MONEY).alias("nth"),
     )
 
 
@@ -129,30 +142,26 @@ def deposits(events: DataFrame) -> DataFrame:
     )
 
 
+_FIELDS = [f.name for f in ORDER.fields]
+
+
+def _change(rows: DataFrame, phase: int, nth: Column | None = None, deleted: bool = False) -> DataFrame:
+    entry = F.col("entrySeq") if "entrySeq" in rows.columns else F.col("seq")
+    return rows.select(
+        *_FIELDS,
+        "seq",
+        entry.alias("entrySeq"),
+        "eventId",
+        F.lit(phase).alias("phase"),
+        (F.lit(0) if nth is None else nth).cast(MONEY).alias("nth"),
+        F.lit(deleted).alias("is_delete"),
+    )
+
+
 def _order_changes(
-    confirmed: DataFrame,
-    cancelled: DataFrame,
-    cancels: DataFrame,
-    book: DataFrame,
-    matches: DataFrame,
-    arrived: DataFrame,
+    confirmed: DataFrame, cancelled: DataFrame, cancels: DataFrame, book: DataFrame, matches: DataFrame
 ) -> DataFrame:
-    """Every status an order goes through, with its position in the batch."""
-    fields = [f.name for f in ORDER.fields]
-    zero = F.lit(0).cast(MONEY)
-
-    def change(rows: DataFrame, phase: int, nth: Column = zero, deleted: bool = False) -> DataFrame:
-        entry = F.col("entrySeq") if "entrySeq" in rows.columns else F.col("seq")
-        return rows.select(
-            *fields,
-            "seq",
-            entry.alias("entrySeq"),
-            "eventId",
-            F.lit(phase).alias("phase"),
-            nth.alias("nth"),
-            F.lit(deleted).alias("is_delete"),
-        )
-
+    """Every status an order goes through up to the trades, with its position in the batch."""
     removed = cancelled.join(cancels.select(F.col("orderId").alias("id"), "eventId"), "id")
     # What either side of a match has open after it follows from the match itself.
     taker_left = F.col("takerQty") - F.col("qtyBefore") - F.col("qtyFilled")
@@ -169,35 +178,68 @@ def _order_changes(
             )
         ),
     )
-    known = confirmed.select(*fields, F.col("seq").alias("entrySeq")).unionByName(
-        book.select(*fields, F.col("seq").alias("entrySeq"))
+    known = confirmed.select(*_FIELDS, F.col("seq").alias("entrySeq")).unionByName(
+        book.select(*_FIELDS, F.col("seq").alias("entrySeq"))
+    )
+    after_trades = known.join(traded, "id").transform(_left_over)
+    return (
+        _change(confirmed, CONFIRMING)
+        .unionByName(_change(matching.enter_book(confirmed), RESTING))
+        .unionByName(_change(after_trades, TRADING, F.col("nth")))
+        .unionByName(_change(removed, CANCELLING, deleted=True))
+    )
+
+
+def _left_over(orders: DataFrame) -> DataFrame:
+    """Orders with ``left`` as their open quantity; what went is filled."""
+    return orders.withColumns(
+        {
+            "qtyFilled": (F.col("qty") + F.col("qtyFilled") - F.col("left")).cast(MONEY),
+            "qty": F.col("left"),
+            "status": F.when(F.col("left") == 0, FILLED).otherwise(PROCESSED),
+        }
+    ).drop("left")
+
+
+def _decide_fills(commands: DataFrame, book: DataFrame, changes: DataFrame) -> DataFrame:
+    """Fill commands with the order they act on as it is after the trades, ``before`` and the ``reason`` against them.
+
+    Commands of one order act in log order. Once one asks for more than is open, it and the later ones of the batch are
+    turned down: what it would have left is not known.
+    """
+    orders = book.select(*_FIELDS, F.col("seq").alias("entrySeq")).join(
+        commands.select(F.col("orderId").alias("id")).distinct(), "id", "left_semi"
+    )
+    changed = changes.join(orders.select("id"), "id", "left_semi")
+    rows = _change(orders.withColumns({"seq": F.col("entrySeq"), "eventId": F.lit("")}), -1).unionByName(changed)
+    last = latest_by_key(rows, ["id"], _POSITION).select(
+        F.col("id").alias("orderId"), F.struct(*_FIELDS, "entrySeq").alias("known")
     )
-    after_trades = (
-        known.join(traded, "id")
-        .withColumns(
-            {
-                "qtyFilled": (F.col("qty") + F.col("qtyFilled") - F.col("left")).cast(MONEY),
-                "qty": F.col("left"),
-                "status": F.when(F.col("left") == 0, FILLED).otherwise(PROCESSED),
-            }
-        )
-        .drop("left")
+    numbered = running_before(commands, ["orderId"], ["seq", "commandId"], sums={"before": F.col("fillQty")}, label="arrived")
+    reason = (
+        F.when(F.col("known").isNull(), "unknown order")
+        .when(F.col("known.status") != PROCESSED, "order is not open")
+        .when(F.col("before") + F.col("fillQty") > F.col("known.qty"), "more than the open quantity")
     )
-    changes = (
-        change(confirmed, CONFIRMING)
-        .unionByName(change(matching.enter_book(confirmed), RESTING))
-        .unionByName(change(after_trades, TRADING, F.col("nth")))
-        .unionByName(change(removed, CANCELLING, deleted=True))
+    return stage(numbered.join(last, "orderId", "left").withColumn("reason", reason), "arrived")
+
+
+def _fill_changes(taken: DataFrame) -> DataFrame:
+    """One change for every fill command."""
+    left = (F.col("known.qty") - F.col("before") - F.col("fillQty")).cast(MONEY)
+    rows = taken.select("seq", "eventId", "before", left.alias("left"), "known.*")
+    return _change(rows.transform(_left_over), FILLING, F.col("before"))
+
+
+def _with_makers_filled(matches: DataFrame, confirmed: DataFrame, book: DataFrame) -> DataFrame:
+    """Matches with what their maker had filled before, and the messages of both orders."""
+    known = confirmed.select("id", "qty", "qtyFilled", "message").unionByName(book.select("id", "qty", "qtyFilled", "message"))
+    maker = known.select(
+        F.col("id").alias("makerId"), (F.col("qty") + F.col("qtyFilled")).alias("whole"), F.col("message").alias("makerMessage")
     )
-    if arrived.isEmpty():
-        return changes
-    # Fills that arrived act on what the orders are after the trades.
-    last_known = latest_by_key(
-        change(book.withColumn("eventId", F.lit("")), -1).unionByName(changes), ["id"], _POSITION
-    ).select(*fields, "entrySeq")
-    origin = arrived.groupBy(F.col("orderId").alias("id")).agg(F.max("seq").alias("seq"), F.max_by("eventId", "seq").alias("eventId"))
-    filled = lifecycle.apply_fills(last_known, arrived).join(origin, "id")
-    return changes.unionByName(change(filled, FILLING))
+    taker = known.select(F.col("id").alias("takerId"), F.col("message").alias("takerMessage"))
+    filled = (F.col("whole") - F.col("makerQty")).cast(MONEY)
+    return matches.join(maker, "makerId").join(taker, "takerId").withColumn("makerFilled", filled).drop("whole")
 
 
 def latest_rows(order_changes: DataFrame) -> DataFrame:
@@ -209,20 +251,26 @@ def latest_rows(order_changes: DataFrame) -> DataFrame:
 
 
 def wallet_changes(moves: DataFrame, wallets: DataFrame) -> DataFrame:
-    """Balance after every accepted wallet command, and whether its order still had to be changed."""
+    """Balance after every accepted wallet command, how many its asset and its wallet have had, and whether its order
+    still had to be changed."""
     running = ledger.running_balances(
-        moves, wallets, order=["phase", "seq", "id"], carry=["id", "eventId", "phase", "command"]
+        moves, wallets, order=["phase", "seq", "nth", "id"], carry=["id", "eventId", "phase", "nth", "command"]
     )
+    counted = running_before(
+        running, ["walletId"], ["phase", "seq", "nth", "id"], sums={"_no": F.lit(1).cast("long")}, label="wallet-count"
+    )
+    start = ledger.tx_count(wallets).select("walletId", F.col("txCount").alias("_start"))
+    counted = counted.join(start, "walletId", "left")
+    running = counted.withColumn("walletTxCount", F.coalesce("_start", F.lit(0).cast("long")) + F.col("_no") + 1).drop("_no", "_start")
     needs_order = F.when(F.col("command") == "FILL", fn.modifies_order(F.col("operation"))).otherwise(
         F.coalesce(F.col("command") == SUBMIT, F.lit(False))
     )
     return running.withColumn("needsOrderProcessing", needs_order)
 
 
-def _rejections(checked: DataFrame, decided: DataFrame, events: DataFrame) -> DataFrame:
-    """Everything turned down, with the reason."""
+def _command_rejections(checked: DataFrame) -> DataFrame:
     no_amount = F.lit(None).cast(LEDGER)
-    commands = lifecycle.rejected(checked).select(
+    return lifecycle.rejected(checked).select(
         "seq",
         F.col("commandId").alias("id"),
         F.col("command").alias("operation"),
@@ -230,6 +278,12 @@ def _rejections(checked: DataFrame, decided: DataFrame, events: DataFrame) -> Da
         no_amount.alias("required"),
         no_amount.alias("available"),
     )
+
+
+def _rejections(checked: DataFrame, decided: DataFrame, events: DataFrame) -> DataFrame:
+    """Everything turned down, with the reason."""
+    no_amount = F.lit(None).cast(LEDGER)
+    commands = _command_rejections(checked)
     funds = decided.filter("not accepted").select(
         "seq",
         "id",
@@ -250,12 +304,13 @@ def _rejections(checked: DataFrame, decided: DataFrame, events: DataFrame) -> Da
 
 
 def output_events(settled: Settled) -> DataFrame:
-    """Everything the batch publishes as ``(key, seq, event)``: order changes by market, wallet changes by wallet."""
+    """Everything the batch publishes as ``(key, seq, event)``: order changes by market, wallet changes by wallet, matches,
+    and events that pass through. A wallet event has the asset that changed and the count of the whole wallet."""
     order = settled.order_changes.select(
         fn.market().alias("key"), "seq", envelope(F.col("eventId"), order=order_struct()).alias("event")
     )
     changed = with_asset(F.col("walletId"), F.col("assetId"), F.col("balance"), F.col("blockedBalance")).withField(
-        "txCount", F.col("txCount")
+        "txCount", F.col("walletTxCount")
     )
     wallet = settled.wallet_changes.select(
         F.col("walletId").alias("key"), "seq", envelope(F.col("eventId"), wallet=changed).alias("event")
@@ -265,7 +320,7 @@ def output_events(settled: Settled) -> DataFrame:
         "seq",
         envelope(F.col("matchId"), ordersMatchCommand=F.col("ordersMatchCommand")).alias("event"),
     )
-    return order.unionByName(wallet).unionByName(matches)
+    return order.unionByName(wallet).unionByName(matches).unionByName(settled.passed)
 
 
 def commit_batch(store: StateStore, raw: DataFrame, version: int, time_priority: bool = False) -> None:
@@ -283,6 +338,7 @@ def commit_batch(store: StateStore, raw: DataFrame, version: int, time_priority:
             "dead_letters": dead,
             "output": output_events(settled).withColumn("processedAt", fn.processed_at()),
         },
+        raw,
     )
 
 

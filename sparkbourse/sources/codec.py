@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkbourse import schemas as S
-from sparkbourse.functions.orders import STABLE_ID_SQL
+from sparkbourse.functions.orders import stable_id_sql
 
 CORRUPT = "_corrupt"
 _PARSED = T.StructType([*S.EVENT.fields, T.StructField(CORRUPT, T.StringType())])
@@ -77,7 +77,7 @@ def _first_fault() -> str:
 _PARTS = ", ".join(
     f"'{f.name}', {_completed(f.name, f.dataType)}" for f in S.EVENT.fields if isinstance(f.dataType, T.StructType)
 )
-_EVENT_ID = f"coalesce(_record.id, {STABLE_ID_SQL.format('value, CAST(seq AS STRING)')})"
+_EVENT_ID = f"coalesce(_record.id, {stable_id_sql('value', 'CAST(seq AS STRING)')})"
 _DECODED = (
     f"inline(array(named_struct('event', named_struct('id', {_EVENT_ID}, {_PARTS}), 'reason', {_first_fault()})))"
 )

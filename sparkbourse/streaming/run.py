@@ -1,8 +1,9 @@
 """Continuous processing of an event log.
 
-Each micro-batch becomes one version of the state. The version follows from the batch id and all ids from the data, so
-a batch that is run again after a failure writes the same version again, and one that is already committed is left
-alone: together with the checkpointed source positions every event takes effect exactly once.
+Each micro-batch becomes the version after the last one. A version carries the log positions it covers, and only records
+that no committed version covers are processed, so every event takes effect exactly once: a batch that failed is run
+again as the same version, one that is already committed is left alone, and after a lost checkpoint, when all that ever
+arrived is delivered again, what is new among it still counts. Ids follow from the data, so a repeated batch is the same.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sparkbourse.operators import ledger
 from sparkbourse.plans.settle import FUNDING, commit_batch, deposits, wallet_changes
+from sparkbourse.schemas import MONEY
 from sparkbourse.session import stage
 from sparkbourse.sources.codec import decode_events, split_corrupt
 from sparkbourse.sources.events import LOG
@@ -28,12 +30,12 @@ def run_versions(
     commit: Callable[[StateStore, DataFrame, int], None],
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Start a query that commits every micro-batch of ``records`` as the version after its batch id."""
+    """Start a query that commits what is new in every micro-batch of ``records`` as the next version."""
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        version = batch_id + 1
-        if (store.latest() or 0) < version:
-            commit(store, batch, version)
+        fresh = store.uncovered(batch)
+        if fresh is not None:
+            commit(store, fresh, (store.latest() or 0) + 1)
 
     writer = records.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
@@ -62,7 +64,8 @@ def run_ledger(records: DataFrame, store: StateStore, checkpoint: str, available
 def commit_wallet_commands(store: StateStore, raw: DataFrame, version: int) -> None:
     good, dead = split_corrupt(stage(decode_events(raw.select(*LOG.fieldNames())), "decoded"))
     wallets = store.load("wallets", version - 1)
-    decided = stage(ledger.decide(deposits(good).withColumn("phase", F.lit(FUNDING)), wallets), "decided")
+    moves = deposits(good).withColumns({"phase": F.lit(FUNDING), "nth": F.lit(0).cast(MONEY)})
+    decided = stage(ledger.decide(moves, wallets), "decided")
     effects = ledger.effects(decided)
     touched = wallets.join(effects.select(*ledger.KEY), ledger.KEY, "left_semi")
     store.commit(
@@ -73,6 +76,7 @@ def commit_wallet_commands(store: StateStore, raw: DataFrame, version: int) -> N
             "rejections": ledger.rejections(decided),
             "dead_letters": dead,
         },
+        raw,
     )
 
 

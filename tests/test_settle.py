@@ -198,3 +198,58 @@ def test_output_events_can_be_read_back(spark, tmp_path):
     assert {r.key for r in rows if r.status} == {"BTC-ETH"}
     assert sum(r.walletId is not None for r in rows) == 6
     assert [r.qtyFilled for r in rows if r.qtyFilled is not None] == [4]
+
+
+def test_fills_beyond_what_is_open_are_turned_down(spark, tmp_path):
+    s = store(spark, tmp_path, FUNDED)
+    commit_batch(s, log(spark, [submit("e0", "wallet_2", "LIMIT_BUY", 0.2, 10)]), 1)
+    (o,) = s.load("orders").collect()
+    snapshot = {c: getattr(o, c) for c in ("id", "baseAssetId", "quoteAssetId", "walletId", "orderType", "status")}
+    snapshot |= {"price": 0.2, "qty": 10.0}
+
+    def fill(event_id, qty, order_id):
+        command = {"id": f"f-{event_id}", "orderId": order_id, "causeId": "m", "command": "FILL", "fillQty": qty, "fillPrice": 0.2}
+        return {"id": event_id, "orderCommand": command, "order": snapshot | {"id": order_id}}
+
+    events = [fill("e1", 3, o.id), fill("e2", 5, o.id), fill("e3", 8, o.id), fill("e4", 1, "no-such-order")]
+    commit_batch(s, log(spark, events, 1), 2)
+    (left,) = s.load("orders").collect()
+    assert (left.status, left.qty, left.qtyFilled) == ("PROCESSED", 2, 8)
+    assert wallets_of(s)["wallet_2", "BTC"] == (D("98.4"), D("0.4"))
+    changes = s.feed("order_changes", after=1).orderBy("seq").collect()
+    assert [(r.seq, r.qty, r.qtyFilled) for r in changes] == [(1, 7, 3), (2, 2, 8)]
+    turned_down = {(r.seq, r.reason) for r in s.feed("rejections", after=1).collect()}
+    assert turned_down == {(3, "more than the open quantity"), (4, "unknown order")}
+
+    commit_batch(s, log(spark, [fill("e5", 2, o.id)], 5), 3)
+    (left,) = s.load("orders").collect()
+    assert (left.status, left.qty, left.qtyFilled) == ("FILLED", 0, 10)
+
+
+def test_an_event_sent_twice_makes_two_orders(spark, tmp_path):
+    s = store(spark, tmp_path, FUNDED)
+    twice = submit("e0", "wallet_1", "LIMIT_SELL", 2, 10)
+    commit_batch(s, log(spark, [twice, twice]), 1)
+    assert len({r.id for r in s.load("orders").collect()}) == 2
+    assert wallets_of(s)["wallet_1", "ETH"] == (100, 20)
+
+
+def test_other_events_pass_through_once(spark, tmp_path):
+    s = store(spark, tmp_path, FUNDED)
+    order = submit("x", "wallet_1", "LIMIT_SELL", 2, 10)["orderCommand"]["order"]
+    match = {"matchId": "m", "leftOrder": order, "rightOrder": order, "qtyFilled": 1.0, "price": 2.0}
+    commit_batch(s, log(spark, [{"id": "e0", "order": order}, {"id": "e1", "ordersMatchCommand": match}, {"id": "e2"}]), 1)
+    published = s.feed("output").select("key", "seq", "event.id").collect()
+    assert sorted(tuple(r) for r in published) == [("BTC-ETH", 0, "e0"), ("BTC-ETH", 1, "e1")]
+    assert s.load("orders").count() == 0
+
+
+def test_records_of_a_match_and_counts_of_a_wallet(spark, tmp_path):
+    s = store(spark, tmp_path, [*FUNDED, ("w3", "BTC", 100)])
+    commit_batch(s, log(spark, [submit("e0", "wallet_1", "LIMIT_SELL", 2, 10), submit("e1", "wallet_2", "LIMIT_BUY", 2, 4)]), 1)
+    commit_batch(s, log(spark, [submit("e2", "w3", "LIMIT_BUY", 3, 2)], 2), 2)
+    events = s.feed("output").filter("event.ordersMatchCommand is not null").select("seq", "event.ordersMatchCommand.*").collect()
+    makers = {r.seq: (r.rightOrder.qty, r.rightOrder.qtyFilled) for r in events}
+    assert makers == {1: (10, 0), 2: (6, 4)}
+    counts = s.feed("output").filter("event.wallet.walletId = 'wallet_1'").select("event.wallet.txCount").collect()
+    assert sorted(r.txCount for r in counts) == [1, 2, 3, 4, 5]

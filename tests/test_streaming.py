@@ -74,6 +74,36 @@ def test_ledger_stream_skips_committed_batches(spark, tmp_path):
     assert [(r.seq, r.available) for r in ledger_store.feed("rejections").collect()] == [(2, 0)]
 
 
+def test_a_lost_checkpoint_loses_no_input(spark, tmp_path):
+    source = str(tmp_path / "source")
+    ledger_store = run.fresh_start(spark, str(tmp_path / "state"))
+    for attempt, (amount, start) in enumerate([(5, 0), (7, 1), (9, 2)]):
+        # Each run has a new checkpoint, so that everything is delivered again together with what is new.
+        write_part(spark, source, [deposit(f"e{start}", "w", "BTC", "CREDIT", amount)], start)
+        records = read_events(spark, source, streaming=True)
+        run.run_ledger(records, ledger_store, str(tmp_path / f"checkpoint{attempt}")).awaitTermination()
+    (w,) = ledger_store.load("wallets").collect()
+    assert (w.amount, w.txCount) == (21, 3) and ledger_store.latest() == 3
+
+
+def test_a_broken_off_compaction_hides_nothing(spark, tmp_path):
+    s = store(spark, tmp_path, [("w", "BTC", 5)], compact_every=100)
+    s.commit(1, {t: s.load(t).selectExpr("*", "false as is_delete") for t in ("orders", "wallets")}, {})
+    folder = tmp_path / "state" / "wallets" / "snapshot" / "version=1"
+    (folder / "_temporary").mkdir(parents=True)
+    assert [r.amount for r in s.load("wallets").collect()] == [5]
+    s.compact(1)
+    assert s._snapshots("wallets") == [0, 1] and [r.amount for r in s.load("wallets").collect()] == [5]
+
+
+def test_a_commit_is_one_file(spark, tmp_path):
+    s = store(spark, tmp_path, [("w", "BTC", 5)])
+    commits = tmp_path / "state" / "commits"
+    assert [f.name for f in commits.iterdir() if not f.name.startswith(".")] == ["version=0"] and (commits / "version=0").is_file()
+    (commits / ".half-written").write_text("{")
+    assert s.committed() == [0]
+
+
 def test_state_versions_and_compaction(spark, tmp_path):
     s = StateStore(spark, str(tmp_path / "state"), compact_every=2)
     s.seed(wallets=seed_wallets(spark.createDataFrame([("w", "BTC", D(1), D(0))], "walletId string, assetId string, amount decimal(36,16), blocked decimal(36,16)")))
@@ -91,7 +121,7 @@ def test_state_versions_and_compaction(spark, tmp_path):
     assert held(1) == {"w": 10, "gone": 1}
     assert held(2) == {"w": 20, "gone": 1}
     assert held() == {"w": 30}
-    assert s._versions("wallets/snapshot") == [0, 2]
+    assert s._snapshots("wallets") == [0, 2]
 
 
 def test_log_schema_is_stable():
