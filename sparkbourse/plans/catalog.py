@@ -159,13 +159,23 @@ def wallet_tx_count(spark: SparkSession, d: str) -> DataFrame:
 
 
 def wallet_assets_map(spark: SparkSession, d: str) -> DataFrame:
+    """Wallet records: what each holds of every asset, zero where it has none."""
     records = wallets.as_map(_ledger(spark, d))
+    held = [
+        wallets.asset_or_zero(F.col("assets"), F.lit(f"asset_{i}"))[part].alias(f"{part}_{i}")
+        for i in range(3)
+        for part in ("amount", "blocked")
+    ]
+    return out(records.select("walletId", F.size("assets").cast("long").alias("assets"), *held, "txCount"))
+
+
+def wallets_table(spark: SparkSession, d: str) -> DataFrame:
+    """The WALLETS table written out and queried by name."""
+    tables.materialize(tables.wallets(_ledger(spark, d)), _scratch(spark, "wallets"), "QUERYABLE_WALLETS")
     return out(
-        records.select(
-            "walletId",
-            F.size("assets").cast("long").alias("assets"),
-            wallets.asset_or_zero(F.col("assets"), F.lit("asset_1"))["amount"].alias("amount_1"),
-            "txCount",
+        spark.sql(
+            "SELECT walletId, assetId, asset.amount, asset.blocked "
+            "FROM QUERYABLE_WALLETS LATERAL VIEW explode(assets) a AS assetId, asset"
         )
     )
 
@@ -405,14 +415,8 @@ def touch_wallets(spark: SparkSession, d: str) -> DataFrame:
 def seeded_wallets(spark: SparkSession, d: str) -> DataFrame:
     """Wallets funded in bulk, as records."""
     records = wallets.as_map(seed_wallets(testviews.wallet_seeds(spark, d)))
-    return out(
-        records.select(
-            "walletId",
-            F.size("assets").cast("long").alias("assets"),
-            wallets.asset_or_zero(F.col("assets"), F.lit("2-HIGH"))["amount"].alias("high"),
-            "txCount",
-        )
-    )
+    entries = records.select("walletId", "txCount", F.explode("assets").alias("assetId", "asset"))
+    return out(entries.select("walletId", "assetId", "asset.amount", "asset.blocked", "txCount"))
 
 
 _IN_TURN = ["seq", "takerId", "makerId", "makerQty", "qtyFilled", "price", "qtyBefore"]
@@ -441,13 +445,17 @@ def _scratch(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+#: Files of one part of a log; as many make a micro-batch.
+PART_FILES = 4
+
+
 def _write_parts(log: DataFrame, path: str, parts: int) -> None:
-    """Write a log as ``parts`` files that follow each other in ``seq`` and in age."""
+    """Write a log in ``parts``, of several files each, that follow each other in ``seq`` and in age."""
     log = stage(log, "log")
     low, high = log.agg(F.min("seq"), F.max("seq")).first()
     step = (high - low) // parts + 1
     for start in range(low, high + 1, step):
-        log.filter(F.col("seq").between(start, start + step - 1)).coalesce(1).write.mode("append").parquet(path)
+        log.filter(F.col("seq").between(start, start + step - 1)).repartition(PART_FILES).write.mode("append").parquet(path)
 
 
 def stream_ledger(spark: SparkSession, d: str) -> DataFrame:
@@ -455,7 +463,7 @@ def stream_ledger(spark: SparkSession, d: str) -> DataFrame:
     log, root = _scratch(spark, "wallet-log"), _scratch(spark, "ledger")
     _write_parts(testviews.wallet_log(spark, d), log, 3)
     store = run.fresh_start(spark, f"{root}/state")
-    records = events.read_events(spark, log, streaming=True, max_files=1)
+    records = events.read_events(spark, log, streaming=True, max_files=PART_FILES)
     run.run_ledger(records, store, f"{root}/checkpoint").awaitTermination()
     return out(store.load("wallets"), "walletId", "assetId", "amount", "blocked", "txCount")
 
@@ -467,7 +475,7 @@ def stream_settle(spark: SparkSession, d: str) -> DataFrame:
     store = StateStore(spark, f"{root}/state")
     book = testviews.orders(spark, d).filter("status = 'PROCESSED'")
     store.seed(book, seed_wallets(testviews.wallet_seeds(spark, d)))
-    records = events.read_events(spark, log, streaming=True, max_files=1)
+    records = events.read_events(spark, log, streaming=True, max_files=PART_FILES)
     run.run_orders(records, store, f"{root}/checkpoint").awaitTermination()
     return out(store.load("orders"), "id", "walletId", "orderType", "price", "qty", "qtyFilled", "status")
 
@@ -478,7 +486,7 @@ def stream_order_changes(spark: SparkSession, d: str) -> DataFrame:
     changes = testviews.order_changes(spark, d).select("id", "seq", "status")
     _write_parts(changes, log, 2)
     subscriptions = stage(_subscriptions(spark, d), "subscriptions")
-    arriving = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 1).parquet(log)
+    arriving = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", PART_FILES).parquet(log)
     feeds.subscribed_changes(
         arriving, lambda _: subscriptions, f"{root}/out", f"{root}/checkpoint"
     ).awaitTermination()
@@ -508,6 +516,7 @@ QUERIES: dict[str, Query] = {
         wallet_balances,
         wallet_tx_count,
         wallet_assets_map,
+        wallets_table,
         order_block_amounts,
         fill_wallet_commands,
         confirm_fills,

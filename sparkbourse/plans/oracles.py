@@ -281,9 +281,18 @@ UNION ALL SELECT id, status, 'update' FROM changes WHERE seq > {ASOF_SEQ}""",
     ),
     "wallet_assets_map": _with(
         LEDGER,
-        """SELECT wallet AS wallet_id, CAST(COUNT(*) FILTER (tx > 0) AS BIGINT) AS assets,
-  CAST(COALESCE(MAX(CASE WHEN asset = 'asset_1' THEN amount END), 0) AS DOUBLE) AS amount_1,
-  CAST(SUM(tx) AS BIGINT) AS tx_count FROM ledger GROUP BY wallet""",
+        "SELECT wallet AS wallet_id, CAST(COUNT(*) FILTER (tx > 0) AS BIGINT) AS assets, "
+        + ", ".join(
+            f"CAST(COALESCE(MAX(CASE WHEN asset = 'asset_{i}' THEN {part} END), 0) AS DOUBLE) AS {part}_{i}"
+            for i in range(3)
+            for part in ("amount", "blocked")
+        )
+        + ", CAST(SUM(tx) AS BIGINT) AS tx_count FROM ledger GROUP BY wallet",
+    ),
+    "wallets_table": _with(
+        LEDGER,
+        """SELECT wallet AS wallet_id, asset AS asset_id, CAST(amount AS DOUBLE) AS amount, CAST(blocked AS DOUBLE) AS blocked
+FROM ledger WHERE tx > 0""",
     ),
     "order_block_amounts": _with(
         ORDERS,
@@ -422,8 +431,11 @@ UNION ALL SELECT event_id, 'w-' || event_id FROM events""",
 UNION ALL SELECT id, status FROM changes WHERE status = 'FILLED'""",
     ),
     "touch_wallets": "SELECT DISTINCT CAST(user_id AS VARCHAR) AS wallet_id FROM events",
-    "seeded_wallets": """SELECT CAST(c_custkey AS VARCHAR) AS wallet_id, CAST(6 AS BIGINT) AS assets,
-  25.0::DOUBLE AS high, CAST(0 AS BIGINT) AS tx_count FROM customer JOIN nation ON c_nationkey = n_nationkey""",
+    "seeded_wallets": """SELECT CAST(c_custkey AS VARCHAR) AS wallet_id, a.asset_id, a.amount,
+  0.0::DOUBLE AS blocked, CAST(0 AS BIGINT) AS tx_count
+FROM customer JOIN nation ON c_nationkey = n_nationkey, LATERAL (
+  SELECT n_name AS asset_id, c_acctbal * 100 AS amount
+  UNION ALL SELECT unnest(['1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW']), 25.0) a""",
 }
 ORACLES["stream_ledger"] = ORACLES["wallet_ledger"]
 ORACLES["stream_order_changes"] = ORACLES["subscription_updates"]
