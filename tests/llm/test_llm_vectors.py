@@ -37,7 +37,7 @@ def odd_rows() -> list[tuple]:
     rng = random.Random(5)
     rows: list[tuple] = [(i, [rng.gauss(0, 1) for _ in range(6)]) for i in range(300)]
     rows += [(1000 + i, [0.5, 0.5, 0.5, 0.5, 0.5, 0.5]) for i in range(200)]  # a third of all are equal
-    rows += [(2000, None), (2050, []), (2100, [1.0, None, 0, 0, 0, 0]), (2150, [float("nan")] * 6), (2200, [float("inf")] * 6)]
+    rows += [(2000, None), (2050, []), (2100, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (2150, [float("nan")] * 6), (2200, [float("inf")] * 6)]
     rows += [(None, [1.0] * 6), (2250, [1.0, 2.0]), (2251, [2.0, 1.0]), (2300, [0.0] * 6), (50, [9.0] * 6), (51, rows[51][1])]
     return rows
 
