@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkbourse.llm.common import small_batches
-from sparkbourse.llm.shingles import mix, shingle_hashes, word_hashes
+from sparkbourse.llm.shingles import mix, shingle_hashes, slices, word_hashes
 
 #: Short notices and the opening paragraphs of licenses. Fixed values.
 TEMPLATES = (
@@ -119,8 +119,8 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, wo
         scanner = Scanner(templates, words, containment, bands)
         names = ("license", "start_word", "end_word", "containment")
         for whole in batches:
-            for a in range(0, whole.num_rows, 200):
-                batch = whole.slice(a, 200)
+            for a, b in slices(whole.column(1)):
+                batch = whole.slice(a, b - a)
                 found = [[dict(zip(names, m, strict=True)) for m in matches] for matches in scanner.scan(batch.column(1))]
                 yield pa.record_batch([batch.column(0), pa.array(found, kind)], ["doc_id", "licenses"])
 

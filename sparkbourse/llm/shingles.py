@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -19,6 +21,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def slices(texts: pa.Array, size: int = 1_000_000) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about so many bytes together, a longer text alone, so that working arrays stay small."""
+    start, held = 0, 0
+    for i, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        if held and held + n > size:
+            yield start, i
+            start, held = i, 0
+        held += n + 1
+    if start < len(texts):
+        yield start, len(texts)
+
+
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of all texts in order, and where each text's begin (one more entry than texts)."""
     parts = pc.split_pattern_regex(pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), "")), BREAKS)
