@@ -116,3 +116,16 @@ def search(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = SCALE)
     bounded = queries.join(kth_score(first, k), F.col("vec_id") == F.col("query_id"), "left").drop("query_id")
     others = bounded.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).filter("shard <> home")
     return best(first.union(meet(others)), k)
+
+
+#: The rows of ``search`` for a table of equally long vectors with unique ids, as DuckDB SQL.
+SQL = f"""
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor({SCALE} * CAST(x AS DOUBLE))) AS vec FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+scored AS (
+  SELECT q.vec_id AS query_id, v.vec_id, CAST(list_dot_product(q.vec, v.vec) AS BIGINT) AS score
+  FROM usable q JOIN usable v ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+"""

@@ -76,6 +76,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": toxicity_scores,
 }
 ORACLES: dict[str, str] = {
+    "op3_chat_format": chat.sql([(-7, 0, "user", HOSTILE), (-7, 1, "assistant", HOSTILE)]),
+    "op5_exact_top_k": kd_search.SQL,
     "op7_secret_scans": secrets.SQL,
     "op9_line_dedup": line_dedup.SQL,
 }
