@@ -21,17 +21,14 @@ def committed_changes(
 
     The stream follows the commit markers, not the feed's files: files of a batch that failed half-way are not seen.
     """
-    markers = (
-        store.spark.readStream.schema("committed long")
-        .option("recursiveFileLookup", "true")
-        .parquet(f"{store.root}/commits")
-    )
+    markers = store.spark.readStream.option("recursiveFileLookup", "true").text(f"{store.root}/commits")
+    committed = F.get_json_object("value", "$.version").cast("long").alias(VERSION)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        versions = [row.committed for row in batch.distinct().collect() if row.committed > 0]
-        if versions:
-            rows = store.feed(feed, after=min(versions) - 1)
-            handler(rows.filter(F.col(VERSION).isin(*versions)), batch_id)
+        versions = batch.select(committed).filter(F.col(VERSION) > 0).distinct()
+        first = versions.agg(F.min(VERSION)).first()[0]
+        if first is not None:
+            handler(store.feed(feed, after=first - 1).join(versions, VERSION, "left_semi"), batch_id)
 
     writer = markers.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
