@@ -8,12 +8,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkbourse.llm.common import small_batches
-from sparkbourse.llm.shingles import distinct, mix, shingle_hashes, word_hashes
+from sparkbourse.llm.shingles import distinct, mix, shingle_hashes, slices, word_hashes
 from sparkbourse.session import release, stage
 
 WORDS, SIMILARITY = 5, 0.8
@@ -56,8 +57,8 @@ def prob_min_hash(hashes: np.ndarray, text: np.ndarray, weights: np.ndarray, tex
 def _sign(words: int, bands: int, rows: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 200):
-                batch = whole.slice(at, 200)
+            for start, end in slices(whole.column("text")):
+                batch = whole.slice(start, end - start)
                 found, at_word = word_hashes(batch.column("text"))
                 hashes, text = shingle_hashes(found, at_word, words)
                 hashes, text, counts = distinct(hashes, text)
@@ -77,23 +78,22 @@ def _sign(words: int, bands: int, rows: int):
 
 
 def _jaccard(words: int):
-    def jaccard(left: pd.Series, right: pd.Series) -> pd.Series:
-        done = []
-        for at in range(0, len(left), 100):
-            sets = []
-            for side in (left, right):
-                found, at_word = word_hashes(pa.array(side.iloc[at : at + 100], pa.large_string()))
-                hashes, text = shingle_hashes(found, at_word, words)
-                sets.append(distinct(hashes, text)[:2])
-            (h1, t1), (h2, t2) = sets
-            n = len(left.iloc[at : at + 100])
-            _, _, counts = (both := distinct(np.append(h1, h2), np.append(t1, t2)))
-            union = np.bincount(both[1], minlength=n)
-            shared = np.bincount(both[1], weights=counts - 1, minlength=n)
-            done.append(np.where(union > 0, shared / np.maximum(union, 1), 1.0))
-        return pd.Series(np.concatenate(done) if done else [], dtype="float64")
-
-    return F.pandas_udf(jaccard, T.DoubleType())
+    def jaccard(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for sides in batches:
+            texts = [pa.array(side, pa.large_string()) for side in sides]
+            done = np.ones(len(texts[0]))
+            for start, end in slices(pc.binary_join_element_wise(*texts, pa.scalar("", pa.large_string()))):
+                sets = []
+                for side in texts:
+                    hashes, text = shingle_hashes(*word_hashes(side[start:end]), words)
+                    sets.append(distinct(hashes, text)[:2])
+                _, text, counts = distinct(*map(np.append, *sets))
+                union = np.bincount(text, minlength=end - start)
+                shared = np.bincount(text, weights=counts - 1, minlength=end - start)
+                done[start:end] = np.where(union > 0, shared / np.maximum(union, 1), 1.0)
+            yield pd.Series(done)
+
+    return F.pandas_udf(jaccard, T.DoubleType(), F.PandasUDFType.SCALAR_ITER)
 
 
 def _estimate(parts: int):
@@ -135,7 +135,16 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
 
 
 def _picked(members: DataFrame, leaders: int, round_no: int) -> DataFrame:
-    """Pairs of a bucket's members with its leaders, where their roots differ; a bucket's rows are never together."""
+    """Pairs of a bucket's members with its leaders, where their roots differ; a bucket's rows are never together.
+
+    Once there are classes, a class is in a bucket by a few of its members, others in each round: one link is enough to
+    join two classes, so a large class need not meet every stray text as a whole.
+    """
+    if round_no:
+        some = [F.min(F.struct(F.xxhash64("id", F.lit(-1 - round_no * leaders - j)).alias("o"), "id")).alias(f"m{j}") for j in range(leaders)]
+        chosen = members.groupBy("band", "bucket", "root").agg(*some)
+        ids = F.array_distinct(F.array(*[F.col(f"m{j}.id") for j in range(leaders)]))
+        members = chosen.select("band", "bucket", "root", F.explode(ids).alias("id"))
     order = [F.struct(F.xxhash64("id", F.lit(round_no * leaders + j)).alias("o"), "id", "root") for j in range(leaders)]
     picks = members.groupBy("band", "bucket").agg(
         F.min("root").alias("low"), F.max("root").alias("high"), *[F.min(o).alias(f"l{j}") for j, o in enumerate(order)]
@@ -148,19 +157,30 @@ def _picked(members: DataFrame, leaders: int, round_no: int) -> DataFrame:
     return pairs.select(F.least("id", "l.id").alias("a"), F.greatest("id", "l.id").alias("b")).distinct()
 
 
-def _verified(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Those of ``pairs(a, b)`` whose texts have the similarity."""
+def _texts(pairs: DataFrame, firsts: DataFrame, docs: DataFrame) -> DataFrame:
+    """``id, text`` of all texts in ``pairs(a, b)``, written once."""
     needed = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
     places = firsts.join(needed, "id").select("id", F.col("doc_id").alias("k"), F.col("t").alias("u"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(), F.col("text").cast("string").alias("text"))
     texts = rows.join(places, F.col("doc_id").eqNullSafe(F.col("k")) & F.col("t").eqNullSafe(F.col("u"))).select("id", "text")
-    texts = stage(texts.dropDuplicates(["id"]), "texts")
+    return stage(texts.dropDuplicates(["id"]), "texts")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Those of ``pairs(a, b)`` whose texts have the similarity. A leader may be in very many pairs: these are plain
+    joins, whose large partitions Spark splits."""
     left, right = texts.withColumnsRenamed({"id": "a", "text": "ta"}), texts.withColumnsRenamed({"id": "b", "text": "tb"})
-    # The leader may be in very many pairs: plain joins, whose large partitions Spark splits.
     compared = pairs.join(left, "a").join(right, "b").select("a", "b", _jaccard(words)("ta", "tb").alias("similarity"))
-    links = stage(compared.filter(F.col("similarity") >= similarity), "verified")
-    release(texts)
-    return links
+    return stage(compared.filter(F.col("similarity") >= similarity).select("a", "b"), "verified")
+
+
+def _nearer(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Roots after two more steps along ``links``; enough to see which texts hang together already."""
+    both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = both.join(roots.withColumnsRenamed({"id": "b"}), "b").groupBy(F.col("a").alias("id")).agg(F.min("root").alias("near"))
+    lower = roots.join(near, "id", "left").select("id", F.least("root", "near").alias("root"))
+    beyond = lower.select(F.col("id").alias("root"), F.col("root").alias("far"))
+    return stage(lower.join(beyond, "root").select("id", F.least("root", "far").alias("root")), "near-roots")
 
 
 def classes(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, leaders: int = LEADERS) -> DataFrame:
@@ -172,7 +192,8 @@ def classes(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
     the hash of the text. Null ids are allowed; a class without any id has a null class id. No rows give no rows.
 
     Texts that share a band are candidates. Within a bucket every text is compared with a few leaders, not with all; in
-    further rounds buckets that still hold texts of different classes get other leaders, until a round links nothing.
+    up to three further rounds buckets that still hold texts of different classes get other leaders, and a class is in a
+    bucket by a few of its texts; a round that links nothing is the last.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -187,34 +208,37 @@ def classes(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
     links = tried = None
     roots = members.select("id").distinct().select("id", F.col("id").alias("root"))
     for round_no in range(ROUNDS):
-        now = members.join(roots, "id", "left").select("id", "band", "bucket", F.coalesce("root", "id").alias("root"))
-        pairs = _picked(now, leaders, round_no)
+        pairs = _picked(members.join(roots, "id"), leaders, round_no)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         guessed = pairs.join(bits.withColumnsRenamed({"id": "a", "bits": "ba"}), "a").join(bits.withColumnsRenamed({"id": "b", "bits": "bb"}), "b")
         guessed = guessed.withColumn("estimate", _estimate(bands * rows)("ba", "bb")).filter(F.col("estimate") >= ESTIMATE)
         todo = stage(guessed.select("a", "b", "estimate"), "pairs")
-        # The likeliest partner of each text first; what is connected then needs no comparison any more.
-        ranked = todo.groupBy("b").agg(F.max_by("a", F.struct("estimate", "a")).alias("a")).select("a", "b")
-        before = links
-        for step in (ranked, None):
-            if step is None:
-                joined = todo.join(roots.withColumnsRenamed({"id": "a", "root": "ra"}), "a", "left").join(roots.withColumnsRenamed({"id": "b", "root": "rb"}), "b", "left")
-                step = joined.filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b").join(ranked, ["a", "b"], "left_anti")
-            step = stage(step, "step")
-            if step.isEmpty():
-                continue
-            found = _verified(step, firsts, docs, words, similarity)
-            if found.isEmpty():
-                continue
-            links = found.select("a", "b") if links is None else links.union(found.select("a", "b"))
-            roots = components(links)
-        if links is before:
+        if todo.isEmpty():
+            break
+        texts = _texts(todo, firsts, docs)
+        # The likeliest partner of each text first. Whoever then hangs on the same partner needs no comparison any more.
+        ranked = stage(todo.groupBy("b").agg(F.max_by("a", F.struct("estimate", "a")).alias("a")).select("a", "b"), "ranked")
+        found = _verified(ranked, texts, words, similarity)
+        hung = found.select(F.col("b").alias("id"), F.col("a").alias("on"))
+        rest = todo.select("a", "b").join(ranked, ["a", "b"], "left_anti")
+        rest = rest.join(hung.withColumnsRenamed({"id": "a", "on": "oa"}), "a", "left").join(hung.withColumnsRenamed({"id": "b", "on": "ob"}), "b", "left")
+        ends = F.coalesce("oa", "a"), F.coalesce("ob", "b")
+        rest = rest.filter((ends[0] != ends[1]) & (ends[0] != F.col("b")) & (ends[1] != F.col("a"))).select("a", "b")
+        more = _verified(rest, texts, words, similarity)
+        release(texts)
+        if found.isEmpty() and more.isEmpty():
             break
+        found = found.union(more)
+        links = found if links is None else links.union(found)
+        roots = _nearer(roots, links)
         tried = todo.select("a", "b") if tried is None else tried.union(todo.select("a", "b"))
+    if links is not None:
+        roots = components(links)
     with_id = signed.select("doc_id", "t", "key").join(firsts.select("key", "id"), "key")
-    with_root = with_id.join(roots, "id", "left").select("doc_id", "t", F.coalesce("root", "id").alias("root"))
+    with_root = stage(with_id.join(roots, "id", "left").select("doc_id", "t", F.coalesce("root", "id").alias("root")), "rooted")
     named = with_root.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"), F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("o"), "doc_id", "t")).alias("kept"))
+    named = stage(named, "classes")  # dealt again by the join, which can so split a large class
     return with_root.join(named, "root").select("doc_id", "t", "class_id", "class_size", (F.struct("doc_id", "t").eqNullSafe(F.struct("kept.doc_id", "kept.t"))).alias("kept"))
 
 
