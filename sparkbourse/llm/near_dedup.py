@@ -1,4 +1,4 @@
-"""Near duplicates: ProbMinHash signatures of weighted word shingles, bands, exact verification, components."""
+"""Near duplicates: ProbMinHash signatures of word shingles, bands, exact verification, components."""
 
 from __future__ import annotations
 
@@ -61,9 +61,10 @@ def _sign(words: int, bands: int, rows: int):
                 batch = whole.slice(start, end - start)
                 found, at_word = word_hashes(batch.column("text"))
                 hashes, text = shingle_hashes(found, at_word, words)
-                hashes, text, counts = distinct(hashes, text)
+                # Equal weights: then components agree with the Jaccard similarity of the sets, which decides in the end.
+                hashes, text, _ = distinct(hashes, text)
                 n = batch.num_rows
-                winners = prob_min_hash(hashes, text, 1.0 + np.log2(counts), n, bands * rows)
+                winners = prob_min_hash(hashes, text, np.ones(len(hashes)), n, bands * rows)
                 band = np.zeros((n, bands), np.uint64)
                 for j in range(rows):
                     band = mix(band * np.uint64(31) + winners[:, j::rows][:, :bands])

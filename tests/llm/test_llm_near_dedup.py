@@ -115,3 +115,16 @@ def test_query_equals_all_pairs(spark):
     docs = sorted(tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect())
     got = {r.doc_id: r.class_id for r in QUERIES["op4_near_duplicates"](spark, folder).collect()}
     assert got == {doc_id: docs[first][0] for (doc_id, _), first in zip(docs, brute([t for _, t in docs]), strict=True)}
+
+
+def test_copies_that_repeat_a_passage(spark):
+    rng, texts = random.Random(5), []
+    for i in range(12):
+        words = [f"r{i}x{j}" for j in range(200)]
+        passage = words[:40]
+        edited = list(words)
+        edited[rng.randrange(100, 150)] = "changed"
+        texts += [" ".join(words), " ".join(passage * 1000 + edited)]
+    assert brute(texts) == [i - i % 2 for i in range(24)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in near_dedup.classes(frame).collect()} == dict(enumerate(brute(texts)))
