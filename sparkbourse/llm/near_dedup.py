@@ -201,7 +201,7 @@ def classes(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(), F.col("text").cast("string").alias("text"))
     signed = stage(read.mapInArrow(_sign(words, bands, rows), SIGNED), "signed")
     firsts = signed.groupBy("key").agg(F.min(F.struct("doc_id", "t", "bands", "bits")).alias("f")).select("key", "f.*")
-    firsts = stage(firsts, "firsts").withColumn("id", F.monotonically_increasing_id())
+    firsts = stage(firsts.withColumn("id", F.monotonically_increasing_id()), "firsts")  # written with the id: splits may change later
     member = firsts.select("id", F.posexplode("bands").alias("band", "bucket"))
     sizes = member.groupBy("band", "bucket").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("band").alias("b2"), F.col("bucket").alias("k2"))
     members = stage(member.join(sizes, (F.col("band") == F.col("b2")) & (F.col("bucket") == F.col("k2"))).select("id", "band", "bucket"), "members")

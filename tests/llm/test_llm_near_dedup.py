@@ -128,3 +128,26 @@ def test_copies_that_repeat_a_passage(spark):
     assert brute(texts) == [i - i % 2 for i in range(24)]
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {r.doc_id: r.class_id for r in near_dedup.classes(frame).collect()} == dict(enumerate(brute(texts)))
+
+
+def test_ids_outlive_other_file_splits(spark, monkeypatch):
+    """Files are split by the cores there are, which change when an executor is lost."""
+    confs = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
+    before, calls, plain = [spark.conf.get(c) for c in confs], [], near_dedup.stage
+
+    def staged(df, label):
+        done = plain(df, label)
+        calls.append(label)
+        for conf, value in zip(confs, (["128MB", "0"], ["300", "300"])[len(calls) % 2], strict=True):
+            spark.conf.set(conf, value)
+        return done
+
+    monkeypatch.setattr(near_dedup, "stage", staged)
+    texts = made(60, random.Random(7))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    try:
+        got = {r.doc_id: r.class_id for r in near_dedup.classes(frame).collect()}
+    finally:
+        for conf, value in zip(confs, before, strict=True):
+            spark.conf.set(conf, value)
+    assert got == dict(enumerate(brute(texts)))
