@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,11 +21,13 @@ from sparkbourse.session import release, stage
 WORDS, SIMILARITY = 5, 0.8
 #: 24 bands of 4 of 96 components: two texts of similarity 0.8 share no band with probability 0.59^24, under 4 in a million.
 BANDS, ROWS = 24, 4
-#: Members of a bucket are compared with so many others of it, picked by as many hashes, in each round.
+#: All members of a bucket of at most so many are compared with each other from the start.
+SMALL = 8
+#: In a larger one they are first compared with so many others of it, picked by as many hashes, in each round.
 LEADERS = 3
 #: The estimate from 96 components must reach this before texts are fetched: five standard errors below the threshold.
 ESTIMATE = 0.6
-#: Rounds of new picks in buckets that still hold different components; a round without a new link is the last anyway.
+#: Rounds of picks, which join most of what belongs together; what they leave open is then decided exactly.
 ROUNDS = 4
 SIGNED = "doc_id long, t long, key binary, bands array<long>, bits binary"
 
@@ -158,9 +161,68 @@ def _picked(members: DataFrame, leaders: int, round_no: int) -> DataFrame:
     return pairs.select(F.least("id", "l.id").alias("a"), F.greatest("id", "l.id").alias("b")).distinct()
 
 
-def _texts(pairs: DataFrame, firsts: DataFrame, docs: DataFrame) -> DataFrame:
-    """``id, text`` of all texts in ``pairs(a, b)``, written once."""
-    needed = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+def _all_pairs(members: DataFrame) -> DataFrame:
+    """Each pair of members of each bucket once; for small buckets."""
+    lists = members.groupBy("band", "bucket").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    pairs = F.expr("flatten(transform(ids, (x, i) -> transform(slice(ids, i + 2, size(ids)), y -> named_struct('a', x, 'b', y))))")
+    return lists.select(F.explode(pairs).alias("p")).select("p.a", "p.b").distinct()
+
+
+def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``id, root`` of the members of buckets that hold several roots: between them links may be missing."""
+    placed = members.join(roots, "id")
+    mixed = placed.groupBy("band", "bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    mixed = mixed.select(F.col("band").alias("b2"), F.col("bucket").alias("k2"))
+    left = placed.join(mixed, (F.col("band") == F.col("b2")) & (F.col("bucket") == F.col("k2")))
+    return stage(left.select("id", "root").distinct(), "open")
+
+
+def _spread(words: int, size: int = 500_000):
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start, end in slices(whole.column("text")):
+                batch = whole.slice(start, end - start)
+                hashes, text, _ = distinct(*shingle_hashes(*word_hashes(batch.column("text")), words))
+                n = np.bincount(text, minlength=batch.num_rows)
+                columns = [np.asarray(batch.column("id"))[text], np.asarray(batch.column("root"))[text], n[text], hashes.view(np.int64)]
+                for at in range(0, len(text), size):
+                    yield pa.record_batch([pa.array(c[at : at + size], pa.int64()) for c in columns], ["id", "root", "n", "shingle"])
+
+    return spread
+
+
+def _sharing_rare(texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Pairs ``a, b`` of ``texts(id, root, text)`` of different roots, among them all that have the similarity.
+
+    A prefix filter: texts of that similarity share all but so few of their shingles that one of the first ones of each,
+    in any order common to all texts, is the same. The order is that from rare to frequent, with shingles of only one
+    root before all others, as they lead to no pair. No bucket and no number of partners limits the pairs.
+    """
+    shingles = stage(texts.mapInArrow(_spread(words), "id long, root long, n long, shingle long"), "shingles")
+    held = shingles.groupBy("shingle").agg(F.count("*").alias("held"), F.min("root").alias("low"), F.max("root").alias("high"))
+    held = stage(held.filter("low <> high").select(F.col("shingle").alias("s"), "held"), "held")
+    shared = shingles.join(held, F.col("shingle") == F.col("s")).select("id", "root", "n", "shingle", "held")
+    of_text = Window.partitionBy("id")
+    ordered = shared.withColumn("place", F.row_number().over(of_text.orderBy("held", "shingle"))).withColumn("shared", F.count("*").over(of_text))
+    first = F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1
+    prefix = stage(ordered.filter(F.col("n") - F.col("shared") + F.col("place") <= first).select("id", "root", "n", "shingle"), "prefix")
+    release(shingles, held)
+    # One side of a pair is always outside of the shingle's largest root, so a large class never meets itself.
+    sizes = prefix.groupBy("shingle", "root").agg(F.count("*").alias("rows"))
+    major = sizes.groupBy("shingle").agg(F.max_by("root", F.struct("rows", "root")).alias("major"), F.count("*").alias("roots"))
+    major = major.filter("roots > 1").select(F.col("shingle").alias("s"), "major")
+    minor = prefix.join(major, F.col("shingle") == F.col("s")).filter("root <> major")
+    minor = stage(minor.select("s", "major", F.col("id").alias("i2"), F.col("root").alias("r2"), F.col("n").alias("n2")), "minor")
+    once = (F.col("root") == F.col("major")) | (F.col("id") < F.col("i2"))
+    alike = F.least("n", "n2") >= F.greatest("n", "n2") * similarity - 1e-9
+    pairs = prefix.join(minor, (F.col("shingle") == F.col("s")) & (F.col("root") != F.col("r2")) & once & alike)
+    pairs = stage(pairs.select(F.least("id", "i2").alias("a"), F.greatest("id", "i2").alias("b")).distinct(), "sharing")
+    release(prefix, minor)
+    return pairs
+
+
+def _texts(needed: DataFrame, firsts: DataFrame, docs: DataFrame) -> DataFrame:
+    """``id, text`` of all ids in ``needed(id)``, written once."""
     places = firsts.join(needed, "id").select("id", F.col("doc_id").alias("k"), F.col("t").alias("u"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(), F.col("text").cast("string").alias("text"))
     texts = rows.join(places, F.col("doc_id").eqNullSafe(F.col("k")) & F.col("t").eqNullSafe(F.col("u"))).select("id", "text")
@@ -192,9 +254,10 @@ def classes(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
     words are one text from the start, so copies cost nothing; so are all texts without words, null ones too. ``t`` is
     the hash of the text. Null ids are allowed; a class without any id has a null class id. No rows give no rows.
 
-    Texts that share a band are candidates. Within a bucket every text is compared with a few leaders, not with all; in
-    up to three further rounds buckets that still hold texts of different classes get other leaders, and a class is in a
-    bucket by a few of its texts; a round that links nothing is the last.
+    Texts that share a band are candidates, all of them. The members of a small bucket are all compared. In a larger one
+    they are first compared with a few leaders, in rounds, until a round links nothing; then the texts of all buckets
+    that still hold several classes are compared with each other through the shingles they share. Rounds only save work:
+    they decide no pair but those they compare.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -203,21 +266,25 @@ def classes(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
     firsts = signed.groupBy("key").agg(F.min(F.struct("doc_id", "t", "bands", "bits")).alias("f")).select("key", "f.*")
     firsts = stage(firsts.withColumn("id", F.monotonically_increasing_id()), "firsts")  # written with the id: splits may change later
     member = firsts.select("id", F.posexplode("bands").alias("band", "bucket"))
-    sizes = member.groupBy("band", "bucket").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("band").alias("b2"), F.col("bucket").alias("k2"))
-    members = stage(member.join(sizes, (F.col("band") == F.col("b2")) & (F.col("bucket") == F.col("k2"))).select("id", "band", "bucket"), "members")
+    sizes = member.groupBy("band", "bucket").agg(F.count("*").alias("size")).filter("size > 1").select(F.col("band").alias("b2"), F.col("bucket").alias("k2"), "size")
+    members = stage(member.join(sizes, (F.col("band") == F.col("b2")) & (F.col("bucket") == F.col("k2"))).select("id", "band", "bucket", "size"), "members")
+    large = members.filter(F.col("size") > SMALL).drop("size")
     bits = firsts.select("id", "bits")
-    links = tried = None
-    roots = members.select("id").distinct().select("id", F.col("id").alias("root"))
-    for round_no in range(ROUNDS):
-        pairs = _picked(members.join(roots, "id"), leaders, round_no)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+    links, tried = [], []
+
+    def united(tables: list[DataFrame]) -> DataFrame:
+        return reduce(DataFrame.union, tables)
+
+    def tell(pairs: DataFrame) -> bool:
+        """Add those of the pairs that are links to ``links``, and all that had a chance to ``tried``; whether any is."""
+        if tried:
+            pairs = pairs.join(united(tried), ["a", "b"], "left_anti")
         guessed = pairs.join(bits.withColumnsRenamed({"id": "a", "bits": "ba"}), "a").join(bits.withColumnsRenamed({"id": "b", "bits": "bb"}), "b")
         guessed = guessed.withColumn("estimate", _estimate(bands * rows)("ba", "bb")).filter(F.col("estimate") >= ESTIMATE)
         todo = stage(guessed.select("a", "b", "estimate"), "pairs")
         if todo.isEmpty():
-            break
-        texts = _texts(todo, firsts, docs)
+            return False
+        texts = _texts(todo.select(F.col("a").alias("id")).union(todo.select(F.col("b").alias("id"))).distinct(), firsts, docs)
         # The likeliest partner of each text first. Whoever then hangs on the same partner needs no comparison any more.
         ranked = stage(todo.groupBy("b").agg(F.max_by("a", F.struct("estimate", "a")).alias("a")).select("a", "b"), "ranked")
         found = _verified(ranked, texts, words, similarity)
@@ -228,14 +295,32 @@ def classes(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
         rest = rest.filter((ends[0] != ends[1]) & (ends[0] != F.col("b")) & (ends[1] != F.col("a"))).select("a", "b")
         more = _verified(rest, texts, words, similarity)
         release(texts)
+        tried.append(todo.select("a", "b"))
         if found.isEmpty() and more.isEmpty():
+            return False
+        links.extend([found, more])
+        return True
+
+    alone = members.select("id").distinct().select("id", F.col("id").alias("root"))
+    roots = alone
+    for round_no in range(ROUNDS):
+        pairs = _picked(large.join(roots, "id"), leaders, round_no)
+        if not round_no:
+            pairs = pairs.union(_all_pairs(members.filter(F.col("size") <= SMALL))).distinct()
+        if not tell(pairs):
             break
-        found = found.union(more)
-        links = found if links is None else links.union(found)
-        roots = _nearer(roots, links)
-        tried = todo.select("a", "b") if tried is None else tried.union(todo.select("a", "b"))
-    if links is not None:
-        roots = components(links)
+        roots = _nearer(roots, united(links))
+    roots = components(united(links)) if links else None
+    joined = alone if roots is None else alone.join(roots.withColumnRenamed("root", "to"), "id", "left").select("id", F.coalesce("to", "root").alias("root"))
+    left = _open(large, joined)
+    if not left.isEmpty():
+        texts = _texts(left.select("id"), firsts, docs)
+        pairs = _sharing_rare(left.join(texts, "id"), words, similarity)
+        release(texts)
+        if tell(pairs):
+            roots = components(united(links))
+    if roots is None:
+        roots = alone
     with_id = signed.select("doc_id", "t", "key").join(firsts.select("key", "id"), "key")
     with_root = stage(with_id.join(roots, "id", "left").select("doc_id", "t", F.coalesce("root", "id").alias("root")), "rooted")
     named = with_root.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"), F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("o"), "doc_id", "t")).alias("kept"))

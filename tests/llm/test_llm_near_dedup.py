@@ -151,3 +151,23 @@ def test_ids_outlive_other_file_splits(spark, monkeypatch):
         for conf, value in zip(confs, before, strict=True):
             spark.conf.set(conf, value)
     assert got == dict(enumerate(brute(texts)))
+
+
+def crowd(rng: random.Random) -> list[str]:
+    """Texts with a passage in common that are not quite near, but for some pairs."""
+    passage, texts = [f"p{i}" for i in range(104)], []
+    for i in range(300):
+        own = [f"o{i}x{j}" for j in range(14)]
+        texts.append(" ".join(passage + own))
+        if i < 40:
+            texts.append(" ".join(passage + own[:5] + [f"q{i}x{j}" for j in range(9)]))
+    rng.shuffle(texts)
+    return texts
+
+
+def test_pairs_in_a_crowd_with_a_common_passage(spark):
+    texts = crowd(random.Random(8))
+    want = brute(texts)
+    assert len(set(want)) == 300
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in near_dedup.classes(frame).collect()} == dict(enumerate(want))
