@@ -62,3 +62,18 @@ def test_query_misses_nothing(spark):
     for r in rows:
         got = set(filter(None, r.licenses.split(",")))
         assert got <= brute(texts[r.doc_id]) and (got or not brute(texts[r.doc_id]))
+
+
+def test_variants_are_told_apart(spark):
+    gnu = "This {} is free software{} you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation{} either version {} of the License, or (at your option) any later version."
+    rows = [
+        (1, gnu.format("program", ":", "Affero General Public License", ",", "3"), "AGPL-3.0"),
+        (2, gnu.format("library", ":", "Lesser General Public License", ",", "3"), "LGPL-3.0"),
+        (3, gnu.format("library", ";", "Lesser General Public License", ";", "2.1"), "LGPL-2.1"),
+        (4, gnu.format("program", ":", "General Public License", ",", "3"), "GPL-3.0"),
+        (5, gnu.format("program", ";", "General Public License", ";", "2"), "GPL-2.0"),
+        (6, "Distributed under the Boost Software License, Version 1.0. (See accompanying file)", "BSL-1.0"),
+        (7, "This is free and unencumbered software released into the public domain.", "Unlicense"),
+    ]
+    frame = spark.createDataFrame([(i, FILLER + t + " " + FILLER) for i, t, _ in rows], "doc_id long, text string")
+    assert {(r.doc_id, ",".join(sorted({m.license for m in r.licenses}))) for r in licenses.scan(frame).collect()} == {(i, want) for i, _, want in rows}
