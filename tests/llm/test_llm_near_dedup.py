@@ -171,3 +171,21 @@ def test_pairs_in_a_crowd_with_a_common_passage(spark):
     assert len(set(want)) == 300
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {r.doc_id: r.class_id for r in near_dedup.classes(frame).collect()} == dict(enumerate(want))
+
+
+def test_links_through_one_member_of_a_large_class(spark):
+    rng, base, texts = random.Random(9), [f"b{i}" for i in range(120)], []
+    for i in range(500):
+        member = list(base)
+        member[i % 118] = f"m{i}"
+        texts.append(" ".join(member))
+        if i < 80:
+            # An end hangs on this one member only: it is too far from all others.
+            at = (i + 40) % 110
+            member[at : at + 8] = [f"f{i}x{j}" for j in range(8)]
+            texts.append(" ".join(member))
+    rng.shuffle(texts)
+    want = brute(texts)
+    assert len(set(want)) < 10
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in near_dedup.classes(frame).collect()} == dict(enumerate(want))
