@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkbourse.llm import byte_bpe, chat, kd_search, licenses, line_dedup, near_dedup, packing, polytope, secrets, toxicity
+from sparkbourse.llm import byte_bpe, chat, clustering, kd_search, licenses, line_dedup, near_dedup, packing, polytope, quality, secrets, toxicity, whitening
 from sparkbourse.llm.common import table
 
 
@@ -63,6 +63,18 @@ def toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs, toxicity.learn(docs, table(spark, folder, "labels")))
 
 
+def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(table(spark, folder, "documents"))
+
+
+def embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.by_component(whitening.whiten(table(spark, folder, "embeddings")))
+
+
+def centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    return clustering.cluster(table(spark, folder, "embeddings")).drop("centroid")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": best_fit_packing,
     "op2_byte_bpe": byte_level_bpe,
@@ -74,10 +86,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scans": license_notices,
     "op9_line_dedup": line_chunks,
     "op10_toxicity": toxicity_scores,
+    "op11_quality_rules": quality_rules,
+    "op12_embedding_whitening": embedding_whitening,
+    "op13_centroid_clustering": centroid_clustering,
 }
 ORACLES: dict[str, str] = {
     "op3_chat_format": chat.sql([(-7, 0, "user", HOSTILE), (-7, 1, "assistant", HOSTILE)]),
     "op5_exact_top_k": kd_search.SQL,
     "op7_secret_scans": secrets.SQL,
     "op9_line_dedup": line_dedup.SQL,
+    "op13_centroid_clustering": clustering.sql(),
 }
