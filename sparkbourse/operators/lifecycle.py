@@ -6,6 +6,8 @@ fillPrice, commandOrder`` (the order inside the command) and ``order`` (the orde
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -162,10 +164,10 @@ def validate_fill(commands: DataFrame) -> DataFrame:
     return valid(check_fills(commands))
 
 
-def to_wallet_commands(commands: DataFrame) -> DataFrame:
+def to_wallet_commands(commands: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Wallet commands of valid order commands: a submit blocks, a cancel releases, a fill credits and debits.
 
-    ``part`` orders the commands of one order command.
+    ``part`` orders the commands of one order command; ``carry`` are further columns to keep.
     """
     nothing = F.lit(0).cast(LEDGER)
 
@@ -203,6 +205,7 @@ def to_wallet_commands(commands: DataFrame) -> DataFrame:
         "commandId",
         "orderId",
         "command",
+        *carry,
         F.col("order.walletId").alias("walletId"),
         F.inline(caused),
     ).withColumns({"id": fn.wallet_command_id(F.col("commandId"), F.col("operation")), "causeId": F.col("orderId")})

@@ -5,7 +5,10 @@ market, so a market is worked through by one task, but only with the orders that
 is reached by some order of the other side, and of the resting orders those whose price is reached and that lie within
 the quantity all takers together ask for.
 
-A market that is still too large for one task is worked through in slices of takers. Each slice gets its own, much
+Cancels and fills that come as commands act between the takers, at their own ``seq``, on the order as it is then: what
+they take off is gone for later takers, what was traded before they cannot take. The orders they name always take part.
+
+A market that is still too large for one task is worked through in slices of events. Each slice gets its own, much
 smaller, part of the book; the book is written out between slices. A slice whose part of the book is still too large
 is halved, down to a single taker, for which matching against the book as it stands is a parallel job.
 """
@@ -21,10 +24,11 @@ from pyspark.sql import functions as F
 
 from sparkbourse.operators.matching import LADDER, MATCH_COLUMNS, favour, match_snapshot, tie_break
 from sparkbourse.operators.running import has_hot_key, max_group_rows, running_before
-from sparkbourse.schemas import LIMIT_BUY, LIMIT_SELL, MONEY, PROCESSED
+from sparkbourse.schemas import CANCEL, FILL, LIMIT_BUY, LIMIT_SELL, MONEY, PROCESSED, SUBMIT
 from sparkbourse.session import stage
 
 MARKET = ["baseAssetId", "quoteAssetId"]
+_RESTS, _MATCH = "RESTS", "MATCH"
 RESTING = [*MARKET, "id", "walletId", "orderType", "price", "qty", "seq"]
 # Prices and quantities go through the matching loop as whole numbers of the smallest unit.
 UNIT = "0.00000001"
@@ -33,25 +37,47 @@ _UNIT_COLUMNS = ("takerPrice", "takerQty", "makerQty", "qtyFilled", "price", "qt
 
 def match_sequential(takers: DataFrame, book: DataFrame, time_priority: bool = False) -> DataFrame:
     """One row per match with the taker's ``seq``; ``makerQty`` is what the maker still had open."""
+    return work_through(takers, book, None, time_priority).select("seq", *MATCH_COLUMNS)
+
+
+def work_through(takers: DataFrame, book: DataFrame, commands: DataFrame | None, time_priority: bool = False) -> DataFrame:
+    """Matches, and what became of ``commands`` that cancel or fill an order, in ``seq`` order within each market.
+
+    ``commands`` has ``kind`` (CANCEL or FILL), ``seq``, the market, the order's ``id``, and ``qty``, what a fill asks for;
+    ``seq`` is unique over takers and commands. The result has ``seq``, ``kind`` (MATCH for matches) and the columns of a
+    match; for a command ``makerId`` is the order, ``makerQty`` what it had open just before, null if it was not open, and
+    ``qtyFilled`` what the command took off, nothing if a fill asked for more than that.
+    """
     resting = book.filter(F.col("status") == PROCESSED).select(*RESTING)
-    able = _able_takers(takers.filter("qty > 0").select(*RESTING), resting)
-    active = stage(_active(able, resting, time_priority), "active")
+    acting = takers.filter("qty > 0").select(F.lit(SUBMIT).alias("kind"), *RESTING)
+    if commands is not None:
+        acting = _with_commands(acting, commands)
+    active = stage(_active(_able(acting, resting, commands is not None), resting, time_priority, commands is not None), "active")
     if not has_hot_key(active, MARKET):
         return _in_order(active, time_priority)
-    # There are at most (all rows / limit) hot markets.
-    hot = F.broadcast(
-        active.groupBy(*MARKET).count().filter(F.col("count") > max_group_rows(active)).select(*MARKET)
-    )
+    hot = stage(active.groupBy(*MARKET).count().filter(F.col("count") > max_group_rows(active)).select(*MARKET), "hot-markets")
     ordinary = _in_order(active.join(hot, MARKET, "left_anti"), time_priority)
-    return ordinary.unionByName(_in_slices(active.join(hot, MARKET, "left_semi"), time_priority))
+    return ordinary.unionByName(_in_slices(active.join(hot, MARKET, "left_semi"), time_priority, commands is not None))
+
+
+def _with_commands(acting: DataFrame, commands: DataFrame) -> DataFrame:
+    nothing = {"walletId": "string", "orderType": "string", "price": MONEY}
+    rows = commands.select("kind", "seq", *MARKET, "id", F.col("qty").cast(MONEY).alias("qty"))
+    return acting.unionByName(rows.select("*", *[F.lit(None).cast(t).alias(c) for c, t in nothing.items()]))
+
+
+def _is_taker() -> Column:
+    return F.col("kind") == SUBMIT
 
 
 def _side(name: str) -> Column:
     return F.col("orderType") == name
 
 
-def _able_takers(takers: DataFrame, resting: DataFrame) -> DataFrame:
-    """Takers for which some order of the other side, resting or incoming, has an overlapping price."""
+def _able(acting: DataFrame, resting: DataFrame, with_commands: bool) -> DataFrame:
+    """Takers for which some order of the other side, resting or incoming, has an overlapping price; all commands and the
+    takers they name."""
+    takers = acting.filter(_is_taker())
     both = takers.select(*MARKET, "orderType", "price").unionByName(resting.select(*MARKET, "orderType", "price"))
     best = both.groupBy(*MARKET).agg(
         F.min(F.when(_side(LIMIT_SELL), F.col("price"))).alias("best_ask"),
@@ -60,31 +86,44 @@ def _able_takers(takers: DataFrame, resting: DataFrame) -> DataFrame:
     overlaps = F.when(_side(LIMIT_BUY), F.col("price") >= F.col("best_ask")).otherwise(
         F.col("price") <= F.col("best_bid")
     )
-    return takers.join(best, MARKET).filter(overlaps).select(*RESTING)
+    placed = takers.join(best, MARKET)
+    if not with_commands:
+        return placed.filter(overlaps).select(*acting.columns)
+    named = _named(acting).withColumn("named", F.lit(True))
+    able = placed.join(named, "id", "left").filter(F.coalesce(overlaps, F.lit(False)) | F.coalesce("named", F.lit(False)))
+    return able.select(*acting.columns).unionByName(acting.filter(~_is_taker()))
+
 
+def _named(acting: DataFrame) -> DataFrame:
+    """Orders that commands name."""
+    return acting.filter(~_is_taker()).select("id").distinct()
 
-def _active(takers: DataFrame, resting: DataFrame, time_priority: bool) -> DataFrame:
-    """The takers and the resting orders they can reach by price and, in the order in which makers trade, by quantity."""
-    wanted = takers.groupBy(
+
+def _active(acting: DataFrame, resting: DataFrame, time_priority: bool, with_commands: bool) -> DataFrame:
+    """What acts, and the resting orders takers can reach by price and, in the order in which makers trade, by quantity."""
+    wanted = acting.filter(_is_taker()).groupBy(
         *MARKET, F.when(_side(LIMIT_BUY), LIMIT_SELL).otherwise(LIMIT_BUY).alias("side")
     ).agg(
         F.max(favour(F.when(_side(LIMIT_BUY), LIMIT_SELL).otherwise(LIMIT_BUY), F.col("price"))).alias("limit"),
         F.sum("qty").alias("demand"),
     )
-    ladder = (
-        resting.withColumns({"side": F.col("orderType"), "fav": favour(F.col("orderType"), F.col("price"))})
-        .join(wanted, LADDER)
-        .filter(F.col("fav") <= F.col("limit"))
-    )
+    sided = resting.withColumns({"side": F.col("orderType"), "fav": favour(F.col("orderType"), F.col("price"))})
+    ladder = sided.join(wanted, LADDER).filter(F.col("fav") <= F.col("limit"))
     # A wallet passes over its own orders, so it can get deeper than the demand by what one wallet holds at most.
     passed_over = (
         ladder.groupBy(*LADDER, "walletId").agg(F.sum("qty").alias("own")).groupBy(*LADDER).agg(F.max("own").alias("own"))
     )
     placed = running_before(ladder, LADDER, ["fav", *tie_break(time_priority)], sums={"before": F.col("qty")}, label="reach")
-    reached = placed.join(passed_over, LADDER).filter("before - own < demand")
-    return takers.withColumn("is_taker", F.lit(True)).unionByName(
-        reached.select(*RESTING).withColumn("is_taker", F.lit(False))
-    )
+    placed = placed.join(passed_over, LADDER)
+    if not with_commands:
+        reached = placed.filter("before - own < demand").select(*RESTING)
+    else:
+        # What commands may take off the ladder lets takers get deeper by as much; the orders they name act themselves.
+        named = sided.join(_named(acting), "id", "left_semi")
+        taken_off = named.groupBy(*LADDER).agg(F.sum("qty").alias("off"))
+        placed = placed.join(taken_off, LADDER, "left").filter(F.expr("before - own - coalesce(off, 0) < demand"))
+        reached = placed.select(*RESTING).unionByName(named.select(*RESTING)).dropDuplicates(["id"])
+    return acting.unionByName(reached.withColumn("kind", F.lit(_RESTS)))
 
 
 def _units(name: str) -> Column:
@@ -92,55 +131,72 @@ def _units(name: str) -> Column:
 
 
 def _in_order(active: DataFrame, time_priority: bool) -> DataFrame:
-    """Work through each market: its resting orders first, then its takers by ``seq``."""
-    rows = active.select(*MARKET, "is_taker", "seq", "id", "walletId", "orderType", _units("price"), _units("qty"))
-    names = ["seq", *[c for c in MATCH_COLUMNS if c not in _UNIT_COLUMNS], *_UNIT_COLUMNS]
+    """Work through each market: its resting orders first, then what acts by ``seq``."""
+    first = (F.col("kind") != _RESTS).alias("acts")
+    rows = active.select(*MARKET, first, "seq", "kind", "id", "walletId", "orderType", _units("price"), _units("qty"))
+    names = ["seq", "kind", *[c for c in MATCH_COLUMNS if c not in _UNIT_COLUMNS], *_UNIT_COLUMNS]
     types = {"seq": pa.int64()} | {c: pa.int64() for c in _UNIT_COLUMNS}
     schema = pa.schema([(c, types.get(c, pa.string())) for c in names])
     ddl = ", ".join(f"{c} {'bigint' if c in types else 'string'}" for c in names)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        market, books = None, {}
+        # Heaps hold an order's place only; what it has open is looked up, so that an order is taken out without a search.
+        market, books, open_qty = None, {}, {}
         for batch in batches:
             found = []
-            for base, quote, is_taker, seq, order, wallet, side, price, qty in zip(
+            for base, quote, _, seq, kind, order, wallet, side, price, qty in zip(
                 *(column.to_pylist() for column in batch.columns), strict=True
             ):
                 if (base, quote) != market:
-                    market, books = (base, quote), {LIMIT_SELL: [], LIMIT_BUY: []}
+                    market, books, open_qty = (base, quote), {LIMIT_SELL: [], LIMIT_BUY: []}, {}
+                if kind in (CANCEL, FILL):
+                    there = open_qty.get(order)
+                    taken = 0 if there is None else there if kind == CANCEL else qty if qty <= there else 0
+                    if there is not None and (kind == CANCEL or qty <= there):
+                        if there > taken:
+                            open_qty[order] = there - taken
+                        else:
+                            del open_qty[order]
+                    found.append((seq, kind, None, order, None, None, base, quote, None) + (None, None, there, taken, None, None))
+                    continue
                 left = qty
-                if is_taker:
+                if kind == SUBMIT:
                     other = books[LIMIT_SELL if side == LIMIT_BUY else LIMIT_BUY]
                     limit, own = price if side == LIMIT_BUY else -price, []
                     while left > 0 and other and other[0][0] <= limit:
-                        entry = heapq.heappop(other)
-                        _, _, maker, maker_wallet, maker_price, open_qty = entry
-                        if maker_wallet == wallet:
-                            own.append(entry)
-                            continue
-                        filled = min(open_qty, left)
-                        found.append(
-                            (seq, order, maker, wallet, maker_wallet, base, quote, side)
-                            + (price, qty, open_qty, filled, maker_price, qty - left)
-                        )
-                        left -= filled
-                        if open_qty > filled:
-                            heapq.heappush(other, (*entry[:5], open_qty - filled))
+                        _, _, maker, maker_wallet, maker_price = other[0]
+                        there = open_qty.get(maker)
+                        if there is None:
+                            heapq.heappop(other)
+                        elif maker_wallet == wallet:
+                            own.append(heapq.heappop(other))
+                        else:
+                            filled = min(there, left)
+                            found.append(
+                                (seq, _MATCH, order, maker, wallet, maker_wallet, base, quote, side)
+                                + (price, qty, there, filled, maker_price, qty - left)
+                            )
+                            left -= filled
+                            if there > filled:
+                                open_qty[maker] = there - filled
+                            else:
+                                del open_qty[maker]
                     for entry in own:
                         heapq.heappush(other, entry)
-                if left > 0 or not is_taker:
+                if left > 0:
                     fav = price if side == LIMIT_SELL else -price
-                    age = seq if time_priority else 0
-                    heapq.heappush(books[side], (fav, age, order, wallet, price, left))
+                    heapq.heappush(books[side], (fav, seq if time_priority else 0, order, wallet, price))
+                    open_qty[order] = left
             columns = zip(*found, strict=True) if found else [[] for _ in names]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(values, f.type) for values, f in zip(columns, schema, strict=True)], schema=schema
             )
 
-    ordered = rows.repartition(*MARKET).sortWithinPartitions(*MARKET, "is_taker", "seq")
-    matched = ordered.mapInArrow(work, ddl)
-    return matched.select(
+    ordered = rows.repartition(*MARKET).sortWithinPartitions(*MARKET, "acts", "seq")
+    worked = ordered.mapInArrow(work, ddl)
+    return worked.select(
         "seq",
+        "kind",
         *[
             (F.col(c).cast("decimal(20,0)") * F.lit(UNIT).cast("decimal(8,8)")).cast(MONEY).alias(c)
             if c in _UNIT_COLUMNS
@@ -150,45 +206,53 @@ def _in_order(active: DataFrame, time_priority: bool) -> DataFrame:
     )
 
 
-def _in_slices(active: DataFrame, time_priority: bool) -> DataFrame:
+def _in_slices(active: DataFrame, time_priority: bool, with_commands: bool) -> DataFrame:
     """Work through hot markets slice by slice; see the module's description."""
     limit = max_group_rows(active)
-    resting = stage(active.filter("not is_taker").select(*RESTING), "resting")
+    columns = ["kind", *RESTING]
+    resting = stage(active.filter(F.col("kind") == _RESTS).select(*RESTING), "resting")
     numbered = stage(
         running_before(
-            active.filter("is_taker").select(*RESTING), MARKET, ["seq"], sums={"no": F.lit(1).cast("long")}, label="turns"
+            active.filter(F.col("kind") != _RESTS).select(*columns), MARKET, ["seq"], sums={"no": F.lit(1).cast("long")}, label="turns"
         ),
         "numbered",
     )
-    takers = numbered.agg(F.max("no")).first()[0] + 1
-    todo = [(start, min(start + limit, takers)) for start in range(0, takers, limit)]
-    all_matches = None
+    turns = numbered.agg(F.max("no")).first()[0] + 1
+    todo = [(start, min(start + limit, turns)) for start in range(0, turns, limit)]
+    done = None
     while todo:
         start, end = todo.pop(0)
-        acting = numbered.filter(F.col("no").between(start, end - 1)).select(*RESTING)
-        part = stage(_active(acting, resting, time_priority), "slice")
+        acting = numbered.filter(F.col("no").between(start, end - 1)).select(*columns)
+        part = stage(_active(acting, resting, time_priority, with_commands), "slice")
         too_large = has_hot_key(part, MARKET)
         if too_large and end - start > 1:
             middle = (start + end) // 2
             todo = [(start, middle), (middle, end), *todo]
             continue
         if too_large:
-            book = part.filter("not is_taker").withColumn("status", F.lit(PROCESSED))
-            matches = match_snapshot(acting, book, time_priority).join(
-                acting.select(F.col("id").alias("takerId"), "seq"), "takerId"
+            # One event in each market. A command needs its own order only, a taker may need very many.
+            takers, alone = acting.filter(_is_taker()), part.join(_named(acting), "id", "left_semi")
+            book = part.filter(F.col("kind") == _RESTS).withColumn("status", F.lit(PROCESSED))
+            matches = match_snapshot(takers, book, time_priority).join(
+                takers.select(F.col("id").alias("takerId"), "seq"), "takerId"
             )
+            outcome = matches.select("seq", F.lit(_MATCH).alias("kind"), *MATCH_COLUMNS)
+            if with_commands:
+                outcome = outcome.unionByName(_in_order(alone.filter(~_is_taker()), time_priority))
         else:
-            matches = _in_order(part, time_priority)
-        matches = stage(matches.select("seq", *MATCH_COLUMNS), "slice-matches")
-        resting = stage(_book_after(resting.unionByName(acting), matches), "resting")
-        all_matches = matches if all_matches is None else all_matches.unionByName(matches)
-    return all_matches
+            outcome = _in_order(part, time_priority)
+        outcome = stage(outcome, "slice-outcome")
+        arrived = acting.filter(_is_taker()).select(*RESTING)
+        resting = stage(_book_after(resting.unionByName(arrived), outcome), "resting")
+        done = outcome if done is None else done.unionByName(outcome)
+    return done
 
 
-def _book_after(orders: DataFrame, matches: DataFrame) -> DataFrame:
-    """Orders with what they traded taken off; those used up leave the book."""
+def _book_after(orders: DataFrame, outcome: DataFrame) -> DataFrame:
+    """Orders with what they traded, or had taken off, gone from them; those used up leave the book."""
     traded = (
-        matches.select(F.explode(F.array("takerId", "makerId")).alias("id"), "qtyFilled")
+        outcome.select(F.explode(F.array("takerId", "makerId")).alias("id"), "qtyFilled")
+        .filter("id is not null")
         .groupBy("id")
         .agg(F.sum("qtyFilled").alias("traded"))
     )

@@ -1,8 +1,15 @@
-"""One batch of events to new order and wallet state.
+"""One batch of events to new order and wallet state, as if its events were processed one after the other.
 
-The stages of order processing follow each other inside the batch: validate commands, block and move funds, match what
-was funded, settle the fills. Fills never lead to new orders, so one pass is complete. Cancels see the book as it was
-when the batch began; funds from fills can be spent from the next batch on.
+Each event acts on what all earlier ones left: a cancel takes what trades before it left open, a fill what fits at that
+moment, and an order can be paid for with what its wallet earned by a trade earlier in the same batch. So it does not
+matter how a log is cut into batches.
+
+Which orders are funded depends on trades, and which trades happen depends on the orders that are funded. Both are
+found in turns: markets are worked through with the orders thought to be funded, then wallets with the trades found,
+which may change what is thought about some orders; then only the markets of those are worked through again, and only
+the wallets that those touch, until nothing changes. What is thought about the first event is right from the first
+turn on, and each turn makes right what depends on nothing later than what was right before: the turns end, and what
+they end with is what one event after the other gives.
 
 The same function serves a bounded log and every micro-batch of a stream.
 """
@@ -18,9 +25,11 @@ from sparkbourse.functions import orders as fn
 from sparkbourse.functions.wallets import with_asset
 from sparkbourse.operators import ledger, lifecycle, matching, route
 from sparkbourse.operators.running import running_before
-from sparkbourse.operators.sequential import match_sequential
+from sparkbourse.operators.sequential import MARKET, work_through
 from sparkbourse.schemas import (
     CANCEL,
+    CANCELLED,
+    CREDIT,
     FILL,
     FILLED,
     LEDGER,
@@ -29,14 +38,13 @@ from sparkbourse.schemas import (
     PROCESSED,
     SUBMIT,
 )
-from sparkbourse.session import stage
+from sparkbourse.session import release, stage, temporary
 from sparkbourse.sources.codec import decode_events, envelope, order_struct, split_corrupt
 from sparkbourse.sources.events import LOG
 from sparkbourse.sources.state import StateStore
-from sparkbourse.sources.tables import latest_by_key
 
-# Order of what happens inside a batch.
-CANCELLING, FUNDING, CONFIRMING, RESTING, TRADING, FILLING = range(6)
+# Order of what happens in one event.
+FUNDING, CONFIRMING, RESTING, TRADING, FILLING, CANCELLING = range(6)
 
 
 @dataclass(frozen=True)
@@ -57,52 +65,160 @@ def settle_batch(
 ) -> Settled:
     """Process usable events on the state before them; see ``schemas.ORDER_STATE`` and ``WALLET_STATE`` for its columns."""
     commands = lifecycle.commands_of(events)
-    checked = stage(lifecycle.check(commands, orders), "checked")
+    checked = stage(lifecycle.check_submits(commands).unionByName(lifecycle.check_fills(commands)), "checked")
     valid = lifecycle.valid(checked)
-    submits, cancels = valid.filter(F.col("command") == SUBMIT), valid.filter(F.col("command") == CANCEL)
-
-    # Funds: releases of cancels, deposits and withdrawals, and the blocking of new orders, in log order.
-    moves = _moves(lifecycle.to_wallet_commands(submits.unionByName(cancels))).unionByName(_moves(deposits(events)))
-    decided = stage(ledger.decide(moves, wallets), "decided")
-    funded = decided.filter("accepted").select("seq").join(submits, "seq")
-
-    # Matching: what was funded against the book that is left.
-    confirmed = stage(lifecycle.apply_submit(funded), "confirmed")
-    takers = confirmed.drop("eventId")
-    cancelled, book = lifecycle.apply_cancel(orders, cancels)
-    matches = stage(
-        match_sequential(takers, book, time_priority).join(
-            confirmed.select(F.col("id").alias("takerId"), "eventId"), "takerId"
-        ),
-        "matches",
-    )
+    submits, fills = valid.filter(F.col("command") == SUBMIT), valid.filter(F.col("command") == FILL)
+    cancels = commands.filter(F.col("command") == CANCEL)
+
+    batch = _Batch(submits, cancels, fills, deposits(events), orders, wallets, time_priority)
+    decided, confirmed, matches, ended, moves = batch.run()
+    taken = ended.filter("reason is null")
 
-    # Settlement: fills of the matches, and fills that came in as commands, as far as their orders are still open.
-    changes = stage(_order_changes(confirmed, cancelled, cancels, book, matches), "changes")
-    arrived = _decide_fills(valid.filter(F.col("command") == FILL), book, changes)
-    taken = arrived.filter("reason is null")
-    fills = matching.to_fills(matches).unionByName(taken.select("seq", "eventId", *_FILL_COLUMNS, F.col("before").alias("qtyBefore")))
-    nth = fills.select(F.col("commandId"), F.col("qtyBefore").alias("nth"))
-    caused = lifecycle.to_wallet_commands(fills).join(nth, "commandId")
-    fill_moves = stage(_moves(caused, TRADING, F.col("nth")), "fill-moves")
-    order_changes = changes.unionByName(_fill_changes(taken))
-    wallet_effects = [ledger.effects(decided), ledger.fill_effects(fill_moves)]
+    # What follows from the outcome: every status an order goes through, and balances.
+    order_changes = _order_changes(confirmed, batch.book, matches, taken)
+    wallet_effects = [ledger.effects(decided), ledger.fill_effects(moves)]
     touched = wallet_effects[0].select(*ledger.KEY).unionByName(wallet_effects[1].select(*ledger.KEY)).distinct()
-    wallet_delta = ledger.apply_effects(wallets.join(touched, ledger.KEY, "left_semi"), *wallet_effects)
-    all_moves = decided.drop("availableFunds").unionByName(fill_moves.withColumn("accepted", F.lit(True)))
+    wallet_delta = ledger.apply_effects(batch.wallets.join(touched, ledger.KEY, "left_semi"), *wallet_effects)
+    all_moves = decided.drop("availableFunds").unionByName(moves.withColumn("accepted", F.lit(True)))
     return Settled(
         order_delta=latest_rows(order_changes),
         wallet_delta=wallet_delta.withColumn("is_delete", F.lit(False)),
         order_changes=order_changes,
-        wallet_changes=wallet_changes(all_moves, wallets),
-        matches=_with_makers_filled(matches.drop("eventId"), confirmed, book),
-        rejections=_rejections(checked, decided, events).unionByName(_command_rejections(arrived)),
+        wallet_changes=wallet_changes(all_moves, batch.wallets),
+        matches=_with_makers_filled(matches.drop("eventId"), confirmed, batch.book),
+        rejections=_rejections(checked, decided, events).unionByName(_command_rejections(ended)),
         passed=passing(events),
     )
 
 
+class _Batch:
+    """The turns between markets and wallets; see the module's description."""
+
+    def __init__(self, submits, cancels, fills, own, orders, wallets, time_priority: bool):
+        self.submits, self.time_priority = submits, time_priority
+        # The orders that commands name, resting ones and those of this batch; one that is in neither has no market.
+        named = cancels.select("orderId").unionByName(fills.select("orderId")).distinct()
+        held = orders.select(F.col("id").alias("orderId"), order_struct().alias("known"), F.lit(True).alias("held"))
+        fresh = submits.select("orderId", F.col("order").alias("known"), F.lit(False).alias("held"))
+        known = held.join(named, "orderId", "left_semi").unionByName(fresh.join(named, "orderId", "left_semi"))
+        rows = cancels.withColumn("qty", F.lit(0).cast(MONEY)).unionByName(fills.withColumn("qty", F.col("fillQty")))
+        self.commands = stage(rows.join(known, "orderId", "left"), "order-commands")
+        # Of the state, the open orders of the markets that the batch touches and the wallets that have to do with those.
+        markets = submits.select(*[F.col(f"order.{c}") for c in MARKET])
+        markets = markets.unionByName(self.commands.filter("known is not null").select(*[F.col(f"known.{c}") for c in MARKET])).distinct()
+        self.book = stage(orders.filter(F.col("status") == PROCESSED).join(markets, MARKET, "left_semi"), "book")
+        # Funds: deposits and withdrawals, and the blocking of new orders, in log order.
+        self.asks = stage(_moves(lifecycle.to_wallet_commands(submits)).unionByName(_moves(own)), "asks")
+        owners = self.asks.select("walletId").unionByName(self.book.select("walletId")).distinct()
+        self.wallets = stage(wallets.join(owners, "walletId", "left_semi"), "wallets")
+
+    def run(self) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+        """Decisions on ``asks``, confirmed orders, matches, what became of commands, and the moves of funds that follow."""
+        decided = stage(ledger.decide(self.asks, self.wallets), "decided")
+        confirmed, outcome, moves, changed = self._funded(decided), None, None, None
+        while True:
+            worked = self._worked(confirmed, changed)
+            now = worked if outcome is None else outcome.join(changed, MARKET, "left_anti").unionByName(worked)
+            now = stage(now, "outcome")
+            matches, ended = _of_takers(now, confirmed), stage(_ended(now, self.commands, confirmed), "ended")
+            caused = stage(_caused_moves(matches, ended.filter("reason is null")), "caused-moves")
+            touched = _differing(_effects(caused), None if moves is None else _effects(moves), [*ledger.KEY, "seq", "effect"])
+            touched = stage(touched.select(*ledger.KEY).distinct(), "touched")
+            release(*[df for df in (outcome, moves) if df is not None])
+            outcome, moves = now, caused
+            if touched.isEmpty():
+                return decided, confirmed, matches, ended, moves
+            again = stage(self._decided_again(decided, _effects(moves), touched), "decided")
+            funded = self._funded(again)
+            changed = stage(_differing(funded, confirmed, [*MARKET, "seq"]).select(*MARKET).distinct(), "changed")
+            release(decided, touched)
+            decided = again
+            if changed.isEmpty():
+                return decided, confirmed, matches, ended, moves
+            release(confirmed, ended)
+            confirmed = funded
+
+    def _funded(self, decided: DataFrame) -> DataFrame:
+        """Orders whose funds are blocked, as takers."""
+        return stage(lifecycle.apply_submit(decided.filter("accepted").select("seq").join(self.submits, "seq")), "confirmed")
+
+    def _worked(self, confirmed: DataFrame, changed: DataFrame | None) -> DataFrame:
+        commands = self.commands.filter("known is not null").select(
+            F.col("command").alias("kind"), "seq", *[F.col(f"known.{c}") for c in (*MARKET, "id")], "qty"
+        )
+        book = self.book
+        if changed is not None:
+            confirmed, book, commands = (df.join(changed, MARKET, "left_semi") for df in (confirmed, book, commands))
+        return work_through(confirmed, book, commands, self.time_priority)
+
+    def _decided_again(self, decided: DataFrame, effects: DataFrame, touched: DataFrame) -> DataFrame:
+        """Decisions anew where effects differ. At one ``seq`` the event's own command comes before what it causes."""
+        step = F.col("seq") * 2
+        asks = self.asks.join(touched, ledger.KEY, "left_semi").withColumns({"seq": step, "own": F.lit(True)})
+        nothing = {f.name: F.lit(None).cast(f.dataType) for f in asks.schema.fields if f.name not in (*ledger.KEY, "seq")}
+        given = nothing | {"operation": F.lit(CREDIT), "amount": F.col("effect"), "own": F.lit(False)}
+        caused = effects.join(touched, ledger.KEY, "left_semi").select(*ledger.KEY, (step + 1).alias("seq"), *[v.alias(c) for c, v in given.items()])
+        again = ledger.decide(asks.unionByName(caused), self.wallets).filter("own").drop("own")
+        again = again.withColumn("seq", F.expr("seq div 2"))
+        return decided.join(touched, ledger.KEY, "left_anti").unionByName(again.select(*decided.columns))
+
+
+def _differing(rows: DataFrame, before: DataFrame | None, columns: list[str]) -> DataFrame:
+    """Rows that are in only one of two tables, each of which has every row once."""
+    if before is None:
+        return rows.select(*columns)
+    both = rows.select(*columns).unionByName(before.select(*columns))
+    return both.groupBy(*columns).count().filter("count = 1").drop("count")
+
+
 _FILL_COLUMNS = ["commandId", "orderId", "causeId", "command", "fillQty", "fillPrice", "commandOrder", "order"]
-_POSITION = ["phase", "seq", "nth"]
+_POSITION = ["seq", "phase", "nth"]
+
+
+def _effects(moves: DataFrame) -> DataFrame:
+    """What trades, fills and cancels do to the funds of each (wallet, asset) at each ``seq``."""
+    effect = F.sum(ledger.amount_effect() - ledger.blocked_effect()).cast(LEDGER).alias("effect")
+    return moves.groupBy(*ledger.KEY, "seq").agg(effect).filter("effect <> 0")
+
+
+def _of_takers(outcome: DataFrame, confirmed: DataFrame) -> DataFrame:
+    """The matches of an outcome with the event of their taker."""
+    matches = outcome.filter("kind = 'MATCH'").select("seq", *matching.MATCH_COLUMNS)
+    return matches.join(confirmed.select(F.col("id").alias("takerId"), "eventId"), "takerId")
+
+
+def _ended(outcome: DataFrame, commands: DataFrame, confirmed: DataFrame) -> DataFrame:
+    """Cancels and fill commands with ``open``, what their order had open when they acted, and the ``reason`` against them.
+
+    Only what was open is known from the outcome; where nothing was, the order may have been filled, cancelled or never
+    confirmed before.
+    """
+    acted = outcome.filter(F.col("kind").isin(CANCEL, FILL)).select("seq", F.col("makerQty").alias("open"))
+    rows = commands.join(acted, "seq", "left")
+    fits = (F.col("command") == CANCEL) | (F.col("qty") <= F.col("open"))
+    cancelled = rows.filter((F.col("command") == CANCEL) & F.col("open").isNotNull()).select("orderId", F.col("seq").alias("cancelSeq"))
+    since = confirmed.select(F.col("id").alias("orderId"), F.col("seq").alias("since"))
+    rows = rows.join(cancelled, "orderId", "left").join(since, "orderId", "left")
+    there = F.coalesce("held", F.lit(False)) | F.coalesce(F.col("since") < F.col("seq"), F.lit(False))
+    reason = (
+        F.when(F.col("open").isNotNull(), F.when(~fits, "more than the open quantity"))
+        .when((F.col("command") == CANCEL) & (F.col("cancelSeq") < F.col("seq")), "already cancelled")
+        .when(there, "order is not open")
+        .otherwise("unknown order")
+    )
+    return rows.withColumn("reason", reason).drop("cancelSeq", "since")
+
+
+def _caused_moves(matches: DataFrame, taken: DataFrame) -> DataFrame:
+    """Moves of funds by matches, and by commands that were taken: fills, and cancels, which release what was open."""
+    columns = ["seq", "eventId", *_FILL_COLUMNS]
+    traded = matching.to_fills(matches).withColumns({"phase": F.lit(TRADING), "nth": F.col("qtyBefore")}).drop("qtyBefore")
+    cancels = F.col("command") == CANCEL
+    # A cancel acts on the order as it is known here, with what it has open; a fill on the copy that came with it.
+    acted = F.when(cancels, F.col("known").withField("qty", F.col("open"))).otherwise(F.col("order"))
+    ended = taken.withColumns({"order": acted, "phase": F.when(cancels, CANCELLING).otherwise(FILLING), "nth": F.lit(0).cast(MONEY)})
+    both = traded.unionByName(ended.select(*columns, "phase", "nth"))
+    return _moves(lifecycle.to_wallet_commands(both, ["phase", "nth"]), F.col("phase"), F.col("nth"))
 
 
 def passing(events: DataFrame) -> DataFrame:
@@ -113,7 +229,7 @@ def passing(events: DataFrame) -> DataFrame:
     return rest.select(F.coalesce("orderKey", "walletKey").alias("key"), "seq", "event")
 
 
-def _moves(wallet_commands: DataFrame, phase: int = FUNDING, nth: Column | None = None) -> DataFrame:
+def _moves(wallet_commands: DataFrame, phase: Column | None = None, nth: Column | None = None) -> DataFrame:
     """Wallet commands in ledger form; ``nth`` orders those of one event and phase."""
     return wallet_commands.select(
         "walletId",
@@ -125,7 +241,7 @@ def _moves(wallet_commands: DataFrame, phase: int = FUNDING, nth: Column | None
         "id",
         "eventId",
         F.col("command"),
-        F.lit(phase).alias("phase"),
+        (F.lit(FUNDING) if phase is None else phase).alias("phase"),
         (F.lit(0) if nth is None else nth).cast(MONEY).alias("nth"),
     )
 
@@ -145,48 +261,49 @@ def deposits(events: DataFrame) -> DataFrame:
 _FIELDS = [f.name for f in ORDER.fields]
 
 
-def _change(rows: DataFrame, phase: int, nth: Column | None = None, deleted: bool = False) -> DataFrame:
+def _change(rows: DataFrame, phase: int | Column, nth: Column | None = None, deleted: bool = False) -> DataFrame:
     entry = F.col("entrySeq") if "entrySeq" in rows.columns else F.col("seq")
     return rows.select(
         *_FIELDS,
         "seq",
         entry.alias("entrySeq"),
         "eventId",
-        F.lit(phase).alias("phase"),
+        (F.lit(phase) if isinstance(phase, int) else phase).alias("phase"),
         (F.lit(0) if nth is None else nth).cast(MONEY).alias("nth"),
         F.lit(deleted).alias("is_delete"),
     )
 
 
-def _order_changes(
-    confirmed: DataFrame, cancelled: DataFrame, cancels: DataFrame, book: DataFrame, matches: DataFrame
-) -> DataFrame:
-    """Every status an order goes through up to the trades, with its position in the batch."""
-    removed = cancelled.join(cancels.select(F.col("orderId").alias("id"), "eventId"), "id")
+def _order_changes(confirmed: DataFrame, book: DataFrame, matches: DataFrame, taken: DataFrame) -> DataFrame:
+    """Every status an order goes through, with its position in the batch."""
     # What either side of a match has open after it follows from the match itself.
     taker_left = F.col("takerQty") - F.col("qtyBefore") - F.col("qtyFilled")
-    traded = matches.select(
+    sides = F.array(
+        F.struct(F.col("takerId").alias("id"), taker_left.cast(MONEY).alias("left")),
+        F.struct(F.col("makerId").alias("id"), (F.col("makerQty") - F.col("qtyFilled")).cast(MONEY).alias("left")),
+    )
+    traded = matches.select("seq", "eventId", F.lit(TRADING).alias("step"), F.col("qtyBefore").alias("nth"), F.inline(sides))
+    cancels = F.col("command") == CANCEL
+    ended = taken.select(
         "seq",
         "eventId",
-        F.col("qtyBefore").alias("nth"),
-        F.inline(
-            F.array(
-                F.struct(F.col("takerId").alias("id"), taker_left.cast(MONEY).alias("left")),
-                F.struct(
-                    F.col("makerId").alias("id"), (F.col("makerQty") - F.col("qtyFilled")).cast(MONEY).alias("left")
-                ),
-            )
-        ),
+        F.when(cancels, CANCELLING).otherwise(FILLING).alias("step"),
+        F.lit(0).cast(MONEY).alias("nth"),
+        F.col("orderId").alias("id"),
+        F.when(cancels, F.col("open")).otherwise(F.col("open") - F.col("qty")).cast(MONEY).alias("left"),
     )
+    steps = traded.unionByName(ended)
     known = confirmed.select(*_FIELDS, F.col("seq").alias("entrySeq")).unionByName(
         book.select(*_FIELDS, F.col("seq").alias("entrySeq"))
     )
-    after_trades = known.join(traded, "id").transform(_left_over)
+    after = known.join(steps, "id").transform(_left_over)
+    gone = F.col("step") == CANCELLING
+    after = after.withColumn("status", F.when(gone, CANCELLED).otherwise(F.col("status")))
     return (
         _change(confirmed, CONFIRMING)
         .unionByName(_change(matching.enter_book(confirmed), RESTING))
-        .unionByName(_change(after_trades, TRADING, F.col("nth")))
-        .unionByName(_change(removed, CANCELLING, deleted=True))
+        .unionByName(_change(after.filter(~gone), F.col("step"), F.col("nth")))
+        .unionByName(_change(after.filter(gone), CANCELLING, deleted=True))
     )
 
 
@@ -201,36 +318,6 @@ def _left_over(orders: DataFrame) -> DataFrame:
     ).drop("left")
 
 
-def _decide_fills(commands: DataFrame, book: DataFrame, changes: DataFrame) -> DataFrame:
-    """Fill commands with the order they act on as it is after the trades, ``before`` and the ``reason`` against them.
-
-    Commands of one order act in log order. Once one asks for more than is open, it and the later ones of the batch are
-    turned down: what it would have left is not known.
-    """
-    orders = book.select(*_FIELDS, F.col("seq").alias("entrySeq")).join(
-        commands.select(F.col("orderId").alias("id")).distinct(), "id", "left_semi"
-    )
-    changed = changes.join(orders.select("id"), "id", "left_semi")
-    rows = _change(orders.withColumns({"seq": F.col("entrySeq"), "eventId": F.lit("")}), -1).unionByName(changed)
-    last = latest_by_key(rows, ["id"], _POSITION).select(
-        F.col("id").alias("orderId"), F.struct(*_FIELDS, "entrySeq").alias("known")
-    )
-    numbered = running_before(commands, ["orderId"], ["seq", "commandId"], sums={"before": F.col("fillQty")}, label="arrived")
-    reason = (
-        F.when(F.col("known").isNull(), "unknown order")
-        .when(F.col("known.status") != PROCESSED, "order is not open")
-        .when(F.col("before") + F.col("fillQty") > F.col("known.qty"), "more than the open quantity")
-    )
-    return stage(numbered.join(last, "orderId", "left").withColumn("reason", reason), "arrived")
-
-
-def _fill_changes(taken: DataFrame) -> DataFrame:
-    """One change for every fill command."""
-    left = (F.col("known.qty") - F.col("before") - F.col("fillQty")).cast(MONEY)
-    rows = taken.select("seq", "eventId", "before", left.alias("left"), "known.*")
-    return _change(rows.transform(_left_over), FILLING, F.col("before"))
-
-
 def _with_makers_filled(matches: DataFrame, confirmed: DataFrame, book: DataFrame) -> DataFrame:
     """Matches with what their maker had filled before, and the messages of both orders."""
     known = confirmed.select("id", "qty", "qtyFilled", "message").unionByName(book.select("id", "qty", "qtyFilled", "message"))
@@ -254,10 +341,10 @@ def wallet_changes(moves: DataFrame, wallets: DataFrame) -> DataFrame:
     """Balance after every accepted wallet command, how many its asset and its wallet have had, and whether its order
     still had to be changed."""
     running = ledger.running_balances(
-        moves, wallets, order=["phase", "seq", "nth", "id"], carry=["id", "eventId", "phase", "nth", "command"]
+        moves, wallets, order=["seq", "phase", "nth", "id"], carry=["id", "eventId", "phase", "nth", "command"]
     )
     counted = running_before(
-        running, ["walletId"], ["phase", "seq", "nth", "id"], sums={"_no": F.lit(1).cast("long")}, label="wallet-count"
+        running, ["walletId"], ["seq", "phase", "nth", "id"], sums={"_no": F.lit(1).cast("long")}, label="wallet-count"
     )
     start = ledger.tx_count(wallets).select("walletId", F.col("txCount").alias("_start"))
     counted = counted.join(start, "walletId", "left")
@@ -325,21 +412,22 @@ def output_events(settled: Settled) -> DataFrame:
 
 def commit_batch(store: StateStore, raw: DataFrame, version: int, time_priority: bool = False) -> None:
     """Decode, settle and commit a batch of log records as ``version``; doing it again has the same result."""
-    good, dead = split_corrupt(stage(decode_events(raw.select(*LOG.fieldNames())), "decoded"))
-    settled = settle_batch(good, store.load("orders", version - 1), store.load("wallets", version - 1), time_priority)
-    store.commit(
-        version,
-        {"orders": settled.order_delta, "wallets": settled.wallet_delta},
-        {
-            "order_changes": settled.order_changes,
-            "wallet_changes": settled.wallet_changes,
-            "matches": settled.matches,
-            "rejections": settled.rejections,
-            "dead_letters": dead,
-            "output": output_events(settled).withColumn("processedAt", fn.processed_at()),
-        },
-        raw,
-    )
+    with temporary():
+        good, dead = split_corrupt(stage(decode_events(raw.select(*LOG.fieldNames())), "decoded"))
+        settled = settle_batch(good, store.load("orders", version - 1), store.load("wallets", version - 1), time_priority)
+        store.commit(
+            version,
+            {"orders": settled.order_delta, "wallets": settled.wallet_delta},
+            {
+                "order_changes": settled.order_changes,
+                "wallet_changes": settled.wallet_changes,
+                "matches": settled.matches,
+                "rejections": settled.rejections,
+                "dead_letters": dead,
+                "output": output_events(settled).withColumn("processedAt", fn.processed_at()),
+            },
+            raw,
+        )
 
 
 def replay(store: StateStore, log: DataFrame, max_events_per_batch: int, time_priority: bool = False) -> int:

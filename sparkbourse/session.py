@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +24,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "12g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -40,16 +44,36 @@ def scratch_dir(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
 
 
+#: Tables staged inside the innermost ``temporary`` block.
+_HELD: contextvars.ContextVar[list[DataFrame] | None] = contextvars.ContextVar("held", default=None)
+
+
+@contextlib.contextmanager
+def temporary() -> Iterator[None]:
+    """Tables staged inside the block, by whatever operator, are removed at its end."""
+    held: list[DataFrame] = []
+    token = _HELD.set(held)
+    try:
+        yield
+    finally:
+        _HELD.reset(token)
+        release(*held)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
-    Cuts lineage so that several readers see the same rows, also after executors are lost. ``release`` removes it.
+    Cuts lineage so that several readers see the same rows, also after executors are lost. ``release`` removes it, or the
+    end of the ``temporary`` block around.
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/staged/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     staged = spark.read.schema(df.schema).parquet(path)
     staged._staged_at = path
+    held = _HELD.get()
+    if held is not None:
+        held.append(staged)
     return staged
 
 

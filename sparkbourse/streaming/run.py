@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from sparkbourse.operators import ledger
 from sparkbourse.plans.settle import FUNDING, commit_batch, deposits, wallet_changes
 from sparkbourse.schemas import MONEY
-from sparkbourse.session import stage
+from sparkbourse.session import stage, temporary
 from sparkbourse.sources.codec import decode_events, split_corrupt
 from sparkbourse.sources.events import LOG
 from sparkbourse.sources.state import StateStore
@@ -62,22 +62,23 @@ def run_ledger(records: DataFrame, store: StateStore, checkpoint: str, available
 
 
 def commit_wallet_commands(store: StateStore, raw: DataFrame, version: int) -> None:
-    good, dead = split_corrupt(stage(decode_events(raw.select(*LOG.fieldNames())), "decoded"))
-    wallets = store.load("wallets", version - 1)
-    moves = deposits(good).withColumns({"phase": F.lit(FUNDING), "nth": F.lit(0).cast(MONEY)})
-    decided = stage(ledger.decide(moves, wallets), "decided")
-    effects = ledger.effects(decided)
-    touched = wallets.join(effects.select(*ledger.KEY), ledger.KEY, "left_semi")
-    store.commit(
-        version,
-        {"wallets": ledger.apply_effects(touched, effects).withColumn("is_delete", F.lit(False))},
-        {
-            "wallet_changes": wallet_changes(decided, wallets),
-            "rejections": ledger.rejections(decided),
-            "dead_letters": dead,
-        },
-        raw,
-    )
+    with temporary():
+        good, dead = split_corrupt(stage(decode_events(raw.select(*LOG.fieldNames())), "decoded"))
+        wallets = store.load("wallets", version - 1)
+        moves = deposits(good).withColumns({"phase": F.lit(FUNDING), "nth": F.lit(0).cast(MONEY)})
+        decided = stage(ledger.decide(moves, wallets), "decided")
+        effects = ledger.effects(decided)
+        touched = wallets.join(effects.select(*ledger.KEY), ledger.KEY, "left_semi")
+        store.commit(
+            version,
+            {"wallets": ledger.apply_effects(touched, effects).withColumn("is_delete", F.lit(False))},
+            {
+                "wallet_changes": wallet_changes(decided, wallets),
+                "rejections": ledger.rejections(decided),
+                "dead_letters": dead,
+            },
+            raw,
+        )
 
 
 def fresh_start(spark: SparkSession, root: str, compact_every: int = 10) -> StateStore:
