@@ -10,7 +10,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +29,9 @@ LEADERS = 3
 ESTIMATE = 0.6
 #: Rounds of picks, which join most of what belongs together; what they leave open is then decided exactly.
 ROUNDS = 4
+#: Texts of crowded buckets are estimated again from so many bins of their shingles, before texts are fetched; here too the
+#: bound lies five standard errors below the threshold.
+BINS = 1024
 SIGNED = "doc_id long, t long, key binary, bands array<long>, bits binary"
 
 
@@ -168,56 +171,97 @@ def _all_pairs(members: DataFrame) -> DataFrame:
     return lists.select(F.explode(pairs).alias("p")).select("p.a", "p.b").distinct()
 
 
-def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """``id, root`` of the members of buckets that hold several roots: between them links may be missing."""
-    placed = members.join(roots, "id")
-    mixed = placed.groupBy("band", "bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    mixed = mixed.select(F.col("band").alias("b2"), F.col("bucket").alias("k2"))
-    left = placed.join(mixed, (F.col("band") == F.col("b2")) & (F.col("bucket") == F.col("k2")))
-    return stage(left.select("id", "root").distinct(), "open")
+def _as_planes(values: np.ndarray) -> pa.Array:
+    """The 8 bits of each of a row's numbers, plane by plane, each plane as words of 64 numbers."""
+    width = -(-values.shape[1] // 64) * 8
+    words = np.zeros((len(values), 8, width), np.uint8)
+    for p in range(8):
+        packed = np.packbits(values >> p & 1, axis=1, bitorder="little")
+        words[:, p, : packed.shape[1]] = packed
+    flat = pa.array(words.reshape(len(values), 8 * width).view(np.int64).ravel())
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1) * width, pa.int32()), flat)
 
 
-def _spread(words: int, size: int = 500_000):
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _planes(parts: int):
+    """Signatures by bit."""
+
+    def planes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint8).reshape(-1, parts)
+            yield pa.record_batch([batch.column("id"), _as_planes(kept), batch.column("bands")], ["id", "planes", "bands"])
+
+    return planes
+
+
+def bin_winners(hashes: np.ndarray, text: np.ndarray, texts: int, bins: int) -> np.ndarray:
+    """Shingles dealt to ``bins``: for each text and bin 7 bits of the least shingle and a top bit, 0 where a bin is empty."""
+    spread = mix(hashes ^ np.uint64(0xA0761D6478BD642F))
+    least = np.full(texts * bins, np.iinfo(np.uint64).max, np.uint64)
+    np.minimum.at(least, text * bins + (spread % np.uint64(bins)).astype(np.int64), mix(spread) >> np.uint64(1))
+    there = least != np.iinfo(np.uint64).max
+    return np.where(there, (least & np.uint64(127)) | np.uint64(128), np.uint64(0)).astype(np.uint8).reshape(texts, bins)
+
+
+def _binned(words: int, bins: int):
+    def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for start, end in slices(whole.column("text")):
                 batch = whole.slice(start, end - start)
-                hashes, text, _ = distinct(*shingle_hashes(*word_hashes(batch.column("text")), words))
-                n = np.bincount(text, minlength=batch.num_rows)
-                columns = [np.asarray(batch.column("id"))[text], np.asarray(batch.column("root"))[text], n[text], hashes.view(np.int64)]
-                for at in range(0, len(text), size):
-                    yield pa.record_batch([pa.array(c[at : at + size], pa.int64()) for c in columns], ["id", "root", "n", "shingle"])
+                hashes, text = shingle_hashes(*word_hashes(batch.column("text")), words)
+                yield pa.record_batch([batch.column("id"), _as_planes(bin_winners(hashes, text, batch.num_rows, bins))], ["id", "fine"])
+
+    return binned
 
-    return spread
 
+def _differing_parts(left: str, right: str, parts: int) -> str:
+    """SQL for the number of components in which two signatures differ, from their planes."""
+    words = -(-parts // 64)
+    return " + ".join("bit_count(" + " | ".join(f"({left}[{p * words + w}] ^ {right}[{p * words + w}])" for p in range(8)) + ")" for w in range(words))
 
-def _sharing_rare(texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Pairs ``a, b`` of ``texts(id, root, text)`` of different roots, among them all that have the similarity.
 
-    A prefix filter: texts of that similarity share all but so few of their shingles that one of the first ones of each,
-    in any order common to all texts, is the same. The order is that from rare to frequent, with shingles of only one
-    root before all others, as they lead to no pair. No bucket and no number of partners limits the pairs.
+def _enough_bins(left: str, right: str, bins: int, least: float) -> str:
+    """SQL: of the bins in which any of two texts has a shingle, at least that share has the same one in both.
+
+    Word by word in a lambda: as one expression it would be too much code for the JVM to compile.
+    """
+    words = bins // 64
+    side = lambda name, p: f"{name}[{p * words} + w]"
+    other = " | ".join(f"({side(left, p)} ^ {side(right, p)})" for p in range(7))
+    top, top2 = side(left, 7), side(right, 7)
+    balance = f"10000L * bit_count({top} & {top2} & ~({other})) - {int(10_000 * least)}L * bit_count({top} | {top2})"
+    return f"aggregate(sequence(0, {words - 1}), 0L, (total, w) -> total + {balance}) >= 0"
+
+
+def _meeting(large: DataFrame, roots: DataFrame, firsts: DataFrame, docs: DataFrame, words: int, similarity: float, bands: int, rows: int) -> DataFrame:
+    """``a, b, estimate`` of all pairs of different roots that share a bucket and whose estimates are high enough.
+
+    Buckets whose members all have one root are done. In the others every member meets those that are not of the bucket's
+    largest root, so that a large class never meets itself. Both estimates, that from the signature and a closer one from
+    shingles dealt to bins, and the rule that a pair counts in the first band it shares only (a small bucket's pairs are
+    known already) are part of the join, as whole numbers and bits: what is no candidate is never written, and no bucket
+    and no number of partners limits what is compared. It is a plain join, whose large partitions Spark splits.
     """
-    shingles = stage(texts.mapInArrow(_spread(words), "id long, root long, n long, shingle long"), "shingles")
-    held = shingles.groupBy("shingle").agg(F.count("*").alias("held"), F.min("root").alias("low"), F.max("root").alias("high"))
-    held = stage(held.filter("low <> high").select(F.col("shingle").alias("s"), "held"), "held")
-    shared = shingles.join(held, F.col("shingle") == F.col("s")).select("id", "root", "n", "shingle", "held")
-    of_text = Window.partitionBy("id")
-    ordered = shared.withColumn("place", F.row_number().over(of_text.orderBy("held", "shingle"))).withColumn("shared", F.count("*").over(of_text))
-    first = F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1
-    prefix = stage(ordered.filter(F.col("n") - F.col("shared") + F.col("place") <= first).select("id", "root", "n", "shingle"), "prefix")
-    release(shingles, held)
-    # One side of a pair is always outside of the shingle's largest root, so a large class never meets itself.
-    sizes = prefix.groupBy("shingle", "root").agg(F.count("*").alias("rows"))
-    major = sizes.groupBy("shingle").agg(F.max_by("root", F.struct("rows", "root")).alias("major"), F.count("*").alias("roots"))
-    major = major.filter("roots > 1").select(F.col("shingle").alias("s"), "major")
-    minor = prefix.join(major, F.col("shingle") == F.col("s")).filter("root <> major")
-    minor = stage(minor.select("s", "major", F.col("id").alias("i2"), F.col("root").alias("r2"), F.col("n").alias("n2")), "minor")
-    once = (F.col("root") == F.col("major")) | (F.col("id") < F.col("i2"))
-    alike = F.least("n", "n2") >= F.greatest("n", "n2") * similarity - 1e-9
-    pairs = prefix.join(minor, (F.col("shingle") == F.col("s")) & (F.col("root") != F.col("r2")) & once & alike)
-    pairs = stage(pairs.select(F.least("id", "i2").alias("a"), F.greatest("id", "i2").alias("b")).distinct(), "sharing")
-    release(prefix, minor)
+    parts, most = bands * rows, int(bands * rows * (1 - ESTIMATE) + 1e-9)
+    placed = large.join(roots, "id")
+    sizes = placed.groupBy("band", "bucket", "root").agg(F.count("*").alias("rows"))
+    mixed = sizes.groupBy("band", "bucket").agg(F.max_by("root", F.struct("rows", "root")).alias("major"), F.count("*").alias("roots"))
+    mixed = mixed.filter("roots > 1").select(F.col("band").alias("b2"), F.col("bucket").alias("k2"), "major")
+    open_rows = stage(placed.join(mixed, (F.col("band") == F.col("b2")) & (F.col("bucket") == F.col("k2"))).drop("b2", "k2"), "open")
+    ids = open_rows.select("id").distinct()
+    signatures = firsts.select("id", "bits", "bands").join(ids, "id", "left_semi").mapInArrow(_planes(parts), "id long, planes array<long>, bands array<long>")
+    texts = _texts(ids, firsts, docs)
+    fine = texts.mapInArrow(_binned(words, BINS), "id long, fine array<long>")
+    left = stage(open_rows.join(signatures, "id").join(fine, "id"), "open-signed")
+    columns = ("band", "bucket", "id", "root", "planes", "bands", "fine")
+    right = left.filter("root <> major").select(*[F.col(c).alias(f"{c}2") for c in columns])
+    differ, enough = _differing_parts("planes", "planes2", parts), _enough_bins("fine", "fine2", BINS, similarity - 5 * (similarity * (1 - similarity) / BINS) ** 0.5)
+    first = "array_position(zip_with(bands, bands2, (x, y) -> x = y), true) = band + 1"
+    met = F.expr(
+        f"band = band2 AND bucket = bucket2 AND root <> root2 AND (root = major OR id < id2) AND {differ} <= {most} AND {first} AND {enough}"
+    )
+    estimate = (F.lit(1.0) - F.expr(differ) / parts).alias("estimate")
+    pairs = stage(left.join(right, met).select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"), estimate), "meeting")
+    release(open_rows, texts, left)
     return pairs
 
 
@@ -255,9 +299,9 @@ def classes(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
     the hash of the text. Null ids are allowed; a class without any id has a null class id. No rows give no rows.
 
     Texts that share a band are candidates, all of them. The members of a small bucket are all compared. In a larger one
-    they are first compared with a few leaders, in rounds, until a round links nothing; then the texts of all buckets
-    that still hold several classes are compared with each other through the shingles they share. Rounds only save work:
-    they decide no pair but those they compare.
+    they are first compared with a few leaders, in rounds, until a round links nothing; then, in all buckets that still
+    hold several classes, every member is compared with those of other classes. Rounds only save work: they decide no
+    pair but those they compare.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -275,13 +319,17 @@ def classes(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
     def united(tables: list[DataFrame]) -> DataFrame:
         return reduce(DataFrame.union, tables)
 
-    def tell(pairs: DataFrame) -> bool:
-        """Add those of the pairs that are links to ``links``, and all that had a chance to ``tried``; whether any is."""
-        if tried:
-            pairs = pairs.join(united(tried), ["a", "b"], "left_anti")
-        guessed = pairs.join(bits.withColumnsRenamed({"id": "a", "bits": "ba"}), "a").join(bits.withColumnsRenamed({"id": "b", "bits": "bb"}), "b")
-        guessed = guessed.withColumn("estimate", _estimate(bands * rows)("ba", "bb")).filter(F.col("estimate") >= ESTIMATE)
-        todo = stage(guessed.select("a", "b", "estimate"), "pairs")
+    def untried(pairs: DataFrame) -> DataFrame:
+        return pairs.join(united(tried), ["a", "b"], "left_anti") if tried else pairs
+
+    def guessed(pairs: DataFrame) -> DataFrame:
+        """Pairs with their estimate, as far as it is high enough."""
+        both = pairs.join(bits.withColumnsRenamed({"id": "a", "bits": "ba"}), "a").join(bits.withColumnsRenamed({"id": "b", "bits": "bb"}), "b")
+        return both.select("a", "b", _estimate(bands * rows)("ba", "bb").alias("estimate")).filter(F.col("estimate") >= ESTIMATE)
+
+    def tell(todo: DataFrame) -> bool:
+        """Add those of the pairs that are links to ``links``, and all of them to ``tried``; whether any is a link."""
+        todo = stage(todo, "pairs")
         if todo.isEmpty():
             return False
         texts = _texts(todo.select(F.col("a").alias("id")).union(todo.select(F.col("b").alias("id"))).distinct(), firsts, docs)
@@ -307,18 +355,13 @@ def classes(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
         pairs = _picked(large.join(roots, "id"), leaders, round_no)
         if not round_no:
             pairs = pairs.union(_all_pairs(members.filter(F.col("size") <= SMALL))).distinct()
-        if not tell(pairs):
+        if not tell(guessed(untried(pairs))):
             break
         roots = _nearer(roots, united(links))
     roots = components(united(links)) if links else None
     joined = alone if roots is None else alone.join(roots.withColumnRenamed("root", "to"), "id", "left").select("id", F.coalesce("to", "root").alias("root"))
-    left = _open(large, joined)
-    if not left.isEmpty():
-        texts = _texts(left.select("id"), firsts, docs)
-        pairs = _sharing_rare(left.join(texts, "id"), words, similarity)
-        release(texts)
-        if tell(pairs):
-            roots = components(united(links))
+    if tell(untried(_meeting(large, joined, firsts, docs, words, similarity, bands, rows))):
+        roots = components(united(links))
     if roots is None:
         roots = alone
     with_id = signed.select("doc_id", "t", "key").join(firsts.select("key", "id"), "key")
