@@ -56,9 +56,9 @@ def parse(text: str) -> Iterator[tuple[str, str, int, int]]:
 
 
 def render(role: str | None, text: str | None) -> str:
-    """A turn as the grammar reads it back: raw if that gives the same turn again, else escaped until it does."""
+    """A turn as the grammar reads it back: a text that holds any mark is escaped, and again until the same turn comes back."""
     role, text = role or "", text or ""
-    body = text
+    body = escape(text)
     for _ in range(3):
         rendered = wrap(role, body)
         try:
@@ -149,17 +149,14 @@ def digests(formatted: DataFrame) -> DataFrame:
 
 def sql(more: list[tuple[int, int, str, str]]) -> str:
     """The rows of ``digests`` for a table with the three known roles and one row per turn, as DuckDB SQL; ``more`` rows
-    are added to it. A text is escaped if it holds its own closing mark, or a mark that already has a backslash."""
+    are added to it. Every mark in a text, escaped before or not, gets one backslash."""
     added = " ".join(f"UNION ALL SELECT {c}, {t}, '{r}', '{x}'" for c, t, r, x in more)
     marks = "<{n}(?:<SYS>>|</SYS>>|s>|/s>|role=|/role>)|\\[{n}(?:INST\\]|/INST\\])"
-    closing = " ".join(f"WHEN '{role}' THEN '{end}'" for role, (_, end) in MARKS.items())
     around = " ".join(f"WHEN '{role}' THEN {len(a) + len(b)}" for role, (a, b) in MARKS.items())
     return f"""
 WITH rows AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations {added}),
 turns AS (
-  SELECT *, length(text) + CASE role {around} END + CASE
-    WHEN contains(text, CASE role {closing} END) OR regexp_matches(text, '{marks.format(n="[\\\\]+")}')
-    THEN len(regexp_extract_all(text, '{marks.format(n="[\\\\]*")}')) ELSE 0 END AS chars
+  SELECT *, length(text) + CASE role {around} END + len(regexp_extract_all(text, '{marks.format(n="[\\\\]*")}')) AS chars
   FROM rows)
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = '{LEARNED}'), 0) AS BIGINT) AS loss_chars,

@@ -25,8 +25,8 @@ def byte_letters() -> dict[int, str]:
 class WordTokens:
     """``encode(text)`` gives the ids, little-endian unsigned 32-bit, that the whole tokenizer would give.
 
-    A chunk's ids do not depend on its neighbours, since normalising and splitting never look across white space. Strings
-    of special tokens count as ordinary text.
+    A chunk's ids do not depend on its neighbours, since normalising and splitting never look across white space. A text
+    that holds the string of a special token, which becomes that token wherever it stands, goes through the tokenizer whole.
     """
 
     def __init__(self, path: str, keep: int = 400_000):
@@ -34,7 +34,7 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self._whole = Tokenizer.from_file(path)
-        self._whole.encode_special_tokens = True
+        self._special = [token.content for token in self._whole.get_added_tokens_decoder().values()]
         self._tokenize = self._whole.model.tokenize
         self._split, self._letters = regex.compile(PRETOKENS).findall, byte_letters()
         self._words, self._chunks = Kept(self._word, keep), Kept(self._chunk, keep)
@@ -60,7 +60,7 @@ class WordTokens:
         return b"".join([i.to_bytes(4, "little") for i in self._whole.encode(text, add_special_tokens=False).ids])
 
     def encode(self, text: str) -> bytes:
-        if any(c in text for c in NO_SPACE):
+        if any(c in text for c in (*NO_SPACE, *self._special)):
             return self._plain(text)
         ids = b"".join(map(self._chunks.__getitem__, text.split()))
         self._words.turn()

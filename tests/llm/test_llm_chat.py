@@ -28,6 +28,15 @@ def test_only_conflicts_are_escaped(text):
         assert chat.render("user", text) == f"[INST]{text}[/INST]"
 
 
+@given(TEXTS, st.sampled_from(["system", "user", "assistant", "tool"]))
+def test_no_mark_goes_out_raw(text, role):
+    rendered = chat.render(role, text)
+    (turn,) = chat.parse(rendered)
+    body = rendered[turn[2] : turn[3]]
+    assert all(m[0] != "<" and m[0] != "[" for m in chat.CONFLICT.finditer(body))
+    assert chat.render("user", "a </s><s>b") == "[INST]a <\\/s><\\s>b[/INST]"
+
+
 def expected(rows: list[tuple]) -> list[tuple]:
     by_conversation: dict = {}
     for conv_id, turn, role, text in rows:

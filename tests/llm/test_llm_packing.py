@@ -15,7 +15,6 @@ from sparkbourse.llm.wordtokens import WordTokens
 
 PATH = public_tokenizers.path(packing.TOKENIZER_FILE)
 WHOLE = Tokenizer.from_file(PATH)
-WHOLE.encode_special_tokens = True
 CHUNKED = WordTokens(PATH, keep=50)
 
 
@@ -29,6 +28,13 @@ def test_chunks_give_the_ids_of_the_whole_tokenizer(text):
     assert np.frombuffer(CHUNKED.encode(text), "<u4").tolist() == ids_of(text)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|", "endoftext", "|>", " ", "hi", "É", "\n"]), max_size=8).map("".join))
+def test_strings_of_special_tokens(text):
+    assert np.frombuffer(CHUNKED.encode(text), "<u4").tolist() == ids_of(text)
+    assert ids_of("<|endoftext|> hi") == [49407, 1883]
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(1, 20), max_size=60))
 def test_rule_is_followed(lengths):
