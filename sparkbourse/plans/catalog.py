@@ -14,11 +14,11 @@ from sparkbourse.functions import orders as fn
 from sparkbourse.functions import wallets
 from sparkbourse.operators import ledger, lifecycle, matching, route, sequential
 from sparkbourse.plans import oracles, queries, settle
-from sparkbourse.schemas import MONEY
+from sparkbourse.schemas import MONEY, ORDER_STATE
 from sparkbourse.session import scratch_dir, stage
 from sparkbourse.sources import codec, events, tables, testviews
 from sparkbourse.sources.state import StateStore, seed_wallets, upsert
-from sparkbourse.streaming import feeds, run
+from sparkbourse.streaming import feeds, run, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -391,7 +391,8 @@ def merged_logs(spark: SparkSession, d: str) -> DataFrame:
     first, second = _scratch(spark, "log-a"), _scratch(spark, "log-b")
     testviews.raw_log(spark, d).select(*events.LOG.fieldNames()).write.parquet(first)
     testviews.wallet_log(spark, d).select(*events.LOG.fieldNames()).write.parquet(second)
-    return out(events.read_events(spark, [first, second]), "seq", "key")
+    both = events.read_events(spark, [first, second])
+    return out(both.select(events.place_in_source(F.col("seq")).alias("seq"), "key"))
 
 
 def materialized_orders(spark: SparkSession, d: str) -> DataFrame:
@@ -441,6 +442,52 @@ def settle_batch(spark: SparkSession, d: str) -> DataFrame:
     return out(settled.order_delta, "id", "walletId", "orderType", "price", "qty", "qtyFilled", "status", "is_delete")
 
 
+def _settled_clean(spark: SparkSession, d: str) -> settle.Settled:
+    """The clean log as one batch on an empty book."""
+    log = codec.split_corrupt(stage(codec.decode_events(testviews.clean_log(spark, d)), "decoded"))[0]
+    book = spark.createDataFrame([], ORDER_STATE)
+    return settle.settle_batch(log, book, seed_wallets(testviews.clean_seeds(spark, d)))
+
+
+_ORDER_ROW = ["id", "walletId", "orderType", "price", "qty", "qtyFilled", "status", "seq"]
+
+
+def settle_orders(spark: SparkSession, d: str) -> DataFrame:
+    """Orders after the clean log."""
+    return out(_settled_clean(spark, d).order_delta.filter("not is_delete"), *_ORDER_ROW)
+
+
+def settle_wallets(spark: SparkSession, d: str) -> DataFrame:
+    """Wallets after the clean log, untouched ones too."""
+    seeds = seed_wallets(testviews.clean_seeds(spark, d))
+    after = upsert(seeds, _settled_clean(spark, d).wallet_delta, ledger.KEY)
+    return out(after, "walletId", "assetId", "amount", "blocked", "txCount")
+
+
+def settle_rejections(spark: SparkSession, d: str) -> DataFrame:
+    return out(_settled_clean(spark, d).rejections, "seq", "reason", "available")
+
+
+def settle_matches(spark: SparkSession, d: str) -> DataFrame:
+    return out(_settled_clean(spark, d).matches, *_IN_TURN)
+
+
+def settle_changes(spark: SparkSession, d: str) -> DataFrame:
+    """Every status that the orders of the clean log go through."""
+    return out(_settled_clean(spark, d).order_changes, "seq", "id", "status", "qty", "qtyFilled")
+
+
+def settle_streamed(spark: SparkSession, d: str) -> DataFrame:
+    """The clean log streamed through order processing in two micro-batches; all orders after it."""
+    log, root = _scratch(spark, "clean-log"), _scratch(spark, "settled")
+    _write_parts(testviews.clean_log(spark, d).select(*events.LOG.fieldNames()), log, 2)
+    store = StateStore(spark, f"{root}/state")
+    store.seed(wallets=seed_wallets(testviews.clean_seeds(spark, d)))
+    records = events.read_events(spark, log, streaming=True, max_files=PART_FILES)
+    run.run_orders(records, store, f"{root}/checkpoint").awaitTermination()
+    return out(store.load("orders"), *_ORDER_ROW)
+
+
 def _scratch(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
@@ -468,6 +515,15 @@ def stream_ledger(spark: SparkSession, d: str) -> DataFrame:
     return out(store.load("wallets"), "walletId", "assetId", "amount", "blocked", "txCount")
 
 
+def stateful_ledger(spark: SparkSession, d: str) -> DataFrame:
+    """Wallet commands streamed in three micro-batches through a stateful operator; the last change of each balance."""
+    log, root = _scratch(spark, "wallet-log"), _scratch(spark, "stateful")
+    _write_parts(testviews.wallet_log(spark, d), log, 3)
+    records = events.read_events(spark, log, streaming=True, max_files=PART_FILES)
+    stateful.run_stateful_ledger(records, f"{root}/changes", f"{root}/checkpoint").awaitTermination()
+    return out(stateful.balances(spark.read.schema(stateful.CHANGES).parquet(f"{root}/changes")))
+
+
 def stream_settle(spark: SparkSession, d: str) -> DataFrame:
     """The whole log streamed through order processing in two micro-batches; all orders after it."""
     log, root = _scratch(spark, "order-log"), _scratch(spark, "orders")
@@ -546,7 +602,14 @@ QUERIES: dict[str, Query] = {
         match_sequential,
         match_sequential_by_age,
         settle_batch,
+        settle_orders,
+        settle_wallets,
+        settle_rejections,
+        settle_matches,
+        settle_changes,
+        settle_streamed,
         stream_ledger,
+        stateful_ledger,
         stream_settle,
         stream_order_changes,
     )

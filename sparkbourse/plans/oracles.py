@@ -33,6 +33,124 @@ matches AS (
 
 
 
+def settled() -> str:
+    """Order processing of the clean log, one event of every market at a time.
+
+    A market's state is the list of its orders and of its wallets' funds; a wallet trades in one market only. Step ``n``
+    of ``run`` is the state after a market's n-th event, with the trades and the reason against the event.
+    """
+    made = made_id("CAST(seq AS VARCHAR)", "'o-' || id", "'cmd-' || id", "id")
+    trade = "struct_pack(maker := m.id, wallet := m.wallet, there := m.qty, got := LEAST(m.qty, qty - m.ahead), price := m.price, ahead := m.ahead)"
+    moves = """list_concat(
+    CASE WHEN kind = 'SUBMIT' AND ok THEN [move(wallet, 0, CASE WHEN buys THEN price * qty ELSE 0 END, CASE WHEN buys THEN 1 ELSE 0 END, 0, CASE WHEN buys THEN 0 ELSE qty END, CASE WHEN buys THEN 0 ELSE 1 END)]
+      WHEN kind = 'CANCEL' AND ok THEN [move(hit.wallet, 0, CASE WHEN hit.buys THEN -hit.price * hit.qty ELSE 0 END, CASE WHEN hit.buys THEN 1 ELSE 0 END, 0, CASE WHEN hit.buys THEN 0 ELSE -hit.qty END, CASE WHEN hit.buys THEN 0 ELSE 1 END)]
+      WHEN kind = 'FILL' AND ok THEN [fill(hit.wallet, hit.buys, ask, hit.price, hit.price)]
+      WHEN kind = 'WALLET' AND ok THEN [move(wallet, CASE WHEN on_base THEN amount ELSE 0 END, 0, CASE WHEN on_base THEN 1 ELSE 0 END, CASE WHEN on_base THEN 0 ELSE amount END, 0, CASE WHEN on_base THEN 0 ELSE 1 END)]
+      ELSE [] END,
+    list_transform(trades, lambda t: fill(wallet, buys, t.got, t.price, price)),
+    list_transform(trades, lambda t: fill(t.wallet, NOT buys, t.got, t.price, t.price)))"""
+
+    def move(wallet, b, bb, bt, q, qb, qt):
+        return f"struct_pack(w := {wallet}, b := CAST({b} AS BIGINT), bb := CAST({bb} AS BIGINT), bt := {bt}, q := CAST({q} AS BIGINT), qb := CAST({qb} AS BIGINT), qt := {qt})"
+
+    def fill(wallet, buys, got, price, limit):
+        return move(
+            wallet,
+            f"CASE WHEN {buys} THEN -{got} * {price} ELSE {got} * {price} END", f"CASE WHEN {buys} THEN -{got} * {limit} ELSE 0 END", "1",
+            f"CASE WHEN {buys} THEN {got} ELSE -{got} END", f"CASE WHEN {buys} THEN 0 ELSE -{got} END", "1",
+        )
+
+    moves = _called(_called(moves, "fill", fill), "move", move)
+
+    def total(field: str) -> str:
+        return f"w.{field} + COALESCE(list_sum(list_transform(list_filter(moves, lambda v: v.w = w.w), lambda v: v.{field})), 0)"
+
+    funds = ", ".join(f"{c} := CAST({total(c)} AS BIGINT)" for c in ("b", "bb", "bt", "q", "qb", "qt"))
+    return "WITH RECURSIVE " + ORDERS + f""", marked AS (
+  SELECT *, {made} AS made, wallet || '/' || quote AS w FROM o),
+lagged AS (
+  SELECT *, LAG(made, 2) OVER m AS two, LAG(made) OVER m AS one, LAG(price) OVER m AS one_price, LAG(qty) OVER m AS one_qty,
+    ROW_NUMBER() OVER m AS n FROM marked WINDOW m AS (PARTITION BY base, quote ORDER BY seq)),
+ev AS (
+  SELECT base, quote, n, seq, made, w AS wallet, side = 'LIMIT_BUY' AS buys, price, qty, 1 + seq % 4 AS ask, one_qty,
+    CASE WHEN seq % 7 = 3 AND two IS NOT NULL THEN 'CANCEL' WHEN seq % 11 = 5 AND one IS NOT NULL THEN 'FILL'
+      WHEN seq % 13 = 7 THEN 'WALLET' ELSE 'SUBMIT' END AS kind,
+    CASE WHEN seq % 7 = 3 AND two IS NOT NULL THEN two ELSE one END AS target, seq % 3 = 0 AS on_base,
+    CASE WHEN seq % 2 = 0 THEN 1 + seq % 50 ELSE -(1 + seq % 50) END AS amount
+  FROM lagged),
+start AS (
+  SELECT base, quote, list(struct_pack(w := w, b := CAST(100 * (1 + c % 40) AS BIGINT), bb := CAST(0 AS BIGINT), bt := CAST(0 AS BIGINT),
+    q := CAST(5 + c % 20 AS BIGINT), qb := CAST(0 AS BIGINT), qt := CAST(0 AS BIGINT))) AS funds
+  FROM (SELECT DISTINCT base, quote, w, CAST(wallet AS BIGINT) AS c FROM marked) GROUP BY base, quote),
+run AS (
+  SELECT base, quote, CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS seq, CAST(NULL AS VARCHAR) AS kind, CAST(NULL AS VARCHAR) AS id,
+    CAST([] AS STRUCT(id VARCHAR, wallet VARCHAR, buys BOOLEAN, price BIGINT, qty BIGINT, filled BIGINT, seq BIGINT)[]) AS book,
+    CAST([] AS VARCHAR[]) AS gone, funds,
+    CAST([] AS STRUCT(maker VARCHAR, wallet VARCHAR, there BIGINT, got BIGINT, price BIGINT, ahead BIGINT)[]) AS trades,
+    CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS BIGINT) AS free, CAST(NULL AS BIGINT) AS open
+  FROM start
+  UNION ALL
+  SELECT base, quote, n, seq, kind, id,
+    CASE WHEN kind = 'SUBMIT' AND ok THEN list_append(after, struct_pack(id := id, wallet := wallet, buys := buys, price := price,
+        qty := CAST(qty - taken AS BIGINT), filled := CAST(taken AS BIGINT), seq := seq))
+      WHEN kind = 'CANCEL' AND ok THEN list_filter(book, lambda x: x.id <> id)
+      WHEN kind = 'FILL' AND ok THEN list_transform(book, lambda x: struct_pack(id := x.id, wallet := x.wallet, buys := x.buys, price := x.price,
+        qty := CAST(CASE WHEN x.id = id THEN x.qty - ask ELSE x.qty END AS BIGINT), filled := CAST(CASE WHEN x.id = id THEN x.filled + ask ELSE x.filled END AS BIGINT), seq := x.seq))
+      ELSE book END,
+    CASE WHEN kind = 'CANCEL' AND ok THEN list_append(gone, id) ELSE gone END,
+    list_transform(funds, lambda w: struct_pack(w := w.w, {funds})),
+    trades, reason, CASE WHEN reason = 'not enough funds' THEN free END, hit.qty
+  FROM (
+    SELECT *, {moves} AS moves, CAST(COALESCE(list_sum(list_transform(trades, lambda t: t.got)), 0) AS BIGINT) AS taken,
+      list_transform(book, lambda x: struct_pack(id := x.id, wallet := x.wallet, buys := x.buys, price := x.price,
+        qty := CAST(x.qty - COALESCE(list_sum(list_transform(list_filter(trades, lambda t: t.maker = x.id), lambda t: t.got)), 0) AS BIGINT),
+        filled := CAST(x.filled + COALESCE(list_sum(list_transform(list_filter(trades, lambda t: t.maker = x.id), lambda t: t.got)), 0) AS BIGINT), seq := x.seq)) AS after
+    FROM (
+      SELECT *, CASE WHEN kind = 'SUBMIT' AND ok THEN list_transform(list_filter(ladder, lambda m: m.ahead < qty), lambda m: {trade}) ELSE [] END AS trades
+      FROM (
+        SELECT *, reason IS NULL AS ok, list_transform(makers, lambda m, i: struct_pack(id := m.id, wallet := m.wallet, price := m.price, qty := m.qty,
+            ahead := CAST(COALESCE(list_sum(list_transform(makers[1:i - 1], lambda x: x.qty)), 0) AS BIGINT))) AS ladder
+        FROM (
+          SELECT *, CASE kind
+              WHEN 'SUBMIT' THEN CASE WHEN free < CASE WHEN buys THEN price * qty ELSE qty END THEN 'not enough funds' END
+              WHEN 'WALLET' THEN CASE WHEN amount < 0 AND free < -amount THEN 'not enough funds' END
+              WHEN 'CANCEL' THEN CASE WHEN hit IS NULL THEN CASE WHEN list_contains(gone, id) THEN 'already cancelled' ELSE 'unknown order' END
+                WHEN hit.qty = 0 THEN 'order is not open' END
+              ELSE CASE WHEN ask > one_qty THEN 'more than the open quantity'
+                WHEN hit IS NULL THEN CASE WHEN list_contains(gone, id) THEN 'order is not open' ELSE 'unknown order' END
+                WHEN hit.qty = 0 THEN 'order is not open' WHEN ask > hit.qty THEN 'more than the open quantity' END END AS reason,
+            list_sort(list_transform(list_filter(book, lambda x: x.buys <> buys AND x.wallet <> wallet AND x.qty > 0
+              AND CASE WHEN buys THEN x.price <= price ELSE x.price >= price END),
+              lambda x: struct_pack(fav := CASE WHEN buys THEN x.price ELSE -x.price END, id := x.id, wallet := x.wallet, price := x.price, qty := x.qty))) AS makers
+          FROM (
+            SELECT r.base, r.quote, e.n, e.seq, e.kind, CASE WHEN e.kind = 'SUBMIT' THEN e.made ELSE e.target END AS id, e.wallet, e.buys, e.price, e.qty,
+              e.ask, e.one_qty, e.on_base, e.amount, r.book, r.gone, r.funds,
+              list_filter(r.book, lambda x: x.id = e.target)[1] AS hit,
+              list_transform(list_filter(r.funds, lambda f: f.w = e.wallet),
+                lambda f: CASE WHEN e.kind = 'WALLET' AND e.on_base OR e.kind <> 'WALLET' AND e.buys THEN f.b - f.bb ELSE f.q - f.qb END)[1] AS free
+            FROM run r JOIN ev e ON e.base = r.base AND e.quote = r.quote AND e.n = r.n + 1)))))),
+ended AS (SELECT * FROM run QUALIFY ROW_NUMBER() OVER (PARTITION BY base, quote ORDER BY n DESC) = 1)
+"""
+
+
+def _called(text: str, name: str, make) -> str:
+    """``text`` with every call ``name(a, b, ...)`` replaced by what ``make`` returns for its arguments."""
+    while (at := text.find(f"{name}(")) >= 0:
+        depth, parts, part, i = 0, [], "", at + len(name)
+        while True:
+            c = text[i]
+            depth += (c == "(") - (c == ")")
+            if depth == 0:
+                break
+            if c == "," and depth == 1:
+                parts, part = [*parts, part], ""
+            elif not (c == "(" and depth == 1):
+                part += c
+            i += 1
+        text = text[:at] + make(*[p.strip() for p in [*parts, part]]) + text[i + 1 :]
+    return text
+
+
 def in_turn(tie: str) -> str:
     """Matching in which each taker meets the book the one before left: one step per taker of every market at once.
 
@@ -437,5 +555,26 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey, LATERAL (
   SELECT n_name AS asset_id, c_acctbal * 100 AS amount
   UNION ALL SELECT unnest(['1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW']), 25.0) a""",
 }
-ORACLES["stream_ledger"] = ORACLES["wallet_ledger"]
+_SETTLED_ORDERS = """SELECT x.id, x.wallet AS wallet_id, CASE WHEN x.buys THEN 'LIMIT_BUY' ELSE 'LIMIT_SELL' END AS order_type,
+  CAST(x.price AS DOUBLE) AS price, CAST(x.qty AS DOUBLE) AS qty, CAST(x.filled AS DOUBLE) AS qty_filled,
+  CASE WHEN x.qty = 0 THEN 'FILLED' ELSE 'PROCESSED' END AS status, x.seq FROM (SELECT unnest(book) AS x FROM ended)"""
+ORACLES["settle_orders"] = ORACLES["settle_streamed"] = settled() + _SETTLED_ORDERS
+ORACLES["settle_wallets"] = settled() + """SELECT x.w AS wallet_id, base AS asset_id, CAST(x.b AS DOUBLE) AS amount, CAST(x.bb AS DOUBLE) AS blocked, x.bt AS tx_count
+FROM (SELECT base, quote, unnest(funds) AS x FROM ended)
+UNION ALL SELECT x.w, quote, CAST(x.q AS DOUBLE), CAST(x.qb AS DOUBLE), x.qt FROM (SELECT base, quote, unnest(funds) AS x FROM ended)"""
+ORACLES["settle_rejections"] = settled() + "SELECT seq, reason, CAST(free AS DOUBLE) AS available FROM run WHERE reason IS NOT NULL"
+ORACLES["settle_matches"] = settled() + """SELECT seq, id AS taker_id, t.maker AS maker_id, CAST(t.there AS DOUBLE) AS maker_qty, CAST(t.got AS DOUBLE) AS qty_filled,
+  CAST(t.price AS DOUBLE) AS price, CAST(t.ahead AS DOUBLE) AS qty_before FROM (SELECT seq, id, unnest(trades) AS t FROM run)"""
+# What an order went through: confirmed and resting, a trade on either side, a fill or a cancel.
+ORACLES["settle_changes"] = settled() + """, steps AS (
+  SELECT seq, id, -1 AS nth, 'CONFIRMED' AS status, NULL AS left_over FROM run WHERE kind = 'SUBMIT' AND reason IS NULL
+  UNION ALL SELECT seq, id, -1, 'PROCESSED', NULL FROM run WHERE kind = 'SUBMIT' AND reason IS NULL
+  UNION ALL SELECT r.seq, r.id, t.ahead, NULL, e.qty - t.ahead - t.got FROM (SELECT seq, id, unnest(trades) AS t FROM run) r JOIN ev e ON e.made = r.id
+  UNION ALL SELECT seq, t.maker, t.ahead, NULL, t.there - t.got FROM (SELECT seq, unnest(trades) AS t FROM run)
+  UNION ALL SELECT r.seq, r.id, -1, NULL, r.open - e.ask FROM run r JOIN ev e ON e.seq = r.seq WHERE r.kind = 'FILL' AND reason IS NULL
+  UNION ALL SELECT seq, id, -1, 'CANCELLED', open FROM run WHERE kind = 'CANCEL' AND reason IS NULL)
+SELECT s.seq, s.id, COALESCE(s.status, CASE WHEN left_over = 0 THEN 'FILLED' ELSE 'PROCESSED' END) AS status,
+  CAST(COALESCE(left_over, e.qty) AS DOUBLE) AS qty, CAST(e.qty - COALESCE(left_over, e.qty) AS DOUBLE) AS qty_filled
+FROM steps s JOIN ev e ON e.made = s.id AND e.kind = 'SUBMIT'"""
+ORACLES["stream_ledger"] = ORACLES["stateful_ledger"] = ORACLES["wallet_ledger"]
 ORACLES["stream_order_changes"] = ORACLES["subscription_updates"]

@@ -138,10 +138,14 @@ class StateStore:
     def uncovered(self, batch: DataFrame) -> DataFrame | None:
         """Records of ``batch`` whose position no committed version covers; None if there are none.
 
+        Positions tell sources apart (``events.position``); a record without one could not be told from others and is an error.
+
         The first and last position of each version tell where to look, so a batch that follows all others is not
         compared with any.
         """
-        low, high = batch.agg(F.min("seq"), F.max("seq")).first()
+        low, high, without = batch.agg(F.min("seq"), F.max("seq"), F.count_if(F.col("seq").isNull())).first()
+        if without:
+            raise ValueError(f"{without} records without a position")
         if low is None:
             return None
         near = [v for v, covered in self._covered().items() if covered and covered[0] <= high and covered[1] >= low]

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sparkbourse.functions.orders import stable_id
 from sparkbourse.schemas import LEDGER, MONEY
 
 
@@ -197,3 +198,54 @@ def wallet_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.inline(F.array(base, *rest)),
         F.lit(0).cast(LEDGER).alias("blocked"),
     )
+
+
+def clean_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event log without faults: submits, cancels and fills of orders submitted shortly before in the same market, and
+    deposits and withdrawals. A wallet trades in one market only."""
+    o = orders(spark, sf_dir).withColumn("walletId", F.concat_ws("/", "walletId", "quoteAssetId"))
+    key, event_id = F.col("seq"), F.concat(F.lit("o-"), F.col("id"))
+    command_id = F.concat(F.lit("cmd-"), F.col("id"))
+    made = stable_id(F.col("seq"), event_id, command_id, F.col("id"))
+    record = ["baseAssetId", "quoteAssetId", "walletId", "orderType", F.col("price").cast("double").alias("price"), F.col("qty").cast("double").alias("qty")]
+    before = Window.partitionBy("baseAssetId", "quoteAssetId").orderBy("seq")
+    rows = o.withColumn("made", made).withColumn("resting", F.struct(F.col("made").alias("id"), *record, F.lit("PROCESSED").alias("status")))
+    rows = rows.withColumns({"two": F.lag("made", 2).over(before), "one": F.lag("resting", 1).over(before)})
+    kind = (
+        F.when((key % 7 == 3) & F.col("two").isNotNull(), "CANCEL")
+        .when((key % 11 == 5) & F.col("one").isNotNull(), "FILL")
+        .when(key % 13 == 7, "WALLET")
+        .otherwise("SUBMIT")
+    )
+    rows = rows.withColumn("kind", kind)
+
+    def command(order_id, *more):
+        return F.struct(command_id.alias("id"), order_id.alias("orderId"), order_id.alias("causeId"), F.col("kind").alias("command"), *more)
+
+    submit = command(F.col("id"), F.struct("id", *record).alias("order"))
+    fill = command(F.col("one.id"), (1 + key % 4).cast("double").alias("fillQty"), F.col("one.price").alias("fillPrice"))
+    wallet = F.struct(
+        command_id.alias("id"),
+        event_id.alias("causeId"),
+        "walletId",
+        F.when(key % 3 == 0, F.col("baseAssetId")).otherwise(F.col("quoteAssetId")).alias("assetId"),
+        F.when(key % 2 == 0, "CREDIT").otherwise("DEBIT").alias("operation"),
+        (1 + key % 50).cast("double").alias("amount"),
+    )
+    named = event_id.alias("id")
+    value = (
+        F.when(F.col("kind") == "CANCEL", F.to_json(F.struct(named, command(F.col("two")).alias("orderCommand"))))
+        .when(F.col("kind") == "FILL", F.to_json(F.struct(named, F.col("one").alias("order"), fill.alias("orderCommand"))))
+        .when(F.col("kind") == "WALLET", F.to_json(F.struct(named, wallet.alias("walletCommand"))))
+        .otherwise(F.to_json(F.struct(named, submit.alias("orderCommand"))))
+    )
+    return rows.select(event_id.alias("key"), value.alias("value"), "seq")
+
+
+def clean_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Funds for the wallets of the clean log."""
+    o = orders(spark, sf_dir).select("walletId", "baseAssetId", "quoteAssetId").distinct()
+    customer = F.col("walletId").cast("bigint")
+    base = F.struct(F.col("baseAssetId").alias("assetId"), (100 * (1 + customer % 40)).cast(LEDGER).alias("amount"))
+    quote = F.struct(F.col("quoteAssetId").alias("assetId"), (5 + customer % 20).cast(LEDGER).alias("amount"))
+    return o.select(F.concat_ws("/", "walletId", "quoteAssetId").alias("walletId"), F.inline(F.array(base, quote)), F.lit(0).cast(LEDGER).alias("blocked"))
