@@ -68,8 +68,8 @@ def remove_repeats(docs: DataFrame, mean_lines: int = MEAN_LINES, least_lines: i
     release(found, repeated)
 
     # Byte comparison: group the bodies themselves. Only hashes that several different bodies share need a second look.
-    marked = rows.filter("marks is not null").select("k", "t", "marks", F.explode("chunks").alias("c"))
-    marked = marked.withColumn("m", F.get(F.filter("marks", lambda m: m["idx"] == F.col("c.idx")), 0)).filter("m is not null")
+    # Marks lead to chunks by their number, never the other way round: a text may have very many of both.
+    marked = rows.select("k", "t", "chunks", F.explode("marks").alias("m")).withColumn("c", F.col("chunks")[F.col("m.idx")])
     bodies = marked.select(place.alias("place"), F.col("m.hash").alias("hash"), F.col("c.body").alias("body"))
     distinct = bodies.groupBy("hash", "body").agg(F.min("place").alias("first"))
     shared = distinct.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("hash").alias("h"))
@@ -84,11 +84,13 @@ def remove_repeats(docs: DataFrame, mean_lines: int = MEAN_LINES, least_lines: i
     done = rows.join(verdicts, F.col("k").eqNullSafe(F.col("k2")) & F.col("t").eqNullSafe(F.col("t2")), "left")
     by_hash = F.coalesce("marks", F.expr("array()"))
     by_body = F.coalesce("verdicts", F.expr("array()"))
-    plain = F.filter(by_hash, lambda m: m["later"] & ~F.exists(by_body, lambda v: v["idx"] == m["idx"]))
-    drop = F.concat(F.transform(plain, lambda m: m["idx"]), F.transform(F.filter(by_body, lambda v: v["later"]), lambda v: v["idx"]))
-    done = done.withColumn("drop", drop)
-    kept = F.filter("chunks", lambda c: ~F.array_contains(F.col("drop"), c["idx"]))
-    removed = F.filter("chunks", lambda c: F.array_contains(F.col("drop"), c["idx"]))
+    later = F.transform(F.filter(by_hash, lambda m: m["later"]), lambda m: m["idx"])
+    plain = F.array_except(later, F.transform(by_body, lambda v: v["idx"]))
+    done = done.withColumn("drop", F.array_sort(F.concat(plain, F.transform(F.filter(by_body, lambda v: v["later"]), lambda v: v["idx"]))))
+    # What is kept are the runs of chunks between those that go.
+    kept = F.expr("""flatten(transform(concat(drop, array(size(chunks))), (end, i) ->
+        slice(chunks, if(i = 0, 0, drop[i - 1] + 1) + 1, end - if(i = 0, 0, drop[i - 1] + 1))))""")
+    removed = F.transform("drop", lambda i: F.col("chunks")[i])
     text = F.array_join(F.transform(kept, lambda c: c["body"]), "\n")
     lines = F.aggregate(removed, F.lit(0), lambda n, c: n + c["n_lines"])
     chars = F.aggregate(removed, F.lit(0), lambda n, c: n + F.length(c["body"]))

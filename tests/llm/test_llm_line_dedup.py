@@ -61,6 +61,16 @@ def test_against_plain_loops(spark, hash_values):
     assert any(v[1] for v in got.values())
 
 
+def test_very_many_lines(spark):
+    rng = random.Random(2)
+    lines = [f"{rng.randrange(10**9)} x" for _ in range(200_000)]
+    other = lines[:90_000] + [f"own {i}" for i in range(20_000)] + lines[100_000:]
+    docs = [(1, "\n".join(lines)), (2, "\n".join(other))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: (r.text, r.chunks_removed, r.lines_removed, r.chars_removed) for r in line_dedup.remove_repeats(frame).collect()}
+    assert got == brute(docs) and got[2][2] > 150_000
+
+
 def test_repeated_rows_and_null_ids(spark):
     text = "\n".join(f"l{i}" for i in range(20))
     frame = spark.createDataFrame([(1, text), (1, text), (None, text), (2, text)], "doc_id long, text string")
