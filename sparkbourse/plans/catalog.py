@@ -278,6 +278,20 @@ def route_events(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def decode_commands(spark: SparkSession, d: str) -> DataFrame:
+    """Commands that came without an envelope."""
+    decoded = codec.decode_commands(testviews.bare_log(spark, d, commands=True))
+    fields = [F.when(F.col("reason").isNull(), F.col(f"event.orderCommand.{c}")).alias(a) for c, a in (("id", "commandId"), ("command", "command"), ("fillQty", "fillQty"), ("order.qty", "qty"))]
+    return out(decoded.select("seq", "reason", *fields))
+
+
+def decode_orders(spark: SparkSession, d: str) -> DataFrame:
+    """Orders that came without an envelope."""
+    decoded = codec.decode_orders(testviews.bare_log(spark, d, commands=False))
+    fields = [F.when(F.col("reason").isNull(), F.col(f"event.order.{c}")).alias(c) for c in ("id", "walletId", "price", "qty", "status")]
+    return out(decoded.select("seq", "reason", *fields))
+
+
 def partition_keys(spark: SparkSession, d: str) -> DataFrame:
     return out(route.split_unkeyed(_events(spark, d))[0], "seq", "orderKey", "walletKey")
 
@@ -579,6 +593,8 @@ QUERIES: dict[str, Query] = {
         fill_effects,
         apply_fills,
         decode_events,
+        decode_commands,
+        decode_orders,
         encode_events,
         dead_letters,
         route_events,

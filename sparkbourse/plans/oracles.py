@@ -555,6 +555,23 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey, LATERAL (
   SELECT n_name AS asset_id, c_acctbal * 100 AS amount
   UNION ALL SELECT unnest(['1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW']), 25.0) a""",
 }
+_BARE_FAULT = "CASE WHEN seq % 89 IN (5, 9) THEN 'unreadable JSON or number' WHEN seq % 89 = 7 THEN 'unknown {0}' END"
+ORACLES["decode_commands"] = _with(
+    ORDERS,
+    f"""SELECT seq, reason, CASE WHEN reason IS NULL THEN 'cmd-' || id END AS command_id,
+  CASE WHEN reason IS NULL THEN CASE WHEN seq % 2 = 0 THEN 'SUBMIT' ELSE 'CANCEL' END END AS command,
+  CASE WHEN reason IS NULL THEN CAST(0 AS DOUBLE) END AS fill_qty,
+  CASE WHEN reason IS NULL AND seq % 2 = 0 THEN CAST(CASE WHEN seq % 4 > 0 THEN qty ELSE 0 END AS DOUBLE) END AS qty
+FROM (SELECT *, {_BARE_FAULT.format("command in orderCommand")} AS reason FROM o)""",
+)
+ORACLES["decode_orders"] = _with(
+    ORDERS,
+    f"""SELECT seq, reason, CASE WHEN reason IS NULL THEN id END AS id, CASE WHEN reason IS NULL THEN wallet END AS wallet_id,
+  CASE WHEN reason IS NULL THEN CAST(price AS DOUBLE) END AS price,
+  CASE WHEN reason IS NULL THEN CAST(CASE WHEN seq % 4 > 0 THEN qty ELSE 0 END AS DOUBLE) END AS qty,
+  CASE WHEN reason IS NULL THEN CASE WHEN seq % 3 = 0 THEN status ELSE 'NEW' END END AS status
+FROM (SELECT *, {_BARE_FAULT.format("orderType in order")} AS reason FROM o)""",
+)
 _SETTLED_ORDERS = """SELECT x.id, x.wallet AS wallet_id, CASE WHEN x.buys THEN 'LIMIT_BUY' ELSE 'LIMIT_SELL' END AS order_type,
   CAST(x.price AS DOUBLE) AS price, CAST(x.qty AS DOUBLE) AS qty, CAST(x.filled AS DOUBLE) AS qty_filled,
   CASE WHEN x.qty = 0 THEN 'FILLED' ELSE 'PROCESSED' END AS status, x.seq FROM (SELECT unnest(book) AS x FROM ended)"""

@@ -94,6 +94,31 @@ def decode_events(raw: DataFrame) -> DataFrame:
     return parsed.selectExpr(*raw.columns, _DECODED)
 
 
+def decode_bare(raw: DataFrame, part: str) -> DataFrame:
+    """Records that hold a single order or command without an envelope, decoded as the ``part`` of an event of their own.
+
+    The same rules hold as in an envelope. A text that brings other parts along is unreadable; as in an envelope, nothing is
+    read behind the record's last brace.
+    """
+    wrapped = raw.withColumns({"_bare": F.col("value"), "value": F.concat(F.lit(f'{{"{part}":'), "value", F.lit("}"))})
+    others = [f.name for f in S.EVENT.fields if isinstance(f.dataType, T.StructType) and f.name != part]
+    alone = F.col(f"event.{part}").isNotNull()
+    for name in others:
+        alone = alone & F.col(f"event.{name}").isNull()
+    reason = F.when(~alone, "unreadable JSON or number").otherwise(F.col("reason"))
+    return decode_events(wrapped).withColumns({"reason": reason, "value": F.col("_bare")}).drop("_bare")
+
+
+def decode_commands(raw: DataFrame) -> DataFrame:
+    """Bare order commands as events."""
+    return decode_bare(raw, "orderCommand")
+
+
+def decode_orders(raw: DataFrame) -> DataFrame:
+    """Bare orders as events."""
+    return decode_bare(raw, "order")
+
+
 def split_corrupt(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Usable events, and the dead letters with their reason. Good records go on whatever the others hold."""
     good = decoded.filter("reason is null").drop("value", "reason")
@@ -101,8 +126,8 @@ def split_corrupt(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def encode_events(events: DataFrame) -> DataFrame:
-    """JSON text of events; numbers go out as doubles and absent parts are left out."""
-    return events.withColumn("value", F.to_json(F.col("event").cast(S.WIRE_EVENT))).drop("event")
+    """JSON text of events; numbers go out with all their digits and absent parts are left out."""
+    return events.withColumn("value", F.to_json("event")).drop("event")
 
 
 def envelope(event_id: Column, **parts: Column) -> Column:

@@ -249,3 +249,29 @@ def clean_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.struct(F.col("baseAssetId").alias("assetId"), (100 * (1 + customer % 40)).cast(LEDGER).alias("amount"))
     quote = F.struct(F.col("quoteAssetId").alias("assetId"), (5 + customer % 20).cast(LEDGER).alias("amount"))
     return o.select(F.concat_ws("/", "walletId", "quoteAssetId").alias("walletId"), F.inline(F.array(base, quote)), F.lit(0).cast(LEDGER).alias("blocked"))
+
+
+def bare_log(spark: SparkSession, sf_dir: str, commands: bool) -> DataFrame:
+    """Orders, or commands that carry them, as JSON records without an envelope; some broken, cut off or of unknown kind."""
+    o, key = orders(spark, sf_dir), F.col("seq")
+    order = F.struct(
+        "id",
+        "baseAssetId",
+        "quoteAssetId",
+        "walletId",
+        F.when(~F.lit(commands) & (key % 89 == 7), "MARKET").otherwise(F.col("orderType")).alias("orderType"),
+        F.col("price").cast("double").alias("price"),
+        F.when(key % 4 > 0, F.col("qty").cast("double")).alias("qty"),
+        F.when(key % 3 == 0, F.col("status")).alias("status"),
+    )
+    command = F.struct(
+        F.concat(F.lit("cmd-"), F.col("id")).alias("id"),
+        F.col("id").alias("orderId"),
+        F.col("id").alias("causeId"),
+        F.when(key % 89 == 7, "BUY").when(key % 2 == 0, "SUBMIT").otherwise("CANCEL").alias("command"),
+        F.when(key % 2 == 0, order).alias("order"),
+    )
+    text = F.to_json(command if commands else order)
+    # Two records in one text are not one.
+    value = F.when(key % 89 == 5, F.substring(text, 1, 20)).when(key % 89 == 9, F.concat(text, F.lit(', "wallet": '), text)).otherwise(text)
+    return o.select(F.col("id").alias("key"), value.alias("value"), "seq")

@@ -9,7 +9,7 @@ from test_settle import deposit, log
 from sparkbourse.operators import ledger
 from sparkbourse.plans.settle import deposits
 from sparkbourse.sources import events
-from sparkbourse.sources.codec import decode_events
+from sparkbourse.sources.codec import decode_commands, decode_events, decode_orders, encode_events, split_corrupt
 from sparkbourse.streaming import run, stateful
 
 
@@ -63,3 +63,25 @@ def test_state_survives_a_restart_and_equals_the_fold(spark, tmp_path):
     assert sorted(map(tuple, changes.select("seq", "accepted", "availableFunds").collect())) == sorted(map(tuple, want.collect()))
     held = {r.walletId: (r.amount, r.blocked, r.txCount) for r in stateful.balances(changes).collect()}
     assert held["w0"] == held["w1"] and held["w0"] == (D(5), D(5), 5)
+
+
+def test_numbers_go_out_as_they_came_in(spark):
+    text = '{"id": "e", "walletCommand": {"id": "c", "causeId": "x", "walletId": "w", "assetId": "a", "operation": "CREDIT", "amount": 1234567890123456.12345678}}'
+    good = split_corrupt(decode_events(spark.createDataFrame([("k", text, 1)], events.LOG)))[0]
+    again = split_corrupt(decode_events(encode_events(good)))[0]
+    for df in (good, again):
+        assert df.select("event.walletCommand.amount").first()[0] == D("1234567890123456.12345678")
+
+
+def test_bare_records(spark):
+    order = '{"id": "o", "baseAssetId": "B", "quoteAssetId": "Q", "walletId": "w", "orderType": "LIMIT_BUY", "price": 2}'
+    command = '{"id": "c", "orderId": "o", "causeId": "o", "command": "SUBMIT", "order": %s}' % order
+    other = '{"walletId": "w", "assets": {}}'
+    texts = [command, order, f"{command}, \"wallet\": {other}", None, "", "7", "{}"]
+    raw = spark.createDataFrame([("k", t, i) for i, t in enumerate(texts)], events.LOG)
+    rows = {r.seq: r for r in decode_commands(raw).collect()}
+    assert [i for i in rows if rows[i].reason is None] == [0] and rows[0].event.orderCommand.order.qty == 0
+    assert rows[0].value == command and rows[0].event.id == decode_commands(raw).first().event.id
+    good, dead = split_corrupt(decode_orders(raw))
+    assert [(r.seq, r.event.order.status) for r in good.collect()] == [(1, "NEW")]
+    assert {r.seq: r.value for r in dead.collect()} == {i: t for i, t in enumerate(texts) if i != 1}
