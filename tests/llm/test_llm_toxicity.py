@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from sparkbourse.llm import toxicity
 from sparkbourse.llm.queries import QUERIES
@@ -27,6 +30,33 @@ def test_longer_texts_score_lower_but_still_tell():
     assert 0 < long < short and LEXICON.score("trash can, you idiot") >= 0.7
 
 
+WIDE = toxicity.Lexicon((("idio", 3.0), ("idiot", 5.0), ("trash", 4.0), ("can", 1.5), ("rash", 2.5)), offset=-4.0, slope=2.0)
+
+
+def plain_weight(lexicon: toxicity.Lexicon, text: str) -> float:
+    """Every place against every phrase and entry."""
+    seen = toxicity.plain(text)
+    folded, excused, hits = toxicity.unmask(seen), set(), {}
+    starts = [i for i in range(len(seen)) if not i or not seen[i - 1].isalpha()]
+    for i in starts:
+        for phrase in map(toxicity.fold, lexicon.exceptions):
+            end = i + len(phrase)
+            if folded.startswith(phrase, i) and (end == len(seen) or not seen[end].isalpha()):
+                excused |= set(range(i, end))
+    for i in starts:
+        fitting = [(w, word) for word, w in lexicon.entries if folded.startswith(word, i)]
+        if i not in excused and fitting:
+            hits.setdefault(max(fitting), []).append(i)
+    total = sum(w * (1 + math.log(len(places))) for (w, _), places in hits.items())
+    return total / toxicity.length_norm(len(seen))
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(["idiot", "1D10T", "idio", "trash", "Trash can", "can", "rash", " ", ".", "іdіоt", "ｃａｎ", "proof", "idiot proof", "x", "\u200b", "s"]), max_size=12).map("".join))
+def test_weight_is_that_of_plain_loops(text):
+    assert math.isclose(WIDE.weight(text), plain_weight(WIDE, text), abs_tol=1e-12)
+
+
 def test_chain_of_beginnings():
     counts = [("badw", 30, 0), ("badwo", 30, 0), ("badwor", 30, 0), ("badword", 29, 0), ("badworda", 3, 0)]
     assert [w for w, _ in toxicity.choose_entries(counts, 100, 1000)] == ["badword"]
