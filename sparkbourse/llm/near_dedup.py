@@ -32,7 +32,7 @@ ROUNDS = 4
 #: Texts of crowded buckets are estimated again from so many bins of their shingles, before texts are fetched; here too the
 #: bound lies five standard errors below the threshold.
 BINS = 1024
-SIGNED = "doc_id long, t long, key binary, bands array<long>, bits binary"
+SIGNED = "doc_id long, t long, key binary, bands array<long>, planes array<long>"
 
 
 def prob_min_hash(hashes: np.ndarray, text: np.ndarray, weights: np.ndarray, texts: int, parts: int, seed: int = 1) -> np.ndarray:
@@ -77,9 +77,9 @@ def _sign(words: int, bands: int, rows: int):
                 keys = [hashlib.blake2b(found[a:b].tobytes(), digest_size=16).digest() for a, b in zip(at_word[:-1], at_word[1:], strict=True)]
                 some = np.diff(at_word) > 0
                 lists = [list(row) if s else [] for row, s in zip(band.view(np.int64), some, strict=True)]
-                bits = [row.tobytes() for row in (winners & np.uint64(255)).astype(np.uint8)]
-                columns = [batch.column("doc_id"), batch.column("t"), pa.array(keys, pa.binary()), pa.array(lists, pa.list_(pa.int64())), pa.array(bits, pa.binary())]
-                yield pa.record_batch(columns, ["doc_id", "t", "key", "bands", "bits"])
+                planes = _as_planes((winners & np.uint64(255)).astype(np.uint8))
+                columns = [batch.column("doc_id"), batch.column("t"), pa.array(keys, pa.binary()), pa.array(lists, pa.list_(pa.int64())), planes]
+                yield pa.record_batch(columns, ["doc_id", "t", "key", "bands", "planes"])
 
     return sign
 
@@ -103,16 +103,6 @@ def _jaccard(words: int):
     return F.pandas_udf(jaccard, T.DoubleType(), F.PandasUDFType.SCALAR_ITER)
 
 
-def _estimate(parts: int):
-    def estimate(left: pd.Series, right: pd.Series) -> pd.Series:
-        if not len(left):
-            return pd.Series([], dtype="float64")
-        a, b = (np.frombuffer(b"".join(side), np.uint8).reshape(-1, parts) for side in (left, right))
-        return pd.Series((a == b).mean(axis=1))
-
-    return F.pandas_udf(estimate, T.DoubleType())
-
-
 def text_key() -> Column:
     """With the id, which row of a table a signature belongs to."""
     return F.xxhash64(F.col("text")).alias("t")
@@ -182,17 +172,6 @@ def _as_planes(values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1) * width, pa.int32()), flat)
 
 
-def _planes(parts: int):
-    """Signatures by bit."""
-
-    def planes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint8).reshape(-1, parts)
-            yield pa.record_batch([batch.column("id"), _as_planes(kept), batch.column("bands")], ["id", "planes", "bands"])
-
-    return planes
-
-
 def bin_winners(hashes: np.ndarray, text: np.ndarray, texts: int, bins: int) -> np.ndarray:
     """Shingles dealt to ``bins``: for each text and bin 7 bits of the least shingle and a top bit, 0 where a bin is empty."""
     spread = mix(hashes ^ np.uint64(0xA0761D6478BD642F))
@@ -219,6 +198,11 @@ def _differing_parts(left: str, right: str, parts: int) -> str:
     return " + ".join("bit_count(" + " | ".join(f"({left}[{p * words + w}] ^ {right}[{p * words + w}])" for p in range(8)) + ")" for w in range(words))
 
 
+def _most_differing(parts: int) -> int:
+    """Components in which the signatures of candidates may differ."""
+    return int(parts * (1 - ESTIMATE) + 1e-9)
+
+
 def _enough_bins(left: str, right: str, bins: int, least: float) -> str:
     """SQL: of the bins in which any of two texts has a shingle, at least that share has the same one in both.
 
@@ -241,14 +225,14 @@ def _meeting(large: DataFrame, roots: DataFrame, firsts: DataFrame, docs: DataFr
     known already) are part of the join, as whole numbers and bits: what is no candidate is never written, and no bucket
     and no number of partners limits what is compared. It is a plain join, whose large partitions Spark splits.
     """
-    parts, most = bands * rows, int(bands * rows * (1 - ESTIMATE) + 1e-9)
+    parts, most = bands * rows, _most_differing(bands * rows)
     placed = large.join(roots, "id")
     sizes = placed.groupBy("band", "bucket", "root").agg(F.count("*").alias("rows"))
     mixed = sizes.groupBy("band", "bucket").agg(F.max_by("root", F.struct("rows", "root")).alias("major"), F.count("*").alias("roots"))
     mixed = mixed.filter("roots > 1").select(F.col("band").alias("b2"), F.col("bucket").alias("k2"), "major")
     open_rows = stage(placed.join(mixed, (F.col("band") == F.col("b2")) & (F.col("bucket") == F.col("k2"))).drop("b2", "k2"), "open")
     ids = open_rows.select("id").distinct()
-    signatures = firsts.select("id", "bits", "bands").join(ids, "id", "left_semi").mapInArrow(_planes(parts), "id long, planes array<long>, bands array<long>")
+    signatures = firsts.select("id", "planes", "bands").join(ids, "id", "left_semi")
     texts = _texts(ids, firsts, docs)
     fine = texts.mapInArrow(_binned(words, BINS), "id long, fine array<long>")
     left = stage(open_rows.join(signatures, "id").join(fine, "id"), "open-signed")
@@ -307,13 +291,13 @@ def classes(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
     small_batches(spark)
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(), F.col("text").cast("string").alias("text"))
     signed = stage(read.mapInArrow(_sign(words, bands, rows), SIGNED), "signed")
-    firsts = signed.groupBy("key").agg(F.min(F.struct("doc_id", "t", "bands", "bits")).alias("f")).select("key", "f.*")
+    firsts = signed.groupBy("key").agg(F.min(F.struct("doc_id", "t", "bands", "planes")).alias("f")).select("key", "f.*")
     firsts = stage(firsts.withColumn("id", F.monotonically_increasing_id()), "firsts")  # written with the id: splits may change later
     member = firsts.select("id", F.posexplode("bands").alias("band", "bucket"))
     sizes = member.groupBy("band", "bucket").agg(F.count("*").alias("size")).filter("size > 1").select(F.col("band").alias("b2"), F.col("bucket").alias("k2"), "size")
     members = stage(member.join(sizes, (F.col("band") == F.col("b2")) & (F.col("bucket") == F.col("k2"))).select("id", "band", "bucket", "size"), "members")
     large = members.filter(F.col("size") > SMALL).drop("size")
-    bits = firsts.select("id", "bits")
+    planes = firsts.select("id", "planes")
     links, tried = [], []
 
     def united(tables: list[DataFrame]) -> DataFrame:
@@ -324,8 +308,9 @@ def classes(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
 
     def guessed(pairs: DataFrame) -> DataFrame:
         """Pairs with their estimate, as far as it is high enough."""
-        both = pairs.join(bits.withColumnsRenamed({"id": "a", "bits": "ba"}), "a").join(bits.withColumnsRenamed({"id": "b", "bits": "bb"}), "b")
-        return both.select("a", "b", _estimate(bands * rows)("ba", "bb").alias("estimate")).filter(F.col("estimate") >= ESTIMATE)
+        both = pairs.join(planes.withColumnsRenamed({"id": "a", "planes": "pa"}), "a").join(planes.withColumnsRenamed({"id": "b", "planes": "pb"}), "b")
+        told = both.select("a", "b", F.expr(_differing_parts("pa", "pb", bands * rows)).alias("differ")).filter(F.col("differ") <= _most_differing(bands * rows))
+        return told.select("a", "b", (F.lit(1.0) - F.col("differ") / (bands * rows)).alias("estimate"))
 
     def tell(todo: DataFrame) -> bool:
         """Add those of the pairs that are links to ``links``, and all of them to ``tried``; whether any is a link."""
