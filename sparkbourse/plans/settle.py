@@ -22,7 +22,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkbourse.functions import orders as fn
-from sparkbourse.functions.wallets import with_asset
 from sparkbourse.operators import ledger, lifecycle, matching, route
 from sparkbourse.operators.running import running_before
 from sparkbourse.operators.sequential import MARKET, work_through
@@ -37,6 +36,7 @@ from sparkbourse.schemas import (
     ORDER,
     PROCESSED,
     SUBMIT,
+    WALLET,
 )
 from sparkbourse.session import release, stage, temporary
 from sparkbourse.sources.codec import decode_events, envelope, order_struct, split_corrupt
@@ -58,6 +58,7 @@ class Settled:
     matches: DataFrame
     rejections: DataFrame
     passed: DataFrame
+    wallets_before: DataFrame
 
 
 def settle_batch(
@@ -88,6 +89,7 @@ def settle_batch(
         matches=_with_makers_filled(matches.drop("eventId"), confirmed, batch.book),
         rejections=_rejections(checked, decided, events).unionByName(_command_rejections(ended)),
         passed=passing(events),
+        wallets_before=batch.wallets,
     )
 
 
@@ -355,6 +357,28 @@ def wallet_changes(moves: DataFrame, wallets: DataFrame) -> DataFrame:
     return running.withColumn("needsOrderProcessing", needs_order)
 
 
+def whole_wallets(changes: DataFrame, before: DataFrame) -> DataFrame:
+    """Wallet changes with ``assets``, the map of all that the wallet holds after each; ``before`` is the state they follow.
+
+    Every change is laid out over the assets of its wallet, each with its last balance up to then: as many rows as the
+    maps together have entries.
+    """
+    at = ["seq", "phase", "nth", "id"]
+    start = before.filter("held").select(*ledger.KEY, F.col("amount").alias("_a"), F.col("blocked").alias("_b"))
+    assets = changes.select(*ledger.KEY).unionByName(start.select(*ledger.KEY)).distinct()
+    points = changes.select("walletId", *at, F.col("assetId").alias("_changed"), "balance", "blockedBalance")
+    now = F.when(F.col("assetId") == F.col("_changed"), F.struct(*at, "balance", "blockedBalance"))
+    grid = points.join(assets, "walletId").select(*ledger.KEY, *at, now.alias("_now"))
+    filled = running_before(grid, ledger.KEY, at, maxima={"_last": F.col("_now")}, label="wallet-assets")
+    last = F.coalesce("_now", "_last")
+    held = filled.join(start, ledger.KEY, "left").select(
+        *ledger.KEY, *at, F.coalesce(last["balance"], "_a").alias("amount"), F.coalesce(last["blockedBalance"], "_b").alias("blocked")
+    )
+    entry = F.struct("assetId", F.struct("assetId", "amount", "blocked"))
+    entries = held.filter("amount is not null").groupBy("walletId", *at).agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+    return changes.join(entries, ["walletId", *at]).withColumn("assets", F.map_from_entries("entries")).drop("entries")
+
+
 def _command_rejections(checked: DataFrame) -> DataFrame:
     no_amount = F.lit(None).cast(LEDGER)
     return lifecycle.rejected(checked).select(
@@ -392,14 +416,13 @@ def _rejections(checked: DataFrame, decided: DataFrame, events: DataFrame) -> Da
 
 def output_events(settled: Settled) -> DataFrame:
     """Everything the batch publishes as ``(key, seq, event)``: order changes by market, wallet changes by wallet, matches,
-    and events that pass through. A wallet event has the asset that changed and the count of the whole wallet."""
+    and events that pass through. A wallet event has the whole wallet as it is after the change."""
     order = settled.order_changes.select(
         fn.market().alias("key"), "seq", envelope(F.col("eventId"), order=order_struct()).alias("event")
     )
-    changed = with_asset(F.col("walletId"), F.col("assetId"), F.col("balance"), F.col("blockedBalance")).withField(
-        "txCount", F.col("walletTxCount")
-    )
-    wallet = settled.wallet_changes.select(
+    changes = whole_wallets(settled.wallet_changes, settled.wallets_before)
+    changed = F.struct("walletId", "assets", F.col("walletTxCount").alias("txCount")).cast(WALLET)
+    wallet = changes.select(
         F.col("walletId").alias("key"), "seq", envelope(F.col("eventId"), wallet=changed).alias("event")
     )
     matches = matching.to_match_commands(settled.matches).select(

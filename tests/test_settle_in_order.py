@@ -179,3 +179,14 @@ def test_scratch_is_freed_after_a_commit(spark, tmp_path):
     before = set(folder.glob("*")) if folder.exists() else set()
     commit_batch(s, log(spark, [submit("e0", "a", "LIMIT_SELL", 2, 10)]), 1)
     assert set(folder.glob("*")) <= before
+
+
+def test_a_wallet_event_has_the_whole_wallet(spark, tmp_path):
+    s = store(spark, tmp_path, [("a", "ETH", 10), ("a", "DOGE", 7), ("b", "BTC", 20)])
+    commit_batch(s, log(spark, [submit("e0", "a", "LIMIT_SELL", 2, 4), submit("e1", "b", "LIMIT_BUY", 2, 3), deposit("e2", "b", "BTC", "CREDIT", 1)]), 1)
+    rows = s.feed("output").filter("event.wallet is not null").select("seq", "event.wallet.*").collect()
+    seen = {}
+    for r in sorted(rows, key=lambda r: (r.seq, r.txCount)):
+        seen.setdefault(r.walletId, []).append({k: (v.amount, v.blocked) for k, v in r.assets.items()})
+    assert seen["a"][0] == {"ETH": (10, 4), "DOGE": (7, 0)} and seen["a"][-1] == {"ETH": (7, 1), "DOGE": (7, 0), "BTC": (6, 0)}
+    assert seen["b"][0] == {"BTC": (20, 6)} and seen["b"][-1] == {"BTC": (15, 0), "ETH": (3, 0)}
