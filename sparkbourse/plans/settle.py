@@ -16,7 +16,7 @@ The same function serves a bounded log and every micro-batch of a stream.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,18 +47,45 @@ from sparkbourse.sources.state import StateStore
 FUNDING, CONFIRMING, RESTING, TRADING, FILLING, CANCELLING = range(6)
 
 
-@dataclass(frozen=True)
 class Settled:
-    """What a batch changed. Deltas hold one row per key, feeds every single change."""
+    """What a batch changed. Deltas hold one row per key, feeds every single change; each is set up when first asked for."""
 
-    order_delta: DataFrame
-    wallet_delta: DataFrame
-    order_changes: DataFrame
-    wallet_changes: DataFrame
-    matches: DataFrame
-    rejections: DataFrame
-    passed: DataFrame
-    wallets_before: DataFrame
+    def __init__(self, events: DataFrame, checked: DataFrame, batch: _Batch):
+        self._events, self._checked, self._batch = events, checked, batch
+        self._decided, self._confirmed, self._matches, self._ended, self._moves = batch.run()
+        self.wallets_before = batch.wallets
+
+    @cached_property
+    def order_changes(self) -> DataFrame:
+        return _order_changes(self._confirmed, self._batch.book, self._matches, self._ended.filter("reason is null"))
+
+    @cached_property
+    def order_delta(self) -> DataFrame:
+        return latest_rows(self.order_changes)
+
+    @cached_property
+    def wallet_delta(self) -> DataFrame:
+        effects = [ledger.effects(self._decided), ledger.fill_effects(self._moves)]
+        touched = effects[0].select(*ledger.KEY).unionByName(effects[1].select(*ledger.KEY)).distinct()
+        after = ledger.apply_effects(self.wallets_before.join(touched, ledger.KEY, "left_semi"), *effects)
+        return after.withColumn("is_delete", F.lit(False))
+
+    @cached_property
+    def wallet_changes(self) -> DataFrame:
+        moves = self._decided.drop("availableFunds").unionByName(self._moves.withColumn("accepted", F.lit(True)))
+        return wallet_changes(moves, self.wallets_before)
+
+    @cached_property
+    def matches(self) -> DataFrame:
+        return _with_makers_filled(self._matches.drop("eventId"), self._confirmed, self._batch.book)
+
+    @cached_property
+    def rejections(self) -> DataFrame:
+        return _rejections(self._checked, self._decided, self._events).unionByName(_command_rejections(self._ended))
+
+    @cached_property
+    def passed(self) -> DataFrame:
+        return passing(self._events)
 
 
 def settle_batch(
@@ -70,27 +97,7 @@ def settle_batch(
     valid = lifecycle.valid(checked)
     submits, fills = valid.filter(F.col("command") == SUBMIT), valid.filter(F.col("command") == FILL)
     cancels = commands.filter(F.col("command") == CANCEL)
-
-    batch = _Batch(submits, cancels, fills, deposits(events), orders, wallets, time_priority)
-    decided, confirmed, matches, ended, moves = batch.run()
-    taken = ended.filter("reason is null")
-
-    # What follows from the outcome: every status an order goes through, and balances.
-    order_changes = _order_changes(confirmed, batch.book, matches, taken)
-    wallet_effects = [ledger.effects(decided), ledger.fill_effects(moves)]
-    touched = wallet_effects[0].select(*ledger.KEY).unionByName(wallet_effects[1].select(*ledger.KEY)).distinct()
-    wallet_delta = ledger.apply_effects(batch.wallets.join(touched, ledger.KEY, "left_semi"), *wallet_effects)
-    all_moves = decided.drop("availableFunds").unionByName(moves.withColumn("accepted", F.lit(True)))
-    return Settled(
-        order_delta=latest_rows(order_changes),
-        wallet_delta=wallet_delta.withColumn("is_delete", F.lit(False)),
-        order_changes=order_changes,
-        wallet_changes=wallet_changes(all_moves, batch.wallets),
-        matches=_with_makers_filled(matches.drop("eventId"), confirmed, batch.book),
-        rejections=_rejections(checked, decided, events).unionByName(_command_rejections(ended)),
-        passed=passing(events),
-        wallets_before=batch.wallets,
-    )
+    return Settled(events, checked, _Batch(submits, cancels, fills, deposits(events), orders, wallets, time_priority))
 
 
 class _Batch:
