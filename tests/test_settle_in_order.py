@@ -95,7 +95,7 @@ def test_equal_to_one_event_at_a_time(spark, tmp_path, seed, n, batches, by_age)
 
 
 def test_equal_with_hot_markets_and_wallets(spark, tmp_path, small_groups):
-    events, steps = random_events(spark, 5, 40, wallets=3, markets=1)
+    events, steps = random_events(spark, 5, 16, wallets=3, markets=1)
     exchange = Exchange(balances(3))
     for kind, seq, *rest in steps:
         getattr(exchange, kind)(seq, *rest)
