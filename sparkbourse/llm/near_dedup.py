@@ -23,8 +23,9 @@ WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 4
 #: All members of a bucket of at most so many are compared with each other from the start.
 SMALL = 8
-#: In a larger one they are first compared with so many others of it, picked by as many hashes, in each round.
-LEADERS = 3
+#: In a larger one they are first compared with so many others of it, picked by as many hashes, in each round. One is enough
+#: for the copies of one text; a second round picks another, and only for what the first left apart.
+LEADERS = 1
 #: The estimate from 96 components must reach this before texts are fetched: five standard errors below the threshold.
 ESTIMATE = 0.6
 #: Rounds of picks, which join most of what belongs together; what they leave open is then decided exactly.
