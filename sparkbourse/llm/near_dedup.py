@@ -29,7 +29,7 @@ LEADERS = 1
 #: The estimate from 96 components must reach this before texts are fetched: five standard errors below the threshold.
 ESTIMATE = 0.6
 #: Rounds of picks, which join most of what belongs together; what they leave open is then decided exactly.
-ROUNDS = 4
+ROUNDS = 2
 #: Texts of crowded buckets are estimated again from so many bins of their shingles, before texts are fetched; here too the
 #: bound lies five standard errors below the threshold.
 BINS = 1024
@@ -217,7 +217,7 @@ def _enough_bins(left: str, right: str, bins: int, least: float) -> str:
     return f"aggregate(sequence(0, {words - 1}), 0L, (total, w) -> total + {balance}) >= 0"
 
 
-def _meeting(large: DataFrame, roots: DataFrame, firsts: DataFrame, docs: DataFrame, words: int, similarity: float, bands: int, rows: int) -> DataFrame:
+def _meeting(large: DataFrame, roots: DataFrame, firsts: DataFrame, texts: DataFrame, words: int, similarity: float, bands: int, rows: int) -> DataFrame:
     """``a, b, estimate`` of all pairs of different roots that share a bucket and whose estimates are high enough.
 
     Buckets whose members all have one root are done. In the others every member meets those that are not of the bucket's
@@ -234,8 +234,7 @@ def _meeting(large: DataFrame, roots: DataFrame, firsts: DataFrame, docs: DataFr
     open_rows = stage(placed.join(mixed, (F.col("band") == F.col("b2")) & (F.col("bucket") == F.col("k2"))).drop("b2", "k2"), "open")
     ids = open_rows.select("id").distinct()
     signatures = firsts.select("id", "planes", "bands").join(ids, "id", "left_semi")
-    texts = _texts(ids, firsts, docs)
-    fine = texts.mapInArrow(_binned(words, BINS), "id long, fine array<long>")
+    fine = texts.join(ids, "id", "left_semi").mapInArrow(_binned(words, BINS), "id long, fine array<long>")
     left = stage(open_rows.join(signatures, "id").join(fine, "id"), "open-signed")
     columns = ("band", "bucket", "id", "root", "planes", "bands", "fine")
     right = left.filter("root <> major").select(*[F.col(c).alias(f"{c}2") for c in columns])
@@ -246,7 +245,7 @@ def _meeting(large: DataFrame, roots: DataFrame, firsts: DataFrame, docs: DataFr
     )
     estimate = (F.lit(1.0) - F.expr(differ) / parts).alias("estimate")
     pairs = stage(left.join(right, met).select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"), estimate), "meeting")
-    release(open_rows, texts, left)
+    release(open_rows, left)
     return pairs
 
 
@@ -275,6 +274,29 @@ def _nearer(roots: DataFrame, links: DataFrame) -> DataFrame:
     return stage(lower.join(beyond, "root").select("id", F.least("root", "far").alias("root")), "near-roots")
 
 
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Those of ``pairs(a, b, ..)`` whose roots differ, with both roots as ``ra`` and ``rb``."""
+    ends = pairs.join(roots.withColumnsRenamed({"id": "a", "root": "ra"}), "a").join(roots.withColumnsRenamed({"id": "b", "root": "rb"}), "b")
+    return ends.filter("ra <> rb")
+
+
+def _settled(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Roots of whole classes. Every id hangs on its root so far, so only links between different roots are followed."""
+    between = stage(_apart(links, roots).select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(), "between")
+    if between.isEmpty():
+        return roots
+    last = components(between).select(F.col("id").alias("root"), F.col("root").alias("to"))
+    release(between)
+    return stage(roots.join(last, "root", "left").select("id", F.coalesce("to", "root").alias("root")), "near-roots")
+
+
+def _likeliest(pairs: DataFrame) -> DataFrame:
+    """Of ``pairs(a, b, estimate)`` those that are the best one of either text."""
+    both = pairs.select("a", "b", "estimate").union(pairs.select("b", "a", "estimate"))
+    best = both.groupBy("a").agg(F.max_by("b", F.struct("estimate", "b")).alias("b"))
+    return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def classes(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, leaders: int = LEADERS) -> DataFrame:
     """``doc_id, t, class_id, class_size``: a row for every row of ``docs``, with the smallest id of its class.
 
@@ -284,9 +306,9 @@ def classes(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
     the hash of the text. Null ids are allowed; a class without any id has a null class id. No rows give no rows.
 
     Texts that share a band are candidates, all of them. The members of a small bucket are all compared. In a larger one
-    they are first compared with a few leaders, in rounds, until a round links nothing; then, in all buckets that still
-    hold several classes, every member is compared with those of other classes. Rounds only save work: they decide no
-    pair but those they compare.
+    they first meet a leader, in rounds in which every text is compared with its likeliest partner; then, in all buckets
+    that still hold several classes, every member is compared with those of other classes, and so are all pairs that the
+    rounds left over. Rounds only save work: they decide no pair but those they compare.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -299,6 +321,8 @@ def classes(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
     members = stage(member.join(sizes, (F.col("band") == F.col("b2")) & (F.col("bucket") == F.col("k2"))).select("id", "band", "bucket", "size"), "members")
     large = members.filter(F.col("size") > SMALL).drop("size")
     planes = firsts.select("id", "planes")
+    alone = members.select("id").distinct().select("id", F.col("id").alias("root"))
+    texts = _texts(alone.select("id"), firsts, docs)
     links, tried = [], []
 
     def united(tables: list[DataFrame]) -> DataFrame:
@@ -313,43 +337,36 @@ def classes(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
         told = both.select("a", "b", F.expr(_differing_parts("pa", "pb", bands * rows)).alias("differ")).filter(F.col("differ") <= _most_differing(bands * rows))
         return told.select("a", "b", (F.lit(1.0) - F.col("differ") / (bands * rows)).alias("estimate"))
 
-    def tell(todo: DataFrame) -> bool:
-        """Add those of the pairs that are links to ``links``, and all of them to ``tried``; whether any is a link."""
-        todo = stage(todo, "pairs")
-        if todo.isEmpty():
-            return False
-        texts = _texts(todo.select(F.col("a").alias("id")).union(todo.select(F.col("b").alias("id"))).distinct(), firsts, docs)
-        # The likeliest partner of each text first. Whoever then hangs on the same partner needs no comparison any more.
-        ranked = stage(todo.groupBy("b").agg(F.max_by("a", F.struct("estimate", "a")).alias("a")).select("a", "b"), "ranked")
-        found = _verified(ranked, texts, words, similarity)
-        hung = found.select(F.col("b").alias("id"), F.col("a").alias("on"))
-        rest = todo.select("a", "b").join(ranked, ["a", "b"], "left_anti")
-        rest = rest.join(hung.withColumnsRenamed({"id": "a", "on": "oa"}), "a", "left").join(hung.withColumnsRenamed({"id": "b", "on": "ob"}), "b", "left")
-        ends = F.coalesce("oa", "a"), F.coalesce("ob", "b")
-        rest = rest.filter((ends[0] != ends[1]) & (ends[0] != F.col("b")) & (ends[1] != F.col("a"))).select("a", "b")
-        more = _verified(rest, texts, words, similarity)
-        release(texts)
-        tried.append(todo.select("a", "b"))
-        if found.isEmpty() and more.isEmpty():
-            return False
-        links.extend([found, more])
-        return True
+    def compare(pairs: DataFrame) -> DataFrame:
+        """The links among ``pairs(a, b)``, by their texts."""
+        pairs = stage(pairs, "tried")
+        tried.append(pairs)
+        return _verified(pairs, texts, words, similarity)
 
-    alone = members.select("id").distinct().select("id", F.col("id").alias("root"))
-    roots = alone
+    roots, left_over = stage(alone, "near-roots"), None
     for round_no in range(ROUNDS):
         pairs = _picked(large.join(roots, "id"), leaders, round_no)
         if not round_no:
             pairs = pairs.union(_all_pairs(members.filter(F.col("size") <= SMALL))).distinct()
-        if not tell(guessed(untried(pairs))):
+        todo = guessed(untried(pairs))
+        if left_over is not None:
+            todo = todo.union(_apart(left_over, roots).select("a", "b", "estimate")).distinct()
+        todo = stage(todo, "pairs")
+        found = compare(_likeliest(todo))
+        left_over = untried(todo)
+        if found.isEmpty():
             break
+        links.append(found)
         roots = _nearer(roots, united(links))
-    roots = components(united(links)) if links else None
-    joined = alone if roots is None else alone.join(roots.withColumnRenamed("root", "to"), "id", "left").select("id", F.coalesce("to", "root").alias("root"))
-    if tell(untried(_meeting(large, joined, firsts, docs, words, similarity, bands, rows))):
-        roots = components(united(links))
-    if roots is None:
-        roots = alone
+    if links:
+        roots = _settled(roots, united(links))
+    open_pairs = untried(_meeting(large, roots, firsts, texts, words, similarity, bands, rows))
+    todo = stage(open_pairs.union(_apart(left_over, roots).select("a", "b", "estimate")).distinct(), "pairs")
+    if not todo.isEmpty():
+        # The likeliest partner of each text first: what then hangs together needs no comparison any more.
+        roots = _settled(roots, compare(_likeliest(todo)))
+        roots = _settled(roots, compare(_apart(untried(todo), roots).select("a", "b")))
+    release(texts, todo, members)
     with_id = signed.select("doc_id", "t", "key").join(firsts.select("key", "id"), "key")
     with_root = stage(with_id.join(roots, "id", "left").select("doc_id", "t", F.coalesce("root", "id").alias("root")), "rooted")
     named = with_root.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"), F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("o"), "doc_id", "t")).alias("kept"))
