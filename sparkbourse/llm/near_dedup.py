@@ -132,27 +132,28 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     return roots.select("id", "root")
 
 
-def _picked(members: DataFrame, leaders: int, round_no: int) -> DataFrame:
-    """Pairs of a bucket's members with its leaders, where their roots differ; a bucket's rows are never together.
+def _picked(members: DataFrame, leaders: int, round_no: int, parts: int) -> DataFrame:
+    """``a, b, estimate`` of members of a bucket and its leaders, where roots differ and the estimate is high enough.
 
     Once there are classes, a class is in a bucket by a few of its members, others in each round: one link is enough to
-    join two classes, so a large class need not meet every stray text as a whole.
+    join two classes, so a large class need not meet every stray text as a whole. Signatures travel with the members and
+    the leaders, so the join itself drops what is no candidate; a bucket's rows are never together.
     """
     if round_no:
-        some = [F.min(F.struct(F.xxhash64("id", F.lit(-1 - round_no * leaders - j)).alias("o"), "id")).alias(f"m{j}") for j in range(leaders)]
+        some = [F.min(F.struct(F.xxhash64("id", F.lit(-1 - round_no * leaders - j)).alias("o"), "id", "planes")).alias(f"m{j}") for j in range(leaders)]
         chosen = members.groupBy("band", "bucket", "root").agg(*some)
-        ids = F.array_distinct(F.array(*[F.col(f"m{j}.id") for j in range(leaders)]))
-        members = chosen.select("band", "bucket", "root", F.explode(ids).alias("id"))
-    order = [F.struct(F.xxhash64("id", F.lit(round_no * leaders + j)).alias("o"), "id", "root") for j in range(leaders)]
+        ids = F.array_distinct(F.array(*[F.struct(f"m{j}.id", f"m{j}.planes") for j in range(leaders)]))
+        members = chosen.select("band", "bucket", "root", F.explode(ids).alias("m")).select("band", "bucket", "root", "m.id", "m.planes")
+    order = [F.struct(F.xxhash64("id", F.lit(round_no * leaders + j)).alias("o"), "id", "root", "planes") for j in range(leaders)]
     picks = members.groupBy("band", "bucket").agg(
         F.min("root").alias("low"), F.max("root").alias("high"), *[F.min(o).alias(f"l{j}") for j, o in enumerate(order)]
     )
-    picks = picks.filter("low <> high").select(
-        F.col("band").alias("b2"), F.col("bucket").alias("k2"), F.array_distinct(F.array(*[F.struct(f"l{j}.id", f"l{j}.root") for j in range(leaders)])).alias("ls")
-    )
-    pairs = members.join(picks, (F.col("band") == F.col("b2")) & (F.col("bucket") == F.col("k2")))
-    pairs = pairs.select("id", "root", F.explode("ls").alias("l")).filter(F.col("root") != F.col("l.root"))
-    return pairs.select(F.least("id", "l.id").alias("a"), F.greatest("id", "l.id").alias("b")).distinct()
+    ls = F.array_distinct(F.array(*[F.struct(f"l{j}.id", f"l{j}.root", f"l{j}.planes") for j in range(leaders)]))
+    picks = picks.filter("low <> high").select(F.col("band").alias("b2"), F.col("bucket").alias("k2"), F.explode(ls).alias("l"))
+    picks = picks.select("b2", "k2", F.col("l.id").alias("id2"), F.col("l.root").alias("root2"), F.col("l.planes").alias("planes2"))
+    differ = _differing_parts("planes", "planes2", parts)
+    pairs = members.join(picks, F.expr(f"band = b2 AND bucket = k2 AND root <> root2 AND {differ} <= {_most_differing(parts)}"))
+    return pairs.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"), (F.lit(1.0) - F.expr(differ) / parts).alias("estimate")).distinct()
 
 
 def _all_pairs(members: DataFrame) -> DataFrame:
@@ -321,6 +322,7 @@ def classes(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
     members = stage(member.join(sizes, (F.col("band") == F.col("b2")) & (F.col("bucket") == F.col("k2"))).select("id", "band", "bucket", "size"), "members")
     large = members.filter(F.col("size") > SMALL).drop("size")
     planes = firsts.select("id", "planes")
+    signed_large = stage(large.join(planes, "id"), "large")
     alone = members.select("id").distinct().select("id", F.col("id").alias("root"))
     texts = _texts(alone.select("id"), firsts, docs)
     links, tried = [], []
@@ -345,19 +347,19 @@ def classes(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
 
     roots, left_over = stage(alone, "near-roots"), None
     for round_no in range(ROUNDS):
-        pairs = _picked(large.join(roots, "id"), leaders, round_no)
-        if not round_no:
-            pairs = pairs.union(_all_pairs(members.filter(F.col("size") <= SMALL))).distinct()
-        todo = guessed(untried(pairs))
-        if left_over is not None:
-            todo = todo.union(_apart(left_over, roots).select("a", "b", "estimate")).distinct()
-        todo = stage(todo, "pairs")
+        todo = untried(_picked(signed_large.join(roots, "id"), leaders, round_no, bands * rows)).select("a", "b", "estimate")
+        if left_over is None:
+            todo = todo.union(guessed(_all_pairs(members.filter(F.col("size") <= SMALL))))
+        else:
+            todo = todo.union(_apart(left_over, roots).select("a", "b", "estimate"))
+        todo = stage(todo.distinct(), "pairs")
         found = compare(_likeliest(todo))
         left_over = untried(todo)
         if found.isEmpty():
             break
         links.append(found)
         roots = _nearer(roots, united(links))
+    release(signed_large)
     if links:
         roots = _settled(roots, united(links))
     open_pairs = untried(_meeting(large, roots, firsts, texts, words, similarity, bands, rows))
