@@ -15,8 +15,10 @@ is halved, down to a single taker, for which matching against the book as it sta
 
 from __future__ import annotations
 
+import decimal
 import heapq
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -24,14 +26,15 @@ from pyspark.sql import functions as F
 
 from sparkbourse.operators.matching import LADDER, MATCH_COLUMNS, favour, match_snapshot, tie_break
 from sparkbourse.operators.running import has_hot_key, max_group_rows, running_before
-from sparkbourse.schemas import CANCEL, FILL, LIMIT_BUY, LIMIT_SELL, MONEY, PROCESSED, SUBMIT
+from sparkbourse.schemas import CANCEL, FILL, LEDGER, LIMIT_BUY, LIMIT_SELL, MONEY, PROCESSED, SUBMIT
 from sparkbourse.session import stage
 
 MARKET = ["baseAssetId", "quoteAssetId"]
-_RESTS, _MATCH = "RESTS", "MATCH"
+_RESTS, MATCHED, FUNDED, _FUNDS = "RESTS", "MATCH", "FUNDED", "FUNDS"
 RESTING = [*MARKET, "id", "walletId", "orderType", "price", "qty", "seq"]
 # Prices and quantities go through the matching loop as whole numbers of the smallest unit.
 UNIT = "0.00000001"
+_EXACT = decimal.Context(prec=76)
 _UNIT_COLUMNS = ("takerPrice", "takerQty", "makerQty", "qtyFilled", "price", "qtyBefore")
 
 
@@ -60,6 +63,95 @@ def work_through(takers: DataFrame, book: DataFrame, commands: DataFrame | None,
     return ordinary.unionByName(_in_slices(active.join(hot, MARKET, "left_semi"), time_priority, commands is not None))
 
 
+def reachable(takers: DataFrame, book: DataFrame, commands: DataFrame, time_priority: bool = False) -> DataFrame:
+    """The resting orders that the takers, whichever of them come to act, or the commands can reach."""
+    acting = _with_commands(takers.filter("qty > 0").select(F.lit(SUBMIT).alias("kind"), *RESTING), commands)
+    resting = book.filter(F.col("status") == PROCESSED).select(*RESTING)
+    return _active(acting, resting, time_priority, True).filter(F.col("kind") == _RESTS).select(*RESTING)
+
+
+def settle_through(
+    takers: DataFrame, resting: DataFrame, commands: DataFrame, funds: DataFrame, time_priority: bool = False
+) -> DataFrame:
+    """Like ``work_through``, and each taker acts only if its wallet has the funds for it at that moment.
+
+    ``funds`` has ``walletId, assetId, seq, asks, effect`` for each market that has to know: balances to start from, without
+    ``seq``, and changes from outside the market; one with ``asks`` takes effect only if as much is available. What the
+    market itself does to funds is kept account of here. The result also has a row of kind FUNDED for each taker that acted.
+    ``commands`` bring what they do to funds along: ``walletId, orderType, price`` of the order, for fills ``copyBase``,
+    ``copyQuote`` and ``fillPrice`` too. One task works through a market; its memory holds open orders and funds.
+    """
+    parts = [
+        takers.select(F.lit(SUBMIT).alias("kind"), *RESTING),
+        resting.select(F.lit(_RESTS).alias("kind"), *RESTING),
+        commands.select("kind", *RESTING, "copyBase", "copyQuote", "fillPrice"),
+        funds.select(F.lit(_FUNDS).alias("kind"), *MARKET, "walletId", F.col("assetId").alias("copyBase"), "seq", "asks", "effect"),
+    ]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    acts = (F.col("kind") != _RESTS) & F.col("seq").isNotNull()
+    units = [_units(c) for c in ("price", "qty", "fillPrice")]
+    rows = rows.select(*MARKET, acts.alias("acts"), "seq", "kind", "id", "walletId", "orderType", *units, "copyBase", "copyQuote", "asks", "effect")
+    (schema, ddl), books_type = _outcome_schema(), _books()
+    # Funds are whole numbers of the ledger's last digit, which is that of a price times a quantity.
+    one, ledger_scale = 10**MONEY.scale, LEDGER.scale
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        market, books, held = None, None, {}
+
+        def whole(amount: decimal.Decimal) -> int:
+            return int(amount.scaleb(ledger_scale, _EXACT))
+
+        def add(wallet: str, asset: str, effect: int) -> None:
+            held[wallet, asset] = held.get((wallet, asset), 0) + effect
+
+        for batch in batches:
+            found = []
+            for base, quote, _, seq, kind, order, wallet, side, price, qty, fill_price, copy_base, copy_quote, asks, effect in zip(
+                *(column.to_pylist() for column in batch.columns), strict=True
+            ):
+                if (base, quote) != market:
+                    market, books, held = (base, quote), books_type(time_priority), {}
+                buys = side == LIMIT_BUY
+                if kind == SUBMIT:
+                    key, ask = ((wallet, base), price * qty) if buys else ((wallet, quote), qty * one)
+                    there = held.get(key, 0)
+                    if there < ask:
+                        continue
+                    held[key] = there - ask
+                    found.append((seq, FUNDED, order, None, wallet, None, base, quote, side, price, qty) + (None,) * 4)
+                    if qty <= 0:
+                        continue
+                    for trade in books.trade(seq, order, wallet, side, price, qty):
+                        found.append(books.match_row(seq, order, wallet, base, quote, side, price, qty, trade))
+                        _, maker_wallet, at, _, filled, _ = trade
+                        buyer, seller = (wallet, maker_wallet) if buys else (maker_wallet, wallet)
+                        add(buyer, quote, filled * one)
+                        add(seller, base, filled * at)
+                        if buys:  # blocked at its own price
+                            add(buyer, base, filled * (price - at))
+                elif kind == _RESTS:
+                    books.rest(seq, order, wallet, side, price, qty)
+                elif kind == _FUNDS:
+                    if asks is None or held.get((wallet, copy_base), 0) >= whole(asks):
+                        add(wallet, copy_base, whole(effect))
+                else:
+                    there, taken = books.take_off(kind, order, qty)
+                    found.append(books.ended_row(seq, kind, order, base, quote, (there, taken)))
+                    if there is None or (kind == FILL and qty > there):
+                        continue
+                    if kind == CANCEL:
+                        add(wallet, base if buys else quote, taken * (price if buys else one))
+                    elif buys:
+                        add(wallet, copy_quote, qty * one)
+                        add(wallet, copy_base, qty * (price - fill_price))
+                    else:
+                        add(wallet, copy_base, qty * fill_price)
+            yield books_type.batch(found, schema)
+
+    ordered = rows.repartition(*MARKET).sortWithinPartitions(*MARKET, "acts", "seq")
+    return _in_money(ordered.mapInArrow(work, ddl))
+
+
 def _with_commands(acting: DataFrame, commands: DataFrame) -> DataFrame:
     nothing = {"walletId": "string", "orderType": "string", "price": MONEY}
     rows = commands.select("kind", "seq", *MARKET, "id", F.col("qty").cast(MONEY).alias("qty"))
@@ -130,70 +222,85 @@ def _units(name: str) -> Column:
     return (F.col(name).cast("decimal(28,8)") / F.lit(UNIT).cast("decimal(8,8)")).cast("long").alias(name)
 
 
-def _in_order(active: DataFrame, time_priority: bool) -> DataFrame:
-    """Work through each market: its resting orders first, then what acts by ``seq``."""
-    first = (F.col("kind") != _RESTS).alias("acts")
-    rows = active.select(*MARKET, first, "seq", "kind", "id", "walletId", "orderType", _units("price"), _units("qty"))
+def _books() -> type:
+    """Made inside a function, so that executors, which do not have this package, get it with the task."""
+
+    class Books:
+        """Both sides of one market, quantities and prices in units.
+
+        Heaps hold an order's place only; what it has open is looked up, so that an order is taken out without a search.
+        """
+
+        def __init__(self, time_priority: bool):
+            self._by_age, self._sides, self._open = time_priority, {LIMIT_SELL: [], LIMIT_BUY: []}, {}
+
+        def rest(self, seq: int, order: str, wallet: str, side: str, price: int, qty: int) -> None:
+            if qty > 0:
+                fav = price if side == LIMIT_SELL else -price
+                heapq.heappush(self._sides[side], (fav, seq if self._by_age else 0, order, wallet, price))
+                self._open[order] = qty
+
+        def trade(self, seq: int, order: str, wallet: str, side: str, price: int, qty: int) -> list[tuple]:
+            """What a taker trades, ``(maker, its wallet, price, what it had open, filled, bought before)``; the rest rests."""
+            other, is_open = self._sides[LIMIT_SELL if side == LIMIT_BUY else LIMIT_BUY], self._open
+            left, limit, own, trades = qty, price if side == LIMIT_BUY else -price, [], []
+            while left > 0 and other and other[0][0] <= limit:
+                _, _, maker, maker_wallet, maker_price = other[0]
+                there = is_open.get(maker)
+                if there is None:
+                    heapq.heappop(other)
+                elif maker_wallet == wallet:
+                    own.append(heapq.heappop(other))
+                else:
+                    filled = min(there, left)
+                    trades.append((maker, maker_wallet, maker_price, there, filled, qty - left))
+                    left -= filled
+                    if there > filled:
+                        is_open[maker] = there - filled
+                    else:
+                        del is_open[maker]
+            for entry in own:
+                heapq.heappush(other, entry)
+            self.rest(seq, order, wallet, side, price, left)
+            return trades
+
+        def take_off(self, kind: str, order: str, qty: int) -> tuple[int | None, int]:
+            """What a cancel or fill found open, and what it took: all or ``qty``, nothing if that is more than there is."""
+            there = self._open.get(order)
+            if there is None or (kind == FILL and qty > there):
+                return there, 0
+            taken = there if kind == CANCEL else qty
+            if there > taken:
+                self._open[order] = there - taken
+            else:
+                del self._open[order]
+            return there, taken
+
+        @staticmethod
+        def match_row(seq, order, wallet, base, quote, side, price, qty, trade) -> tuple:
+            maker, maker_wallet, maker_price, there, filled, before = trade
+            return (seq, MATCHED, order, maker, wallet, maker_wallet, base, quote, side, price, qty, there, filled, maker_price, before)
+
+        @staticmethod
+        def ended_row(seq, kind, order, base, quote, ended) -> tuple:
+            return (seq, kind, None, order, None, None, base, quote, None, None, None, *ended, None, None)
+
+        @staticmethod
+        def batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+            columns = zip(*rows, strict=True) if rows else [[] for _ in schema]
+            return pa.RecordBatch.from_arrays([pa.array(values, f.type) for values, f in zip(columns, schema, strict=True)], schema=schema)
+
+    return Books
+
+
+def _outcome_schema() -> tuple[pa.Schema, str]:
     names = ["seq", "kind", *[c for c in MATCH_COLUMNS if c not in _UNIT_COLUMNS], *_UNIT_COLUMNS]
     types = {"seq": pa.int64()} | {c: pa.int64() for c in _UNIT_COLUMNS}
-    schema = pa.schema([(c, types.get(c, pa.string())) for c in names])
     ddl = ", ".join(f"{c} {'bigint' if c in types else 'string'}" for c in names)
+    return pa.schema([(c, types.get(c, pa.string())) for c in names]), ddl
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Heaps hold an order's place only; what it has open is looked up, so that an order is taken out without a search.
-        market, books, open_qty = None, {}, {}
-        for batch in batches:
-            found = []
-            for base, quote, _, seq, kind, order, wallet, side, price, qty in zip(
-                *(column.to_pylist() for column in batch.columns), strict=True
-            ):
-                if (base, quote) != market:
-                    market, books, open_qty = (base, quote), {LIMIT_SELL: [], LIMIT_BUY: []}, {}
-                if kind in (CANCEL, FILL):
-                    there = open_qty.get(order)
-                    taken = 0 if there is None else there if kind == CANCEL else qty if qty <= there else 0
-                    if there is not None and (kind == CANCEL or qty <= there):
-                        if there > taken:
-                            open_qty[order] = there - taken
-                        else:
-                            del open_qty[order]
-                    found.append((seq, kind, None, order, None, None, base, quote, None) + (None, None, there, taken, None, None))
-                    continue
-                left = qty
-                if kind == SUBMIT:
-                    other = books[LIMIT_SELL if side == LIMIT_BUY else LIMIT_BUY]
-                    limit, own = price if side == LIMIT_BUY else -price, []
-                    while left > 0 and other and other[0][0] <= limit:
-                        _, _, maker, maker_wallet, maker_price = other[0]
-                        there = open_qty.get(maker)
-                        if there is None:
-                            heapq.heappop(other)
-                        elif maker_wallet == wallet:
-                            own.append(heapq.heappop(other))
-                        else:
-                            filled = min(there, left)
-                            found.append(
-                                (seq, _MATCH, order, maker, wallet, maker_wallet, base, quote, side)
-                                + (price, qty, there, filled, maker_price, qty - left)
-                            )
-                            left -= filled
-                            if there > filled:
-                                open_qty[maker] = there - filled
-                            else:
-                                del open_qty[maker]
-                    for entry in own:
-                        heapq.heappush(other, entry)
-                if left > 0:
-                    fav = price if side == LIMIT_SELL else -price
-                    heapq.heappush(books[side], (fav, seq if time_priority else 0, order, wallet, price))
-                    open_qty[order] = left
-            columns = zip(*found, strict=True) if found else [[] for _ in names]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(values, f.type) for values, f in zip(columns, schema, strict=True)], schema=schema
-            )
 
-    ordered = rows.repartition(*MARKET).sortWithinPartitions(*MARKET, "acts", "seq")
-    worked = ordered.mapInArrow(work, ddl)
+def _in_money(worked: DataFrame) -> DataFrame:
     return worked.select(
         "seq",
         "kind",
@@ -206,6 +313,34 @@ def _in_order(active: DataFrame, time_priority: bool) -> DataFrame:
     )
 
 
+def _in_order(active: DataFrame, time_priority: bool) -> DataFrame:
+    """Work through each market: its resting orders first, then what acts by ``seq``."""
+    first = (F.col("kind") != _RESTS).alias("acts")
+    rows = active.select(*MARKET, first, "seq", "kind", "id", "walletId", "orderType", _units("price"), _units("qty"))
+    (schema, ddl), books_type = _outcome_schema(), _books()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        market, books = None, None
+        for batch in batches:
+            found = []
+            for base, quote, _, seq, kind, order, wallet, side, price, qty in zip(
+                *(column.to_pylist() for column in batch.columns), strict=True
+            ):
+                if (base, quote) != market:
+                    market, books = (base, quote), books_type(time_priority)
+                if kind in (CANCEL, FILL):
+                    found.append(books.ended_row(seq, kind, order, base, quote, books.take_off(kind, order, qty)))
+                elif kind == SUBMIT:
+                    for trade in books.trade(seq, order, wallet, side, price, qty):
+                        found.append(books.match_row(seq, order, wallet, base, quote, side, price, qty, trade))
+                else:
+                    books.rest(seq, order, wallet, side, price, qty)
+            yield books_type.batch(found, schema)
+
+    ordered = rows.repartition(*MARKET).sortWithinPartitions(*MARKET, "acts", "seq")
+    return _in_money(ordered.mapInArrow(work, ddl))
+
+
 def _in_slices(active: DataFrame, time_priority: bool, with_commands: bool) -> DataFrame:
     """Work through hot markets slice by slice; see the module's description."""
     limit = max_group_rows(active)
@@ -236,7 +371,7 @@ def _in_slices(active: DataFrame, time_priority: bool, with_commands: bool) -> D
             matches = match_snapshot(takers, book, time_priority).join(
                 takers.select(F.col("id").alias("takerId"), "seq"), "takerId"
             )
-            outcome = matches.select("seq", F.lit(_MATCH).alias("kind"), *MATCH_COLUMNS)
+            outcome = matches.select("seq", F.lit(MATCHED).alias("kind"), *MATCH_COLUMNS)
             if with_commands:
                 outcome = outcome.unionByName(_in_order(alone.filter(~_is_taker()), time_priority))
         else:
