@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 import pytest
 from builders import D
 from test_settle import deposit, log
@@ -85,3 +86,51 @@ def test_bare_records(spark):
     good, dead = split_corrupt(decode_orders(raw))
     assert [(r.seq, r.event.order.status) for r in good.collect()] == [(1, "NEW")]
     assert {r.seq: r.value for r in dead.collect()} == {i: t for i, t in enumerate(texts) if i != 1}
+
+
+class _Entries:
+    """A map state that counts its calls."""
+
+    def __init__(self):
+        self.kept, self.reads, self.writes = {}, 0, 0
+
+    def getMapState(self, name, key, value):
+        return self
+
+    def getValue(self, key):
+        self.reads += 1
+        return self.kept.get(key)
+
+    def updateValue(self, key, value):
+        self.writes += 1
+        self.kept[key] = value
+
+
+def test_one_call_takes_many_balances_and_touches_each_once():
+    state, balances = _Entries(), stateful.Balances()
+    balances.init(state)
+    rows = [(f"w{i % 40}", "a", i, D(2) if i % 3 == 0 else None, D(-2) if i % 3 == 0 else D(1), D(0)) for i in range(400)]
+    got, want = [], {}
+    for part in (rows[:200], rows[200:]):
+        frames = [pd.DataFrame(half, columns=["walletId", "assetId", "seq", "asks", "more", "block"]) for half in (part[1::2], part[::2])]
+        got += [tuple(r) for f in balances.handleInputRows((0,), iter(frames), None) for r in f.itertuples(index=False)]
+    assert (state.reads, state.writes) == (80, 80)
+    for wallet, _, seq, asks, more, _ in rows:
+        held, count = want.get(wallet, (D(0), 0))
+        accepted = asks is None or asks <= held
+        want[wallet] = (held + more, count + 1) if accepted else (held, count)
+        (row,) = [r for r in got if r[2] == seq]
+        assert (row[0], row[3], row[5], row[7]) == (wallet, accepted, *want[wallet])
+
+
+def test_keys_share_calls(spark):
+    commands = spark.readStream.format("rate").load().selectExpr(
+        "cast(value as string) walletId", "'a' assetId", "value seq", "'CREDIT' operation", "1.0 amount", "0.0 amountRelease"
+    )
+    before = spark.conf.get(stateful.PROVIDER_CONF)
+    spark.conf.set(stateful.PROVIDER_CONF, stateful.ROCKSDB)
+    try:
+        plan = stateful.stateful_changes(commands)._jdf.queryExecution().analyzed().toString()
+    finally:
+        spark.conf.set(stateful.PROVIDER_CONF, before)
+    assert "pmod(xxhash64(walletId" in plan and str(stateful.BUCKETS) in plan
