@@ -13,9 +13,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """Deal rows to all cores. Few tasks read a compact table, but a row takes far longer to be made JSON and decoded than
+    to be read."""
+    spark = rows.sparkSession
+    return rows.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), key)
+
+
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders: even keys sell, odd keys buy; the market is the customer's nation and the order priority."""
-    o, c, n = (table(spark, sf_dir, name) for name in ("orders", "customer", "nation"))
+    return _orders(spark, sf_dir, table(spark, sf_dir, "orders"))
+
+
+def _orders(spark: SparkSession, sf_dir: str, o: DataFrame) -> DataFrame:
+    c, n = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
     key = F.col("o_orderkey")
     return (
         o.join(c, F.col("o_custkey") == F.col("c_custkey"))
@@ -41,9 +52,13 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def wallet_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wallet commands: one per event, on one of three assets named by the event's properties."""
+    return _wallet_commands(table(spark, sf_dir, "events"))
+
+
+def _wallet_commands(rows: DataFrame) -> DataFrame:
     amount = F.round(F.col("value") * 100).cast("bigint").cast(LEDGER)
     k = F.get_json_object("props", "$.k").cast("int")
-    return table(spark, sf_dir, "events").select(
+    return rows.select(
         F.col("event_id").alias("seq"),
         F.col("event_id").cast("string").alias("id"),
         F.concat(F.lit("cause_"), F.col("event_id")).alias("causeId"),
@@ -84,7 +99,7 @@ def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event log as JSON text, some of it unreadable: order commands on even positions, wallet commands on odd ones."""
-    o = orders(spark, sf_dir)
+    o = _orders(spark, sf_dir, spread(table(spark, sf_dir, "orders"), "o_orderkey"))
     key = F.col("seq")
     order = [
         "id",
@@ -148,7 +163,7 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     order_log = o.select((key * 2).alias("seq"), event_id.alias("key"), value.alias("value"))
 
-    w = wallet_commands(spark, sf_dir)
+    w = _wallet_commands(spread(table(spark, sf_dir, "events"), "event_id"))
     wallet_command = F.struct(
         "id",
         "causeId",
@@ -169,7 +184,7 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def wallet_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wallet commands as JSON events."""
-    w = wallet_commands(spark, sf_dir)
+    w = _wallet_commands(spread(table(spark, sf_dir, "events"), "event_id"))
     command = F.struct(
         "id",
         "causeId",
