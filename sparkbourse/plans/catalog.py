@@ -494,10 +494,10 @@ def settle_changes(spark: SparkSession, d: str) -> DataFrame:
 def settle_streamed(spark: SparkSession, d: str) -> DataFrame:
     """The clean log streamed through order processing in two micro-batches; all orders after it."""
     log, root = _scratch(spark, "clean-log"), _scratch(spark, "settled")
-    _write_parts(testviews.clean_log(spark, d).select(*events.LOG.fieldNames()), log, 2)
+    files = _write_parts(testviews.clean_log(spark, d).select(*events.LOG.fieldNames()), log, 2)
     store = StateStore(spark, f"{root}/state")
     store.seed(wallets=seed_wallets(testviews.clean_seeds(spark, d)))
-    records = events.read_events(spark, log, streaming=True, max_files=PART_FILES)
+    records = events.read_events(spark, log, streaming=True, max_files=files)
     run.run_orders(records, store, f"{root}/checkpoint").awaitTermination()
     return out(store.load("orders"), *_ORDER_ROW)
 
@@ -506,25 +506,27 @@ def _scratch(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-#: Files of one part of a log; as many make a micro-batch.
-PART_FILES = 4
+#: A micro-batch reads as many files as a part of a log has: at least so many, and one for every so many rows, so that
+#: a larger log is written and decoded by more tasks.
+PART_FILES, FILE_ROWS = 4, 100_000
 
 
-def _write_parts(log: DataFrame, path: str, parts: int) -> None:
-    """Write a log in ``parts``, of several files each, that follow each other in ``seq`` and in age."""
+def _write_parts(log: DataFrame, path: str, parts: int) -> int:
+    """Write a log in ``parts`` that follow each other in ``seq`` and in age; the number of files of each."""
     log = stage(log, "log")
-    low, high = log.agg(F.min("seq"), F.max("seq")).first()
-    step = (high - low) // parts + 1
+    low, high, rows = log.agg(F.min("seq"), F.max("seq"), F.count("*")).first()
+    step, files = (high - low) // parts + 1, max(PART_FILES, -(-rows // (parts * FILE_ROWS)))
     for start in range(low, high + 1, step):
-        log.filter(F.col("seq").between(start, start + step - 1)).repartition(PART_FILES).write.mode("append").parquet(path)
+        log.filter(F.col("seq").between(start, start + step - 1)).repartition(files).write.mode("append").parquet(path)
+    return files
 
 
 def stream_ledger(spark: SparkSession, d: str) -> DataFrame:
     """Wallet commands streamed in three micro-batches."""
     log, root = _scratch(spark, "wallet-log"), _scratch(spark, "ledger")
-    _write_parts(testviews.wallet_log(spark, d), log, 3)
+    files = _write_parts(testviews.wallet_log(spark, d), log, 3)
     store = run.fresh_start(spark, f"{root}/state")
-    records = events.read_events(spark, log, streaming=True, max_files=PART_FILES)
+    records = events.read_events(spark, log, streaming=True, max_files=files)
     run.run_ledger(records, store, f"{root}/checkpoint").awaitTermination()
     return out(store.load("wallets"), "walletId", "assetId", "amount", "blocked", "txCount")
 
@@ -532,8 +534,8 @@ def stream_ledger(spark: SparkSession, d: str) -> DataFrame:
 def stateful_ledger(spark: SparkSession, d: str) -> DataFrame:
     """Wallet commands streamed in three micro-batches through a stateful operator; the last change of each balance."""
     log, root = _scratch(spark, "wallet-log"), _scratch(spark, "stateful")
-    _write_parts(testviews.wallet_log(spark, d), log, 3)
-    records = events.read_events(spark, log, streaming=True, max_files=PART_FILES)
+    files = _write_parts(testviews.wallet_log(spark, d), log, 3)
+    records = events.read_events(spark, log, streaming=True, max_files=files)
     stateful.run_stateful_ledger(records, f"{root}/changes", f"{root}/checkpoint").awaitTermination()
     return out(stateful.balances(spark.read.schema(stateful.CHANGES).parquet(f"{root}/changes")))
 
@@ -541,11 +543,11 @@ def stateful_ledger(spark: SparkSession, d: str) -> DataFrame:
 def stream_settle(spark: SparkSession, d: str) -> DataFrame:
     """The whole log streamed through order processing in two micro-batches; all orders after it."""
     log, root = _scratch(spark, "order-log"), _scratch(spark, "orders")
-    _write_parts(testviews.raw_log(spark, d).select(*events.LOG.fieldNames()), log, 2)
+    files = _write_parts(testviews.raw_log(spark, d).select(*events.LOG.fieldNames()), log, 2)
     store = StateStore(spark, f"{root}/state")
     book = testviews.orders(spark, d).filter("status = 'PROCESSED'")
     store.seed(book, seed_wallets(testviews.wallet_seeds(spark, d)))
-    records = events.read_events(spark, log, streaming=True, max_files=PART_FILES)
+    records = events.read_events(spark, log, streaming=True, max_files=files)
     run.run_orders(records, store, f"{root}/checkpoint").awaitTermination()
     return out(store.load("orders"), "id", "walletId", "orderType", "price", "qty", "qtyFilled", "status")
 
@@ -554,9 +556,9 @@ def stream_order_changes(spark: SparkSession, d: str) -> DataFrame:
     """Updates of subscribed orders from a stream of changes."""
     log, root = _scratch(spark, "changes"), _scratch(spark, "feed")
     changes = testviews.order_changes(spark, d).select("id", "seq", "status")
-    _write_parts(changes, log, 2)
+    files = _write_parts(changes, log, 2)
     subscriptions = stage(_subscriptions(spark, d), "subscriptions")
-    arriving = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", PART_FILES).parquet(log)
+    arriving = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", files).parquet(log)
     feeds.subscribed_changes(
         arriving, lambda _: subscriptions, f"{root}/out", f"{root}/checkpoint"
     ).awaitTermination()

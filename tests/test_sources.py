@@ -8,8 +8,9 @@ from builders import D
 from test_settle import deposit, log
 
 from sparkbourse.operators import ledger
+from sparkbourse.plans import catalog
 from sparkbourse.plans.settle import deposits
-from sparkbourse.sources import events
+from sparkbourse.sources import events, testviews
 from sparkbourse.sources.codec import decode_commands, decode_events, decode_orders, encode_events, split_corrupt
 from sparkbourse.streaming import run, stateful
 
@@ -134,3 +135,19 @@ def test_keys_share_calls(spark):
     finally:
         spark.conf.set(stateful.PROVIDER_CONF, before)
     assert "pmod(xxhash64(walletId" in plan and str(stateful.BUCKETS) in plan
+
+
+def test_a_log_is_made_and_written_by_more_tasks_as_it_grows(spark, tmp_path, monkeypatch):
+    folder = "/root/testdata/sf0.001"
+    cores = spark.sparkContext.defaultParallelism
+    assert testviews.wallet_log(spark, folder).rdd.getNumPartitions() >= cores
+    assert testviews.raw_log(spark, folder).rdd.getNumPartitions() >= 2 * cores
+    monkeypatch.setattr(catalog, "FILE_ROWS", 20)
+    log_rows = spark.range(303).selectExpr("'k' key", "'v' value", "id seq")
+    path = str(tmp_path / "parts")
+    files = catalog._write_parts(log_rows, path, 3)
+    assert files == 6 and len(list((tmp_path / "parts").glob("*.parquet"))) == 18
+    read, firsts = events.read_events(spark, path, streaming=True, max_files=files), []
+    take = lambda batch, n: firsts.append(tuple(batch.selectExpr("min(seq)", "max(seq)", "count(*)").first()))
+    read.writeStream.foreachBatch(take).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    assert firsts == [(0, 100, 101), (101, 201, 101), (202, 302, 101)]
