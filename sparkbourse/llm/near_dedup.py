@@ -23,16 +23,20 @@ WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 4
 #: All members of a bucket of at most so many are compared with each other from the start.
 SMALL = 8
-#: In a larger one they are first compared with so many others of it, picked by as many hashes, in each round. One is enough
-#: for the copies of one text; a second round picks another, and only for what the first left apart.
+#: In a larger one they are first compared with so many others of it, picked by as many hashes: enough for the copies of one text.
 LEADERS = 1
 #: The estimate from 96 components must reach this before texts are fetched: five standard errors below the threshold.
 ESTIMATE = 0.6
-#: Rounds of picks, which join most of what belongs together; what they leave open is then decided exactly.
+#: Rounds of picks by shingle, which join most of what belongs together; what they leave open is then decided exactly.
 ROUNDS = 2
-#: Texts of crowded buckets are estimated again from so many bins of their shingles, before texts are fetched; here too the
-#: bound lies five standard errors below the threshold.
-BINS = 1024
+#: Sizes of sets are dealt to bins whose upper end is so many times the lower one.
+BIN = 1.05
+#: Shingles of a text leave their marks in so many bits. A mark that only one of two texts has is a shingle that only it has.
+BITS = 1024
+#: Texts of a shingle's largest class that its other texts meet in each round of picks by shingle.
+PICKS = 4
+#: Against rounding in bounds on sizes: far less than one shingle, so that only a superfluous pair can slip through.
+SLACK = 1e-6
 SIGNED = "doc_id long, t long, key binary, bands array<long>, planes array<long>"
 
 
@@ -132,27 +136,19 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     return roots.select("id", "root")
 
 
-def _picked(members: DataFrame, leaders: int, round_no: int, parts: int) -> DataFrame:
-    """``a, b, estimate`` of members of a bucket and its leaders, where roots differ and the estimate is high enough.
+def _picked(members: DataFrame, leaders: int, parts: int) -> DataFrame:
+    """``a, b, estimate`` of members of a bucket and its leaders, where the estimate is high enough.
 
-    Once there are classes, a class is in a bucket by a few of its members, others in each round: one link is enough to
-    join two classes, so a large class need not meet every stray text as a whole. Signatures travel with the members and
-    the leaders, so the join itself drops what is no candidate; a bucket's rows are never together.
+    Signatures travel with the members and the leaders, so the join itself drops what is no candidate; a bucket's rows are
+    never together.
     """
-    if round_no:
-        some = [F.min(F.struct(F.xxhash64("id", F.lit(-1 - round_no * leaders - j)).alias("o"), "id", "planes")).alias(f"m{j}") for j in range(leaders)]
-        chosen = members.groupBy("band", "bucket", "root").agg(*some)
-        ids = F.array_distinct(F.array(*[F.struct(f"m{j}.id", f"m{j}.planes") for j in range(leaders)]))
-        members = chosen.select("band", "bucket", "root", F.explode(ids).alias("m")).select("band", "bucket", "root", "m.id", "m.planes")
-    order = [F.struct(F.xxhash64("id", F.lit(round_no * leaders + j)).alias("o"), "id", "root", "planes") for j in range(leaders)]
-    picks = members.groupBy("band", "bucket").agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), *[F.min(o).alias(f"l{j}") for j, o in enumerate(order)]
-    )
-    ls = F.array_distinct(F.array(*[F.struct(f"l{j}.id", f"l{j}.root", f"l{j}.planes") for j in range(leaders)]))
-    picks = picks.filter("low <> high").select(F.col("band").alias("b2"), F.col("bucket").alias("k2"), F.explode(ls).alias("l"))
-    picks = picks.select("b2", "k2", F.col("l.id").alias("id2"), F.col("l.root").alias("root2"), F.col("l.planes").alias("planes2"))
+    order = [F.struct(F.xxhash64("id", F.lit(j)).alias("o"), "id", "planes") for j in range(leaders)]
+    picks = members.groupBy("band", "bucket").agg(*[F.min(o).alias(f"l{j}") for j, o in enumerate(order)])
+    ls = F.array_distinct(F.array(*[F.struct(f"l{j}.id", f"l{j}.planes") for j in range(leaders)]))
+    picks = picks.select(F.col("band").alias("b2"), F.col("bucket").alias("k2"), F.explode(ls).alias("l"))
+    picks = stage(picks.select("b2", "k2", F.col("l.id").alias("id2"), F.col("l.planes").alias("planes2")), "leaders")  # dealt again by the join
     differ = _differing_parts("planes", "planes2", parts)
-    pairs = members.join(picks, F.expr(f"band = b2 AND bucket = k2 AND root <> root2 AND {differ} <= {_most_differing(parts)}"))
+    pairs = members.join(picks, F.expr(f"band = b2 AND bucket = k2 AND id <> id2 AND {differ} <= {_most_differing(parts)}"))
     return pairs.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"), (F.lit(1.0) - F.expr(differ) / parts).alias("estimate")).distinct()
 
 
@@ -174,24 +170,20 @@ def _as_planes(values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1) * width, pa.int32()), flat)
 
 
-def bin_winners(hashes: np.ndarray, text: np.ndarray, texts: int, bins: int) -> np.ndarray:
-    """Shingles dealt to ``bins``: for each text and bin 7 bits of the least shingle and a top bit, 0 where a bin is empty."""
-    spread = mix(hashes ^ np.uint64(0xA0761D6478BD642F))
-    least = np.full(texts * bins, np.iinfo(np.uint64).max, np.uint64)
-    np.minimum.at(least, text * bins + (spread % np.uint64(bins)).astype(np.int64), mix(spread) >> np.uint64(1))
-    there = least != np.iinfo(np.uint64).max
-    return np.where(there, (least & np.uint64(127)) | np.uint64(128), np.uint64(0)).astype(np.uint8).reshape(texts, bins)
-
-
-def _binned(words: int, bins: int):
-    def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(words: int):
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for start, end in slices(whole.column("text")):
                 batch = whole.slice(start, end - start)
-                hashes, text = shingle_hashes(*word_hashes(batch.column("text")), words)
-                yield pa.record_batch([batch.column("id"), _as_planes(bin_winners(hashes, text, batch.num_rows, bins))], ["id", "fine"])
+                hashes, text, _ = distinct(*shingle_hashes(*word_hashes(batch.column("text")), words))
+                ends = np.searchsorted(text, np.arange(batch.num_rows + 1))
+                shingles = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(hashes.view(np.int64)))
+                marks = np.zeros((batch.num_rows, BITS), np.uint8)
+                marks[text, (mix(hashes) % np.uint64(BITS)).astype(np.int64)] = 1
+                bits = pa.FixedSizeListArray.from_arrays(pa.array(np.packbits(marks, axis=1).view(np.int64).ravel()), BITS // 64).cast(pa.list_(pa.int64()))
+                yield pa.record_batch([batch.column("id"), pa.array(np.diff(ends)), shingles, bits], ["id", "n", "shingles", "bits"])
 
-    return binned
+    return sets
 
 
 def _differing_parts(left: str, right: str, parts: int) -> str:
@@ -205,48 +197,93 @@ def _most_differing(parts: int) -> int:
     return int(parts * (1 - ESTIMATE) + 1e-9)
 
 
-def _enough_bins(left: str, right: str, bins: int, least: float) -> str:
-    """SQL: of the bins in which any of two texts has a shingle, at least that share has the same one in both.
+def _open_texts(large: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFrame:
+    """``id, text`` of the members of buckets that hold several roots; the others are done."""
+    placed = large.join(roots, "id")
+    ends = placed.groupBy("band", "bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    mixed = stage(ends.filter("low <> high").select(F.col("band").alias("b2"), F.col("bucket").alias("k2")), "mixed")  # dealt again by the join
+    ids = placed.join(mixed, (F.col("band") == F.col("b2")) & (F.col("bucket") == F.col("k2"))).select("id").distinct()
+    return texts.join(ids, "id")
+
+
+def _prefixes(texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """``id, n, bits, s, low, high``: of ``texts(id, text)`` the shingles that may be the first common one of two similar
+    texts, with the least and the most shingles that the other text may have.
 
-    Word by word in a lambda: as one expression it would be too much code for the JVM to compile.
+    All shingles are in one order, rare ones first. Two texts of n and m shingles are similar if they share at least
+    similarity / (1 + similarity) * (n + m). From their first common shingle on, at place p of one (from 0), they share at
+    most n - p, which bounds m from above; m is never less than similarity * n. Shingles of one text only can't be common:
+    they are counted, as the first ones, but neither sorted nor written.
     """
-    words = bins // 64
-    side = lambda name, p: f"{name}[{p * words} + w]"
-    other = " | ".join(f"({side(left, p)} ^ {side(right, p)})" for p in range(7))
-    top, top2 = side(left, 7), side(right, 7)
-    balance = f"10000L * bit_count({top} & {top2} & ~({other})) - {int(10_000 * least)}L * bit_count({top} | {top2})"
-    return f"aggregate(sequence(0, {words - 1}), 0L, (total, w) -> total + {balance}) >= 0"
-
-
-def _meeting(large: DataFrame, roots: DataFrame, firsts: DataFrame, texts: DataFrame, words: int, similarity: float, bands: int, rows: int) -> DataFrame:
-    """``a, b, estimate`` of all pairs of different roots that share a bucket and whose estimates are high enough.
-
-    Buckets whose members all have one root are done. In the others every member meets those that are not of the bucket's
-    largest root, so that a large class never meets itself. Both estimates, that from the signature and a closer one from
-    shingles dealt to bins, and the rule that a pair counts in the first band it shares only (a small bucket's pairs are
-    known already) are part of the join, as whole numbers and bits: what is no candidate is never written, and no bucket
-    and no number of partners limits what is compared. It is a plain join, whose large partitions Spark splits.
+    sets = stage(texts.mapInArrow(_sets(words), "id long, n long, shingles array<long>, bits array<long>"), "sets")
+    rows = sets.select("id", F.explode("shingles").alias("s"))
+    often = stage(rows.groupBy("s").agg(F.count("*").alias("f")).filter("f > 1"), "often")  # dealt again by the join
+    common = rows.join(often, "s").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("f", "s"))).alias("common"))
+    sized = common.join(sets.select("id", "n", "bits"), "id").withColumn("rare", F.col("n") - F.size("common"))
+    places = F.floor(F.col("n") * (1 - similarity) + SLACK) + 1 - F.col("rare")
+    first = sized.select("id", "n", "bits", "rare", F.posexplode(F.slice("common", F.lit(1), F.greatest(F.lit(0), places.cast("int")))).alias("p", "c"))
+    high = (F.col("n") - F.col("rare") - F.col("p")) * ((1 + similarity) / similarity) - F.col("n") + SLACK
+    prefixes = stage(first.select("id", "n", "bits", "c.s", (F.col("n") * similarity - SLACK).alias("low"), high.alias("high")), "prefixes")
+    release(sets, often)
+    return prefixes
+
+
+def _majors(placed: DataFrame, round_no: int = 0) -> DataFrame:
+    """``s, major, picks``: for each shingle of several roots the root that most of its texts have, and some of that root's texts."""
+    picks = [F.min(F.struct(F.xxhash64("id", "s", F.lit(round_no * PICKS + j)).alias("o"), "id", "n", "bits", "low", "high")) for j in range(PICKS)]
+    of_root = placed.groupBy("s", "root").agg(F.count("*").alias("rows"), F.array(*picks).alias("picks"))
+    top = of_root.groupBy("s").agg(F.max_by(F.struct("root", "picks"), F.struct("rows", "root")).alias("top"), F.count("*").alias("roots"))
+    return stage(top.filter("roots > 1").select("s", F.col("top.root").alias("major"), "top.picks"), "majors")  # dealt again by joins
+
+
+def _most_shared(similarity: float) -> tuple[str, str]:
+    """SQL on rows of two texts that share a shingle: whether they may be similar, and how similar at most.
+
+    Exact bounds: the sizes that the shingle's place allows, and what of each text the other has no mark of.
     """
-    parts, most = bands * rows, _most_differing(bands * rows)
-    placed = large.join(roots, "id")
-    sizes = placed.groupBy("band", "bucket", "root").agg(F.count("*").alias("rows"))
-    mixed = sizes.groupBy("band", "bucket").agg(F.max_by("root", F.struct("rows", "root")).alias("major"), F.count("*").alias("roots"))
-    mixed = mixed.filter("roots > 1").select(F.col("band").alias("b2"), F.col("bucket").alias("k2"), "major")
-    open_rows = stage(placed.join(mixed, (F.col("band") == F.col("b2")) & (F.col("bucket") == F.col("k2"))).drop("b2", "k2"), "open")
-    ids = open_rows.select("id").distinct()
-    signatures = firsts.select("id", "planes", "bands").join(ids, "id", "left_semi")
-    fine = texts.join(ids, "id", "left_semi").mapInArrow(_binned(words, BINS), "id long, fine array<long>")
-    left = stage(open_rows.join(signatures, "id").join(fine, "id"), "open-signed")
-    columns = ("band", "bucket", "id", "root", "planes", "bands", "fine")
-    right = left.filter("root <> major").select(*[F.col(c).alias(f"{c}2") for c in columns])
-    differ, enough = _differing_parts("planes", "planes2", parts), _enough_bins("fine", "fine2", BINS, similarity - 5 * (similarity * (1 - similarity) / BINS) ** 0.5)
-    first = "array_position(zip_with(bands, bands2, (x, y) -> x = y), true) = band + 1"
-    met = F.expr(
-        f"band = band2 AND bucket = bucket2 AND root <> root2 AND (root = major OR id < id2) AND {differ} <= {most} AND {first} AND {enough}"
-    )
-    estimate = (F.lit(1.0) - F.expr(differ) / parts).alias("estimate")
-    pairs = stage(left.join(right, met).select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"), estimate), "meeting")
-    release(open_rows, left)
+    only = lambda x, y: f"aggregate(zip_with({x}, {y}, (x, y) -> bit_count(x & ~y)), 0, (total, x) -> total + x)"
+    shared = f"least(n - {only('bits', 'bits2')}, n2 - {only('bits2', 'bits')})"
+    enough = f"{shared} * {1 + similarity} + {SLACK} >= {similarity} * (n + n2)"
+    return f"n BETWEEN low2 AND high2 AND n2 BETWEEN low AND high AND {enough}", f"{shared} / (n + n2 - {shared})"
+
+
+def _with_major(prefixes: DataFrame, roots: DataFrame, similarity: float, round_no: int) -> DataFrame:
+    """``a, b, estimate``: each text with a few of the largest root for each of its shingles, if they may be similar.
+
+    As the picks differ from shingle to shingle, a text has many chances to meet one of its class that it is similar to,
+    at no more pairs than a few for each of its shingles.
+    """
+    placed = prefixes.join(roots, "id")
+    picks = _majors(placed, round_no).select(F.col("s").alias("s2"), "major", F.explode(F.array_distinct("picks")).alias("l"))
+    picks = picks.select("s2", "major", *[F.col(f"l.{c}").alias(f"{c}2") for c in ("id", "n", "bits", "low", "high")])
+    may, most = _most_shared(similarity)
+    met = placed.join(picks, F.expr(f"s = s2 AND root <> major AND {may}"))
+    return met.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"), F.expr(most).alias("estimate")).distinct()
+
+
+def _size_bin(size: Column) -> Column:
+    return F.floor(F.log(size) / float(np.log(BIN))).cast("int")
+
+
+def _meeting(prefixes: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """``a, b, estimate`` of pairs of different roots, among them all similar ones of the texts that ``prefixes`` are of.
+
+    Texts are joined by the shingles that may be their first common one, and by size, as far as the places of the shingle
+    and the marks of both leave room for enough common ones. No similar pair fails that, so none is lost. Texts with a
+    common passage meet by their own shingles first, and by those of the passage only if it is large enough to make them
+    similar: what is just under the threshold makes no pair. Of the texts that a shingle brings together, those of the
+    root that has most of them do not meet each other. These are plain joins of written tables, whose large partitions
+    Spark splits.
+    """
+    placed = prefixes.join(roots, "id")
+    entries = stage(placed.join(_majors(placed).drop("picks"), "s"), "entries")
+    left = entries.withColumn("bin", _size_bin(F.col("n")))
+    right = entries.filter("root <> major").withColumn("bin", F.explode(F.sequence(_size_bin(F.col("low")), _size_bin(F.col("high")))))
+    right = right.select(*[F.col(c).alias(f"{c}2") for c in ("s", "bin", "id", "root", "n", "bits", "low", "high")])
+    may, most = _most_shared(similarity)
+    met = left.join(right, F.expr(f"s = s2 AND bin = bin2 AND root <> root2 AND (root = major OR id < id2) AND {may}"))
+    pairs = stage(met.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"), F.expr(most).alias("estimate")).distinct(), "meeting")
+    release(entries)
     return pairs
 
 
@@ -266,15 +303,6 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: float)
     return stage(compared.filter(F.col("similarity") >= similarity).select("a", "b"), "verified")
 
 
-def _nearer(roots: DataFrame, links: DataFrame) -> DataFrame:
-    """Roots after two more steps along ``links``; enough to see which texts hang together already."""
-    both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    near = both.join(roots.withColumnsRenamed({"id": "b"}), "b").groupBy(F.col("a").alias("id")).agg(F.min("root").alias("near"))
-    lower = roots.join(near, "id", "left").select("id", F.least("root", "near").alias("root"))
-    beyond = lower.select(F.col("id").alias("root"), F.col("root").alias("far"))
-    return stage(lower.join(beyond, "root").select("id", F.least("root", "far").alias("root")), "near-roots")
-
-
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     """Those of ``pairs(a, b, ..)`` whose roots differ, with both roots as ``ra`` and ``rb``."""
     ends = pairs.join(roots.withColumnsRenamed({"id": "a", "root": "ra"}), "a").join(roots.withColumnsRenamed({"id": "b", "root": "rb"}), "b")
@@ -307,9 +335,10 @@ def classes(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
     the hash of the text. Null ids are allowed; a class without any id has a null class id. No rows give no rows.
 
     Texts that share a band are candidates, all of them. The members of a small bucket are all compared. In a larger one
-    they first meet a leader, in rounds in which every text is compared with its likeliest partner; then, in all buckets
-    that still hold several classes, every member is compared with those of other classes, and so are all pairs that the
-    rounds left over. Rounds only save work: they decide no pair but those they compare.
+    they first meet a leader, and every text is compared with its likeliest partner. The members of all buckets that then
+    still hold several classes are joined by rare shingles, first with picks in rounds, then with all of other classes,
+    which finds all similar pairs. What rounds left over is compared too: they only save work, and decide no pair but
+    those they compare.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -325,13 +354,10 @@ def classes(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
     signed_large = stage(large.join(planes, "id"), "large")
     alone = members.select("id").distinct().select("id", F.col("id").alias("root"))
     texts = _texts(alone.select("id"), firsts, docs)
-    links, tried = [], []
-
-    def united(tables: list[DataFrame]) -> DataFrame:
-        return reduce(DataFrame.union, tables)
+    tried = []
 
     def untried(pairs: DataFrame) -> DataFrame:
-        return pairs.join(united(tried), ["a", "b"], "left_anti") if tried else pairs
+        return pairs.join(reduce(DataFrame.union, tried), ["a", "b"], "left_anti")
 
     def guessed(pairs: DataFrame) -> DataFrame:
         """Pairs with their estimate, as far as it is high enough."""
@@ -345,30 +371,24 @@ def classes(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
         tried.append(pairs)
         return _verified(pairs, texts, words, similarity)
 
-    roots, left_over = stage(alone, "near-roots"), None
+    todo = _picked(signed_large, leaders, bands * rows).union(guessed(_all_pairs(members.filter(F.col("size") <= SMALL))))
+    first = stage(todo.distinct(), "pairs")
+    roots = _settled(stage(alone, "near-roots"), compare(_likeliest(first)))
+    left_over = untried(first)
+    prefixes = _prefixes(_open_texts(large, roots, texts), words, similarity)
     for round_no in range(ROUNDS):
-        todo = untried(_picked(signed_large.join(roots, "id"), leaders, round_no, bands * rows)).select("a", "b", "estimate")
-        if left_over is None:
-            todo = todo.union(guessed(_all_pairs(members.filter(F.col("size") <= SMALL))))
-        else:
-            todo = todo.union(_apart(left_over, roots).select("a", "b", "estimate"))
-        todo = stage(todo.distinct(), "pairs")
-        found = compare(_likeliest(todo))
-        left_over = untried(todo)
+        found = compare(_likeliest(untried(_with_major(prefixes, roots, similarity, round_no))))
         if found.isEmpty():
             break
-        links.append(found)
-        roots = _nearer(roots, united(links))
+        roots = _settled(roots, found)
+    open_pairs = untried(_meeting(prefixes, roots, similarity))
     release(signed_large)
-    if links:
-        roots = _settled(roots, united(links))
-    open_pairs = untried(_meeting(large, roots, firsts, texts, words, similarity, bands, rows))
     todo = stage(open_pairs.union(_apart(left_over, roots).select("a", "b", "estimate")).distinct(), "pairs")
     if not todo.isEmpty():
         # The likeliest partner of each text first: what then hangs together needs no comparison any more.
         roots = _settled(roots, compare(_likeliest(todo)))
         roots = _settled(roots, compare(_apart(untried(todo), roots).select("a", "b")))
-    release(texts, todo, members)
+    release(texts, first, todo, members, prefixes)
     with_id = signed.select("doc_id", "t", "key").join(firsts.select("key", "id"), "key")
     with_root = stage(with_id.join(roots, "id", "left").select("doc_id", "t", F.coalesce("root", "id").alias("root")), "rooted")
     named = with_root.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"), F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("o"), "doc_id", "t")).alias("kept"))

@@ -189,3 +189,47 @@ def test_links_through_one_member_of_a_large_class(spark):
     assert len(set(want)) < 10
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {r.doc_id: r.class_id for r in near_dedup.classes(frame).collect()} == dict(enumerate(want))
+
+
+def test_pairs_of_a_crowd_grow_with_the_texts(spark, monkeypatch):
+    """A common passage just too short to make texts similar: few pairs are candidates, and no similar one is missed."""
+    made_pairs, plain = {}, near_dedup.stage
+
+    def staged(df, label):
+        done = plain(df, label)
+        if label == "meeting":
+            made_pairs[len(texts)] = done.count()
+        return done
+
+    monkeypatch.setattr(near_dedup, "stage", staged)
+    for n in (100, 400):
+        passage, texts = [f"p{i}" for i in range(104)], []
+        for i in range(n):
+            own = [f"o{i}x{j}" for j in range(13)]
+            texts.append(" ".join(passage + own))
+            if i < 20:
+                texts.append(" ".join(passage + own[:5] + [f"q{i}x{j}" for j in range(8)]))
+        want = brute(texts)
+        assert len(set(want)) == n
+        frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        assert {r.doc_id: r.class_id for r in near_dedup.classes(frame).collect()} == dict(enumerate(want))
+    assert all(pairs <= 10 * texts for texts, pairs in made_pairs.items()) and len(made_pairs) == 2
+
+
+def test_bounds_of_pairs_lose_no_similar_one(spark):
+    """Of texts in which anything may be common, the join by shingles finds all pairs that all pairs give."""
+    rng, texts = random.Random(11), []
+    base = [f"b{i}" for i in range(150)]
+    for i in range(120):
+        copy = base[: rng.randint(100, 150)]
+        for _ in range(rng.randint(0, 4)):
+            copy[rng.randrange(len(copy))] = f"c{rng.randrange(40)}"
+        texts.append(" ".join(copy))
+    texts += ["a b c d", "a b c", "lone words here and there again"]
+    sets = [shingles(t) for t in texts]
+    want = {(i, j) for j in range(len(texts)) for i in range(j) if sets[i] != sets[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    frame = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    roots = frame.select("id", frame.id.alias("root"))
+    met = {(r.a, r.b): r.estimate for r in near_dedup._meeting(near_dedup._prefixes(frame, 5, 0.8), roots, 0.8).collect()}
+    assert want and want <= set(met)
+    assert all(e >= len(sets[a] & sets[b]) / len(sets[a] | sets[b]) - 1e-9 for (a, b), e in met.items())
