@@ -63,33 +63,36 @@ def decide(commands: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
     ``(walletId, assetId, seq)`` must be unique.
     """
     columns = commands.columns
-    funds = _zero()
-    rows = commands
-    if ledger is not None:
-        before = ledger.select(*KEY, (F.col("amount") - F.col("blocked")).cast(LEDGER).alias("_before"))
-        rows, funds = rows.join(before, KEY, "left"), F.coalesce("_before", _zero())
-    rows = rows.withColumns(
+    rows = commands.withColumns(
         {
-            "_funds": funds.cast(LEDGER),
             "_asks": F.when(needs_funds(), F.col("amount").cast(LEDGER)),
             "_effect": (amount_effect() - blocked_effect()).cast(LEDGER),
         }
-    ).select(*columns, "_funds", "_asks", "_effect")
+    ).select(*columns, "_asks", "_effect")
+    before = None
+    if ledger is not None:
+        free = (F.col("amount") - F.col("blocked")).cast(LEDGER)
+        before = ledger.filter(" and ".join(f"{c} is not null" for c in KEY)).select(*KEY, free.alias("_funds"))
 
     if not has_hot_key(commands, KEY):
-        return _read_through(rows, columns)
+        return _read_through(rows, columns, before)
     rows = stage(rows, "commands")
     # There are at most (all rows / limit) hot keys.
     hot_keys = F.broadcast(rows.groupBy(*KEY).count().filter(F.col("count") > max_group_rows(rows)).select(*KEY))
-    ordinary = _read_through(rows.join(hot_keys, KEY, "left_anti"), columns)
-    return ordinary.unionByName(_decide_in_slices(rows.join(hot_keys, KEY, "left_semi"), columns))
+    ordinary = _read_through(rows.join(hot_keys, KEY, "left_anti"), columns, before)
+    hot = rows.join(hot_keys, KEY, "left_semi")
+    hot = hot.withColumn("_funds", _zero()) if before is None else hot.join(before, KEY, "left").withColumn("_funds", F.coalesce("_funds", _zero()))
+    return ordinary.unionByName(_decide_in_slices(hot, columns))
 
 
 _EXACT = decimal.Context(prec=76)
 
 
-def _read_through(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """Decide every command of each key in one pass over the sorted partition; memory does not grow with the key."""
+def _read_through(rows: DataFrame, columns: list[str], before: DataFrame | None) -> DataFrame:
+    """Decide every command of each key in one pass over the sorted partition; memory does not grow with the key.
+
+    The funds ``before`` come as a row ahead of the commands, so that only one shuffle is needed.
+    """
     schema = T.StructType(
         [
             *rows.select(*columns).schema.fields,
@@ -97,30 +100,37 @@ def _read_through(rows: DataFrame, columns: list[str]) -> DataFrame:
             T.StructField("availableFunds", LEDGER),
         ]
     )
+    none = decimal.Decimal(0)
 
     def decide_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, funds = None, None
+        key, funds = None, none
         for batch in batches:
             accepted, shown = [], []
             for wallet, asset, start, asks, effect in zip(
                 *(batch.column(c).to_pylist() for c in (*KEY, "_funds", "_asks", "_effect")), strict=True
             ):
                 if (wallet, asset) != key:
-                    key, funds = (wallet, asset), start
-                if asks is not None and funds < asks:
+                    key, funds = (wallet, asset), none
+                if effect is None:
+                    funds = funds if start is None else _EXACT.add(funds, start)
+                elif asks is not None and funds < asks:
                     accepted.append(False)
                     shown.append(funds)
                 else:
                     accepted.append(True)
                     shown.append(None)
                     funds = _EXACT.add(funds, effect)
+            batch = batch.filter(batch.column("_effect").is_valid())
             arrays = [batch.column(c) for c in columns]
             yield pa.RecordBatch.from_arrays(
                 [*arrays, pa.array(accepted, pa.bool_()), pa.array(shown, pa.decimal128(36, 16))],
                 names=[*columns, "accepted", "availableFunds"],
             )
 
-    ordered = rows.repartition(*KEY).sortWithinPartitions(*KEY, "seq")
+    rows = rows.withColumns({"_effect": F.coalesce("_effect", _zero()), "_funds": F.lit(None).cast(LEDGER)})
+    if before is not None:
+        rows = rows.unionByName(before, allowMissingColumns=True)
+    ordered = rows.repartition(*KEY).sortWithinPartitions(*KEY, F.col("_effect").isNotNull(), "seq")
     return ordered.mapInArrow(decide_batches, schema)
 
 
@@ -277,6 +287,28 @@ def apply_effects(ledger: DataFrame | None, *changes: DataFrame) -> DataFrame:
     )
 
 
+def after_moves(ledger: DataFrame, decided: DataFrame) -> DataFrame:
+    """Ledger rows of the keys that decided commands are about, after them; rejected ones make the wallet known."""
+    ok, columns = F.col("accepted"), [*KEY, "amount", "blocked", "txCount", "held"]
+    changes = decided.select(
+        *KEY,
+        F.when(ok, amount_effect()).otherwise(_zero()).alias("amount"),
+        F.when(ok, blocked_effect()).otherwise(_zero()).alias("blocked"),
+        ok.cast("long").alias("txCount"),
+        ok.alias("held"),
+        F.lit(True).alias("_named"),
+    )
+    rows = changes.unionByName(ledger.select(*columns, F.lit(False).alias("_named")))
+    total = rows.groupBy(*KEY).agg(
+        F.sum("amount").cast(LEDGER).alias("amount"),
+        F.sum("blocked").cast(LEDGER).alias("blocked"),
+        F.sum("txCount").alias("txCount"),
+        F.max("held").alias("held"),
+        F.max("_named").alias("_named"),
+    )
+    return total.filter("_named").drop("_named")
+
+
 def fold(commands: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
     """Ledger after all commands."""
     return apply_effects(ledger, effects(decide(commands, ledger)))

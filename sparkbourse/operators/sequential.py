@@ -75,28 +75,30 @@ def settle_through(
 ) -> DataFrame:
     """Like ``work_through``, and each taker acts only if its wallet has the funds for it at that moment.
 
-    ``funds`` has ``walletId, assetId, seq, asks, effect`` for each market that has to know: balances to start from, without
-    ``seq``, and changes from outside the market; one with ``asks`` takes effect only if as much is available. What the
-    market itself does to funds is kept account of here. The result also has a row of kind FUNDED for each taker that acted.
+    All rows have the number of the ``team`` of markets that are worked through together, with the funds they share.
+    ``funds`` has ``walletId, assetId, seq, asks, effect`` for each team that has to know: balances to start from, without
+    ``seq``, and changes from outside the team; one with ``asks`` takes effect only if as much is available. What the
+    team itself does to funds is kept account of here. The result also has a row of kind FUNDED for each taker that acted.
     ``commands`` bring what they do to funds along: ``walletId, orderType, price`` of the order, for fills ``copyBase``,
-    ``copyQuote`` and ``fillPrice`` too. One task works through a market; its memory holds open orders and funds.
+    ``copyQuote`` and ``fillPrice`` too. One task works through a team; its memory holds open orders and funds.
     """
     parts = [
-        takers.select(F.lit(SUBMIT).alias("kind"), *RESTING),
-        resting.select(F.lit(_RESTS).alias("kind"), *RESTING),
-        commands.select("kind", *RESTING, "copyBase", "copyQuote", "fillPrice"),
-        funds.select(F.lit(_FUNDS).alias("kind"), *MARKET, "walletId", F.col("assetId").alias("copyBase"), "seq", "asks", "effect"),
+        takers.select("team", F.lit(SUBMIT).alias("kind"), *RESTING),
+        resting.select("team", F.lit(_RESTS).alias("kind"), *RESTING),
+        commands.select("team", "kind", *RESTING, "copyBase", "copyQuote", "fillPrice"),
+        funds.select("team", F.lit(_FUNDS).alias("kind"), "walletId", F.col("assetId").alias("copyBase"), "seq", "asks", "effect"),
     ]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     acts = (F.col("kind") != _RESTS) & F.col("seq").isNotNull()
     units = [_units(c) for c in ("price", "qty", "fillPrice")]
-    rows = rows.select(*MARKET, acts.alias("acts"), "seq", "kind", "id", "walletId", "orderType", *units, "copyBase", "copyQuote", "asks", "effect")
+    columns = ["team", *MARKET, "seq", "kind", "id", "walletId", "orderType", "price", "qty", "fillPrice", "copyBase", "copyQuote", "asks", "effect"]
+    rows = rows.withColumn("acts", acts).select("acts", *[c for c in columns if c not in ("price", "qty", "fillPrice")], *units)
     (schema, ddl), books_type = _outcome_schema(), _books()
     # Funds are whole numbers of the ledger's last digit, which is that of a price times a quantity.
     one, ledger_scale = 10**MONEY.scale, LEDGER.scale
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        market, books, held = None, None, {}
+        team, markets, held = None, {}, {}
 
         def whole(amount: decimal.Decimal) -> int:
             return int(amount.scaleb(ledger_scale, _EXACT))
@@ -106,11 +108,18 @@ def settle_through(
 
         for batch in batches:
             found = []
-            for base, quote, _, seq, kind, order, wallet, side, price, qty, fill_price, copy_base, copy_quote, asks, effect in zip(
+            for of_team, base, quote, seq, kind, order, wallet, side, price, qty, fill_price, copy_base, copy_quote, asks, effect in zip(
                 *(column.to_pylist() for column in batch.columns), strict=True
             ):
-                if (base, quote) != market:
-                    market, books, held = (base, quote), books_type(time_priority), {}
+                if of_team != team:
+                    team, markets, held = of_team, {}, {}
+                if kind == _FUNDS:
+                    if asks is None or held.get((wallet, copy_base), 0) >= whole(asks):
+                        add(wallet, copy_base, whole(effect))
+                    continue
+                books = markets.get((base, quote))
+                if books is None:
+                    books = markets[base, quote] = books_type(time_priority)
                 buys = side == LIMIT_BUY
                 if kind == SUBMIT:
                     key, ask = ((wallet, base), price * qty) if buys else ((wallet, quote), qty * one)
@@ -131,9 +140,6 @@ def settle_through(
                             add(buyer, base, filled * (price - at))
                 elif kind == _RESTS:
                     books.rest(seq, order, wallet, side, price, qty)
-                elif kind == _FUNDS:
-                    if asks is None or held.get((wallet, copy_base), 0) >= whole(asks):
-                        add(wallet, copy_base, whole(effect))
                 else:
                     there, taken = books.take_off(kind, order, qty)
                     found.append(books.ended_row(seq, kind, order, base, quote, (there, taken)))
@@ -148,7 +154,7 @@ def settle_through(
                         add(wallet, copy_base, qty * fill_price)
             yield books_type.batch(found, schema)
 
-    ordered = rows.repartition(*MARKET).sortWithinPartitions(*MARKET, "acts", "seq")
+    ordered = rows.repartition("team").sortWithinPartitions("team", "acts", "seq").select(*columns)
     return _in_money(ordered.mapInArrow(work, ddl))
 
 

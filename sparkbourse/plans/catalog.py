@@ -15,7 +15,7 @@ from sparkbourse.functions import wallets
 from sparkbourse.operators import ledger, lifecycle, matching, route, sequential
 from sparkbourse.plans import oracles, queries, settle
 from sparkbourse.schemas import MONEY, ORDER_STATE
-from sparkbourse.session import scratch_dir, stage
+from sparkbourse.session import COMPRESSION, scratch_dir, stage
 from sparkbourse.sources import codec, events, tables, testviews
 from sparkbourse.sources.state import StateStore, seed_wallets, upsert
 from sparkbourse.streaming import feeds, run, stateful
@@ -451,14 +451,14 @@ def match_sequential_by_age(spark: SparkSession, d: str) -> DataFrame:
 def settle_batch(spark: SparkSession, d: str) -> DataFrame:
     """The whole log as one batch against the open orders; the changed orders."""
     book = testviews.orders(spark, d).filter("status = 'PROCESSED'")
-    log = codec.split_corrupt(stage(_decoded(spark, d), "decoded"))[0]
+    log = codec.split_corrupt(stage(codec.only_needed(_decoded(spark, d)), "decoded"))[0]
     settled = settle.settle_batch(log, book, seed_wallets(testviews.wallet_seeds(spark, d)))
     return out(settled.order_delta, "id", "walletId", "orderType", "price", "qty", "qtyFilled", "status", "is_delete")
 
 
 def _settled_clean(spark: SparkSession, d: str) -> settle.Settled:
     """The clean log as one batch on an empty book."""
-    log = codec.split_corrupt(stage(codec.decode_events(testviews.clean_log(spark, d)), "decoded"))[0]
+    log = codec.split_corrupt(stage(codec.only_needed(codec.decode_events(testviews.clean_log(spark, d))), "decoded"))[0]
     book = spark.createDataFrame([], ORDER_STATE)
     return settle.settle_batch(log, book, seed_wallets(testviews.clean_seeds(spark, d)))
 
@@ -494,7 +494,7 @@ def settle_changes(spark: SparkSession, d: str) -> DataFrame:
 def settle_streamed(spark: SparkSession, d: str) -> DataFrame:
     """The clean log streamed through order processing in two micro-batches; all orders after it."""
     log, root = _scratch(spark, "clean-log"), _scratch(spark, "settled")
-    files = _write_parts(testviews.clean_log(spark, d).select(*events.LOG.fieldNames()), log, 2)
+    files = _write_parts(stage(testviews.clean_log(spark, d).select(*events.LOG.fieldNames()), "log"), log, 2)
     store = StateStore(spark, f"{root}/state")
     store.seed(wallets=seed_wallets(testviews.clean_seeds(spark, d)))
     records = events.read_events(spark, log, streaming=True, max_files=files)
@@ -513,11 +513,10 @@ PART_FILES, FILE_ROWS = 4, 100_000
 
 def _write_parts(log: DataFrame, path: str, parts: int) -> int:
     """Write a log in ``parts`` that follow each other in ``seq`` and in age; the number of files of each."""
-    log = stage(log, "log")
     low, high, rows = log.agg(F.min("seq"), F.max("seq"), F.count("*")).first()
     step, files = (high - low) // parts + 1, max(PART_FILES, -(-rows // (parts * FILE_ROWS)))
     for start in range(low, high + 1, step):
-        log.filter(F.col("seq").between(start, start + step - 1)).repartition(files).write.mode("append").parquet(path)
+        log.filter(F.col("seq").between(start, start + step - 1)).repartition(files).write.mode("append").parquet(path, compression=COMPRESSION)
     return files
 
 

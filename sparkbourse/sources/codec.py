@@ -123,6 +123,11 @@ def split_corrupt(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, decoded.filter("reason is not null").select("seq", "value", "reason")
 
 
+def only_needed(decoded: DataFrame) -> DataFrame:
+    """Decoded records to be written out: of usable ones the event tells all, of the others the text is read."""
+    return decoded.select("seq", F.when(F.col("reason").isNotNull(), F.col("value")).alias("value"), "event", "reason")
+
+
 def encode_events(events: DataFrame) -> DataFrame:
     """JSON text of events; numbers go out with all their digits and absent parts are left out."""
     return events.withColumn("value", F.to_json("event")).drop("event")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkbourse.schemas import LEDGER, ORDER_STATE, WALLET_STATE
+from sparkbourse.session import COMPRESSION
 from sparkbourse.sources.tables import last_changes
 
 VERSION = "version"
@@ -114,21 +115,27 @@ class StateStore:
         self._mark(0, None)
 
     def _snapshot(self, table: str, rows: DataFrame, version: int) -> None:
-        rows.write.mode("overwrite").parquet(self._path(f"{table}/snapshot", version))
+        rows.write.mode("overwrite").parquet(self._path(f"{table}/snapshot", version), compression=COMPRESSION)
         self._write_file(f"{table}/snapshot/{VERSION}={version}/_complete", "")
 
+    def append(self, name: str, version: int, rows: DataFrame) -> DataFrame:
+        """Write what a version adds to a feed, seen by nobody until it is committed, and read it back."""
+        path = self._path(name, version)
+        rows.write.mode("overwrite").parquet(path, compression=COMPRESSION)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
     def commit(
         self, version: int, deltas: Mapping[str, DataFrame], feeds: Mapping[str, DataFrame], inputs: DataFrame | None = None
     ) -> None:
         """Make a batch's changes visible, all of them or none, with the positions ``inputs(seq)`` that it covers."""
         for table, rows in deltas.items():
             columns = [*TABLES[table][0].fieldNames(), "is_delete"]
-            rows.select(*columns).write.mode("overwrite").parquet(self._path(f"{table}/delta", version))
+            rows.select(*columns).write.mode("overwrite").parquet(self._path(f"{table}/delta", version), compression=COMPRESSION)
         for name, rows in feeds.items():
-            rows.write.mode("overwrite").parquet(self._path(name, version))
+            self.append(name, version, rows)
         covered = None
         if inputs is not None:
-            inputs.select("seq").write.mode("overwrite").parquet(self._path("inputs", version))
+            inputs.select("seq").write.mode("overwrite").parquet(self._path("inputs", version), compression=COMPRESSION)
             written = self.spark.read.schema("seq long").parquet(self._path("inputs", version))
             covered = list(written.agg(F.min("seq"), F.max("seq")).first())
         self._mark(version, covered)

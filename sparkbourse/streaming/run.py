@@ -18,7 +18,7 @@ from sparkbourse.operators import ledger
 from sparkbourse.plans.settle import FUNDING, commit_batch, deposits, wallet_changes
 from sparkbourse.schemas import MONEY
 from sparkbourse.session import stage, temporary
-from sparkbourse.sources.codec import decode_events, split_corrupt
+from sparkbourse.sources.codec import decode_events, only_needed, split_corrupt
 from sparkbourse.sources.events import LOG
 from sparkbourse.sources.state import StateStore
 
@@ -63,7 +63,7 @@ def run_ledger(records: DataFrame, store: StateStore, checkpoint: str, available
 
 def commit_wallet_commands(store: StateStore, raw: DataFrame, version: int) -> None:
     with temporary():
-        good, dead = split_corrupt(stage(decode_events(raw.select(*LOG.fieldNames())), "decoded"))
+        good, dead = split_corrupt(stage(only_needed(decode_events(raw.select(*LOG.fieldNames()))), "decoded"))
         wallets = store.load("wallets", version - 1)
         moves = deposits(good).withColumns({"phase": F.lit(FUNDING), "nth": F.lit(0).cast(MONEY)})
         decided = stage(ledger.decide(moves, wallets), "decided")

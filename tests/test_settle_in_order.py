@@ -211,3 +211,83 @@ def test_earnings_within_a_market_need_no_further_turn(spark, monkeypatch):
     settled = settle.settle_batch(good, spark.createDataFrame([], ORDER_STATE), seed_wallets(start))
     assert len(passes) == 1
     assert sorted(r.seq for r in settled.matches.collect()) == [1, 3, 5]
+
+
+def settled_of(spark, events, start):
+    from sparkbourse.plans import settle
+    from sparkbourse.schemas import ORDER_STATE
+    from sparkbourse.sources.codec import split_corrupt
+    from sparkbourse.sources.state import seed_wallets
+    from test_settle import BALANCES
+
+    good = split_corrupt(decode_events(log(spark, events)))[0]
+    return settle.settle_batch(good, spark.createDataFrame([], ORDER_STATE), seed_wallets(spark.createDataFrame(start, BALANCES)))
+
+
+def test_markets_that_share_funds_are_worked_through_together(spark, monkeypatch):
+    from sparkbourse.operators import ledger
+    from sparkbourse.plans import settle
+
+    passes, decisions = [], []
+    through, decide = settle.settle_through, ledger.decide
+    monkeypatch.setattr(settle, "settle_through", lambda *args: passes.append(1) or through(*args))
+    monkeypatch.setattr(ledger, "decide", lambda *args: decisions.append(1) or decide(*args))
+    # "a" earns in one market what it pays with in the other, and the other way round.
+    first, second = ("BTC", "ETH"), ("BTC", "LTC")
+    events = []
+    for i in range(2):
+        events += [submit(f"s{i}", "a", "LIMIT_SELL", 1, 5, first), submit(f"b{i}", "b", "LIMIT_BUY", 1, 5, first)]
+        events += [submit(f"t{i}", "c", "LIMIT_SELL", 1, 5, second), submit(f"u{i}", "a", "LIMIT_BUY", 1, 5, second)]
+    start = [("a", "ETH", D(10), D(0)), ("b", "BTC", D(10), D(0)), ("c", "LTC", D(10), D(0))]
+    settled = settled_of(spark, events, start)
+    assert sorted(r.seq for r in settled.matches.collect()) == [1, 3, 5, 7]
+    assert len(passes) == 1
+    # Orders need no decision on wallets; those who ask for wallets get it.
+    assert {r.status for r in settled.order_delta.collect()} == {"FILLED"} and not decisions
+    held = {(r.walletId, r.assetId): (r.amount, r.blocked) for r in settled.wallet_delta.collect() if r.amount}
+    assert held == {("a", "LTC"): (10, 0), ("b", "ETH"): (10, 0), ("c", "BTC"): (10, 0)} and len(decisions) == 1
+
+
+def test_equal_where_teams_share_funds(spark, tmp_path, small_groups):
+    events, steps = random_events(spark, 6, 60, wallets=3)
+    exchange = Exchange(balances(3))
+    for kind, seq, *rest in steps:
+        getattr(exchange, kind)(seq, *rest)
+    small_groups(50)  # no market is hot, both together are more than a core's share
+    s = store(spark, tmp_path, balances(3))
+    commit_batch(s, log(spark, events), 1)
+    assert state(s) == wanted(exchange)
+    assert {r.seq: (r.reason, r.available) for r in s.feed("rejections").collect()} == exchange.refused
+
+
+def test_wallet_changes_are_the_same_for_hot_wallets(spark, small_groups):
+    from pyspark.sql import functions as F
+
+    from sparkbourse.plans.settle import whole_wallets
+
+    events = random_events(spark, 7, 30, wallets=2, markets=1)[0]
+    settled = settled_of(spark, events, [(w, a, D(v), D(0)) for w, a, v in balances(2)])
+    seen = []
+    for limit in (1_000_000, 3):
+        small_groups(limit)
+        settled.__dict__.pop("wallet_changes", None)
+        changes = whole_wallets(settled.wallet_changes, settled.wallets_before)
+        seen.append(sorted(map(str, changes.withColumn("assets", F.map_entries("assets")).collect())))
+    assert len(seen[0]) == 20 and seen[0] == seen[1]
+
+
+def test_the_text_of_usable_records_is_not_kept(spark):
+    from sparkbourse.sources.codec import only_needed
+
+    broken = log(spark, [submit("e0", "a", "LIMIT_SELL", 2, 10)]).unionByName(spark.createDataFrame([("k", "{", 9)], "key string, value string, seq long"))
+    rows = {r.seq: (r.value, r.event.id) for r in only_needed(decode_events(broken)).collect() if r.seq in (0, 9)}
+    assert rows[0] == (None, "e0") and rows[9][0] == "{"
+
+
+def test_no_key_is_counted_where_none_can_be_hot(spark, small_groups):
+    from sparkbourse.operators.running import has_hot_key
+
+    rows = spark.range(40).selectExpr("cast(id % 20 as string) as k")
+    for limit, hot in ((1000, False), (2, False), (1, True)):
+        small_groups(limit)
+        assert has_hot_key(rows, ["k"]) is hot
