@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkbourse.functions.orders import stable_id
@@ -221,11 +221,20 @@ def clean_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = orders(spark, sf_dir).withColumn("walletId", F.concat_ws("/", "walletId", "quoteAssetId"))
     key, event_id = F.col("seq"), F.concat(F.lit("o-"), F.col("id"))
     command_id = F.concat(F.lit("cmd-"), F.col("id"))
-    made = stable_id(F.col("seq"), event_id, command_id, F.col("id"))
-    record = ["baseAssetId", "quoteAssetId", "walletId", "orderType", F.col("price").cast("double").alias("price"), F.col("qty").cast("double").alias("qty")]
+    fields = ["baseAssetId", "quoteAssetId", "walletId", "orderType", "price", "qty"]
+    record = [*fields[:4], F.col("price").cast("double").alias("price"), F.col("qty").cast("double").alias("qty")]
     before = Window.partitionBy("baseAssetId", "quoteAssetId").orderBy("seq")
-    rows = o.withColumn("made", made).withColumn("resting", F.struct(F.col("made").alias("id"), *record, F.lit("PROCESSED").alias("status")))
-    rows = rows.withColumns({"two": F.lag("made", 2).over(before), "one": F.lag("resting", 1).over(before)})
+
+    def made(earlier: str) -> Column:
+        """The id that an earlier order gets when it is submitted."""
+        name, seq = F.col(f"{earlier}.id"), F.col(f"{earlier}.seq")
+        return F.when(name.isNotNull(), stable_id(seq, F.concat(F.lit("o-"), name), F.concat(F.lit("cmd-"), name), name))
+
+    # Of the orders before, what their ids are made of goes through the shuffle, not the ids.
+    rows = o.select("seq", "id", *fields)
+    rows = rows.withColumns({"two": F.lag(F.struct("id", "seq"), 2).over(before), "one": F.lag(F.struct("id", "seq", *record), 1).over(before)})
+    resting = F.struct(made("one").alias("id"), *[F.col(f"one.{c}") for c in fields], F.lit("PROCESSED").alias("status"))
+    rows = rows.withColumns({"two": made("two"), "one": F.when(F.col("one").isNotNull(), resting)})
     kind = (
         F.when((key % 7 == 3) & F.col("two").isNotNull(), "CANCEL")
         .when((key % 11 == 5) & F.col("one").isNotNull(), "FILL")
